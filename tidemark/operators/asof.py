@@ -6,8 +6,8 @@ Two exact ways, chosen by the measured size of the version side:
                the columns needed are measured to fit ``broadcast_bytes``.
 ``scan``       for version tables of any size. The distinct (key, time) pairs of the facts are
                merged with the versions in time order and take the last version started so
-               far. The merge runs per (key, day); what was valid when a day began is carried
-               in from a table of at most one row per key and day. No key is sorted in one
+               far. The merge runs per (key, hour); what was valid when an hour began is carried
+               in from a table of at most one row per key and hour. No key is sorted in one
                task, and no pairs of facts and versions are ever formed.
 
 ``scan`` needs versions of one key not to overlap, which histories from ``versions`` satisfy.
@@ -19,6 +19,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tidemark.operators.neighbors import time_slot
+
+ALWAYS = "0001-01-01 00:00:00"  # sorts before every other time
+NEVER = "9999-12-31"
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 
@@ -62,7 +66,7 @@ def asof_join(
         earliest = narrow.groupBy("_k").agg(F.min("_from").alias("_first"))
         narrow = narrow.join(earliest, "_k").withColumn(
             "_from",
-            F.when(F.col("_from") == F.col("_first"), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
+            F.when(F.col("_from") == F.col("_first"), F.lit(ALWAYS).cast("timestamp_ntz"))
             .otherwise(F.col("_from")),
         ).drop("_first")
     if strategy == "auto":
@@ -72,7 +76,7 @@ def asof_join(
     if strategy == "broadcast":
         hit = (
             (F.col(fact_key) == F.col("_k")) & (moment >= F.col("_from"))
-            & (moment < F.coalesce("_to", F.lit("9999-12-31").cast("timestamp_ntz")))
+            & (moment < F.coalesce("_to", F.lit(NEVER).cast("timestamp_ntz")))
         )
         return facts.join(F.broadcast(narrow), hit, "left").select(*facts.columns, *picked)
     if strategy != "scan":
@@ -86,7 +90,7 @@ def asof_join(
 
 def _resolve(probes: DataFrame, versions: DataFrame) -> DataFrame:
     """For each distinct (_k, _t): the columns of the version valid then, if any."""
-    slot = F.to_date("_t").alias("_slot")
+    slot = time_slot("_t").alias("_slot")
     payload = [c for c in versions.columns if c not in ("_k", "_from")]
     started = versions.select(
         "_k", F.col("_from").alias("_t"), F.lit(0).alias("_kind"), F.struct(*payload).alias("_v"),
@@ -94,20 +98,20 @@ def _resolve(probes: DataFrame, versions: DataFrame) -> DataFrame:
     none = F.lit(None).cast(started.schema["_v"].dataType)
     asked = probes.select("_k", "_t", F.lit(1).alias("_kind"), none.alias("_v"), slot)
 
-    # Per key and day: the last version started, and whether a fact asks on that day.
-    days = (
+    # Per key and slot: the last version started, and whether a fact asks in that slot.
+    slots = (
         started.groupBy("_k", "_slot").agg(F.max_by("_v", "_t").alias("_v"))
         .select("_k", "_slot", F.lit(0).alias("_asks"), "_v")
         .unionByName(
             asked.select("_k", "_slot").distinct().select("_k", "_slot", F.lit(1).alias("_asks"), none.alias("_v"))
         )
     )
-    # The asking row sorts before the version row of its own day, so it sees earlier days only.
+    # The asking row sorts before the version row of its own slot, so it sees earlier slots only.
     so_far = Window.partitionBy("_k").orderBy("_slot", F.desc("_asks")).rowsBetween(Window.unboundedPreceding, 0)
     carried = (
-        days.withColumn("_v", F.last("_v", ignorenulls=True).over(so_far))
+        slots.withColumn("_v", F.last("_v", ignorenulls=True).over(so_far))
         .filter((F.col("_asks") == 1) & F.col("_v").isNotNull())
-        .select("_k", F.col("_slot").cast("timestamp_ntz").alias("_t"), F.lit(-1).alias("_kind"), "_v", "_slot")
+        .select("_k", F.lit(ALWAYS).cast("timestamp_ntz").alias("_t"), F.lit(-1).alias("_kind"), "_v", "_slot")
     )
     in_order = (
         Window.partitionBy("_k", "_slot").orderBy("_t", "_kind")

@@ -69,9 +69,18 @@ class IncrementalTable:
             return None
         return stored.filter(F.col(self.MONTH) == month).agg(F.max(self.date_column)).first()[0]
 
+    def _write(self, rows: DataFrame, path: str, mode: str = "static") -> None:
+        """Rebalanced by month: few files for a small month, and a month that is too big for one
+        task is split by adaptive execution."""
+        spread = rows.hint("rebalance", F.col(self.MONTH))
+        (
+            spread.write.mode("overwrite").option("partitionOverwriteMode", mode)
+            .partitionBy(self.MONTH).parquet(path)
+        )
+
     def rebuild(self, rows: DataFrame) -> None:
         """Full refresh, and the first run."""
-        self._with_month(rows).write.mode("overwrite").partitionBy(self.MONTH).parquet(self.path)
+        self._write(self._with_month(rows), self.path)
 
     def upsert(self, batch: DataFrame) -> None:
         if not self.exists():
@@ -86,7 +95,7 @@ class IncrementalTable:
             return
         touched = stored.filter(F.col(self.MONTH).isin(months))
         merged = merge_rows(touched, batch, self.keys)
-        merged.write.mode("overwrite").partitionBy(self.MONTH).parquet(self.staged)
+        self._write(merged, self.staged)
         self._switch(months)
 
     def replay_staged(self) -> None:
@@ -103,10 +112,7 @@ class IncrementalTable:
         except AnalysisException:  # nothing staged: every touched month is now empty
             staged, held = None, set()
         if staged is not None:
-            (
-                staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy(self.MONTH).parquet(self.path)
-            )
+            self._write(staged, self.path, "dynamic")
         where, fs = self._fs()
         for month in set(months) - held:  # months that lost their last row to another month
             fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(where, f"{self.MONTH}={month}"), True)

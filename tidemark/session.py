@@ -16,6 +16,8 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Call-site capture costs several driver round trips per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

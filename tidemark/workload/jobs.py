@@ -124,7 +124,7 @@ _MEASURED = {
 
 def _totals_sql() -> str:
     return "\nUNION ALL ".join(
-        f"SELECT '{name}' AS mart, count(*) AS n_rows, count(DISTINCT {key}) AS n_keys, sum({measure}) AS measure FROM {name}"
+        f"SELECT '{name}' AS mart, count(*) AS n_rows, count(DISTINCT {key}) AS n_keys, sum({measure})::DOUBLE AS measure FROM {name}"
         for name, (key, measure) in _MEASURED.items()
     )
 

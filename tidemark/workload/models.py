@@ -7,19 +7,32 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.plans import dims, facts, intermediate, reports
 from tidemark.plans.build import HISTORIES, STAGING
 from tidemark.quality import at_risk_count
-from tidemark.sources import read_seed
+from tidemark.session import shared_dir
+from tidemark.sources import Warehouse, read_seed
 from tidemark.workload.catalog import register
 from tidemark.workload.oracle import with_models
 from tidemark.workload.standins import FEEDS, QUERY_PARAMS as P
 
 
 class Models:
-    """Every model as a DataFrame over one set of given tables; each is built once per instance."""
+    """Every model as a DataFrame over one set of given tables; each is built once per instance.
+
+    As in a scheduled build, dimensions are tables: facts read them back from the shared folder,
+    so a dimension is computed once however many joins use it.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
         self.built: dict[str, DataFrame] = {}
+        self.store: Warehouse | None = None
+
+    def stored(self, name: str) -> DataFrame:
+        if self.store is None:
+            self.store = Warehouse(self.spark, shared_dir(self.spark, "dims"))
+        if f"stored {name}" not in self.built:
+            self.built[f"stored {name}"] = self.store.write(name, self(name))
+        return self.built[f"stored {name}"]
 
     def __call__(self, name: str) -> DataFrame:
         if name not in self.built:
@@ -53,20 +66,20 @@ class Models:
             "dim_warehouse": lambda: dims.dim_warehouse(self("stg_warehouse"), None, P),
             "dim_date": lambda: dims.calendar(self.spark, P.spine_start, P.spine_end),
             "fact_sales_orders": lambda: facts.fact_sales_orders(
-                self("gross_to_net"), self("dim_distributor"), self("dim_warehouse"), self("dim_date"),
-                self("batch_expiry"), self("dim_product"), P,
+                self("gross_to_net"), self.stored("dim_distributor"), self.stored("dim_warehouse"), self("dim_date"),
+                self("batch_expiry"), self.stored("dim_product"), P,
             ),
             "fact_hcp_visits": lambda: facts.fact_hcp_visits(
-                self("engagement_score"), self("dim_date"), self("dim_hcp"), self("dim_sales_rep"),
-                self("dim_product"), P,
+                self("engagement_score"), self("dim_date"), self.stored("dim_hcp"), self.stored("dim_sales_rep"),
+                self.stored("dim_product"), P,
             ),
             "fact_inventory_snapshot": lambda: facts.fact_inventory_snapshot(
-                self("inventory_runway"), self("dim_date"), self("dim_warehouse"), self("batch_expiry"),
-                self("dim_product"), P,
+                self("inventory_runway"), self("dim_date"), self.stored("dim_warehouse"), self("batch_expiry"),
+                self.stored("dim_product"), P,
             ),
             "fact_returns": lambda: facts.fact_returns(
-                self("stg_return"), self("dim_date"), self("dim_distributor"), self("seed_return_reason_lookup"),
-                self("dim_product"), P,
+                self("stg_return"), self("dim_date"), self.stored("dim_distributor"), self("seed_return_reason_lookup"),
+                self.stored("dim_product"), P,
             ),
         }[name]()
 
@@ -173,7 +186,7 @@ register(
     "at_risk_report",
     "product_name:s therapeutic_category:s warehouse_key:s batch_id:s lot_expiry_date:d days_to_expiry:i "
     "qty_on_hand:f days_on_hand:f",
-    lambda spark, sf: (lambda m: reports.at_risk_inventory(m("fact_inventory_snapshot"), m("dim_product"), P))(
+    lambda spark, sf: (lambda m: reports.at_risk_inventory(m("fact_inventory_snapshot"), m.stored("dim_product"), P))(
         Models(spark, sf)
     ),
     with_models(
@@ -193,7 +206,7 @@ register(
 def _revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Net revenue per month, category group and price tier of the product version ordered."""
     m = Models(spark, sf_dir)
-    versions = m("dim_product").select("product_key", "category_group", "price_tier")
+    versions = m.stored("dim_product").select("product_key", "category_group", "price_tier")
     return (
         m("fact_sales_orders").join(versions, "product_key", "left")
         .groupBy(F.trunc("order_date", "month").alias("month"), "category_group", "price_tier")
