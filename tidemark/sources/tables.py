@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
+def together(spark: SparkSession, jobs: Iterable[Callable[[], object]], at_once: int = 4) -> None:
+    """Run independent jobs side by side, so that the short stages of one fill the gaps of another."""
+    jobs = list(jobs)
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(jobs)))) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            done.result()
+
+
 class Warehouse:
     """Parquet tables under one folder, addressed by name."""
 

@@ -8,80 +8,106 @@ from tidemark.plans import dims, facts, intermediate, reports
 from tidemark.plans.build import HISTORIES, STAGING
 from tidemark.quality import at_risk_count
 from tidemark.session import shared_dir
-from tidemark.sources import Warehouse, read_seed
+from tidemark.sources import Warehouse, read_seed, together
 from tidemark.workload.catalog import register
 from tidemark.workload.oracle import with_models
 from tidemark.workload.standins import FEEDS, QUERY_PARAMS as P
 
 
+# Models that others read more than once or join to: written once, then read back.
+STORED = {
+    "stg_hcp_visit", "stg_sales_order", "stg_inventory_snapshot", "dim_product", "dim_hcp", "dim_sales_rep",
+    "dim_distributor", "dim_warehouse",
+}
+
+INPUTS = {
+    "gross_to_net": ["stg_sales_order"],
+    "engagement_score": ["stg_hcp_visit"],
+    "inventory_runway": ["stg_inventory_snapshot", "stg_sales_order"],
+    "batch_expiry": ["stg_inventory_snapshot"],
+    "dim_product": ["product_history", "seed_therapeutic_category_group"],
+    "dim_hcp": ["hcp_history", "seed_territory"],
+    "dim_sales_rep": ["sales_rep_history", "seed_territory"],
+    "dim_distributor": ["stg_distributor"],
+    "dim_warehouse": ["stg_warehouse"],
+    "dim_date": [],
+    "fact_sales_orders": ["gross_to_net", "dim_distributor", "dim_warehouse", "dim_date", "batch_expiry", "dim_product"],
+    "fact_hcp_visits": ["engagement_score", "dim_date", "dim_hcp", "dim_sales_rep", "dim_product"],
+    "fact_inventory_snapshot": ["inventory_runway", "dim_date", "dim_warehouse", "batch_expiry", "dim_product"],
+    "fact_returns": ["stg_return", "dim_date", "dim_distributor", "seed_return_reason_lookup", "dim_product"],
+}
+
+BUILDERS = {
+    "gross_to_net": intermediate.gross_to_net,
+    "engagement_score": lambda visits: intermediate.engagement_score(visits, P),
+    "inventory_runway": lambda stock, orders: intermediate.inventory_runway(stock, orders, P),
+    "batch_expiry": lambda stock: intermediate.batch_expiry(stock, P),
+    "dim_product": dims.dim_product,
+    "dim_hcp": dims.dim_hcp,
+    "dim_sales_rep": dims.dim_sales_rep,
+    "dim_distributor": lambda staged: dims.dim_distributor(staged, None, P),
+    "dim_warehouse": lambda staged: dims.dim_warehouse(staged, None, P),
+    "fact_sales_orders": lambda *inputs: facts.fact_sales_orders(*inputs, P),
+    "fact_hcp_visits": lambda *inputs: facts.fact_hcp_visits(*inputs, P),
+    "fact_inventory_snapshot": lambda *inputs: facts.fact_inventory_snapshot(*inputs, P),
+    "fact_returns": lambda *inputs: facts.fact_returns(*inputs, P),
+}
+
+
 class Models:
-    """Every model as a DataFrame over one set of given tables; each is built once per instance.
+    """Every model as a DataFrame over one set of given tables.
 
-    As in a scheduled build, dimensions are tables: facts read them back from the shared folder,
-    so a dimension is computed once however many joins use it.
+    As in a scheduled build, a model that is read more than once is a table in the shared folder,
+    so it is computed once however many joins use it.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.built: dict[str, DataFrame] = {}
         self.store: Warehouse | None = None
+        self.written: dict[str, DataFrame] = {}
 
-    def stored(self, name: str) -> DataFrame:
+    def _inputs(self, name: str) -> list[str]:
+        """Stored models that ``name`` is built from, through views."""
+        found = []
+        for part in INPUTS.get(name, []):
+            found += [part] if part in STORED else self._inputs(part)
+        return found
+
+    def prepare(self, *names: str) -> None:
+        """Write the stored models side by side; those they need themselves come from views."""
         if self.store is None:
-            self.store = Warehouse(self.spark, shared_dir(self.spark, "dims"))
-        if f"stored {name}" not in self.built:
-            self.built[f"stored {name}"] = self.store.write(name, self(name))
-        return self.built[f"stored {name}"]
+            self.store = Warehouse(self.spark, shared_dir(self.spark, "models"))
+        todo = [n for n in dict.fromkeys(names) if n not in self.written]
+
+        def write(name: str) -> None:
+            self.written[name] = self.store.write(name, self._build(name))
+
+        together(self.spark, [lambda n=n: write(n) for n in todo])
+
+    def stored(self, name: str) -> DataFrame:
+        self.prepare(name)
+        return self.written[name]
 
     def __call__(self, name: str) -> DataFrame:
-        if name not in self.built:
-            self.built[name] = self._build(name)
-        return self.built[name]
+        self.prepare(*self._inputs(name))
+        return self._build(name)
 
     def _build(self, name: str) -> DataFrame:
         if name in FEEDS:
             return FEEDS[name](self.spark, self.sf_dir)
         if name in STAGING:
             source, build = STAGING[name]
-            return build(self(source))
+            return build(self._build(source))
         if name in HISTORIES:
             source, key = HISTORIES[name]
-            return dims.history(self(source), key)
+            return dims.history(self._build(source), key)
         if name.startswith("seed_"):
             return read_seed(self.spark, name.removeprefix("seed_"))
-        return {
-            "gross_to_net": lambda: intermediate.gross_to_net(self("stg_sales_order")),
-            "engagement_score": lambda: intermediate.engagement_score(self("stg_hcp_visit"), P),
-            "inventory_runway": lambda: intermediate.inventory_runway(
-                self("stg_inventory_snapshot"), self("stg_sales_order"), P
-            ),
-            "batch_expiry": lambda: intermediate.batch_expiry(self("stg_inventory_snapshot"), P),
-            "dim_product": lambda: dims.dim_product(
-                self("product_history"), self("seed_therapeutic_category_group")
-            ),
-            "dim_hcp": lambda: dims.dim_hcp(self("hcp_history"), self("seed_territory")),
-            "dim_sales_rep": lambda: dims.dim_sales_rep(self("sales_rep_history"), self("seed_territory")),
-            "dim_distributor": lambda: dims.dim_distributor(self("stg_distributor"), None, P),
-            "dim_warehouse": lambda: dims.dim_warehouse(self("stg_warehouse"), None, P),
-            "dim_date": lambda: dims.calendar(self.spark, P.spine_start, P.spine_end),
-            "fact_sales_orders": lambda: facts.fact_sales_orders(
-                self("gross_to_net"), self.stored("dim_distributor"), self.stored("dim_warehouse"), self("dim_date"),
-                self("batch_expiry"), self.stored("dim_product"), P,
-            ),
-            "fact_hcp_visits": lambda: facts.fact_hcp_visits(
-                self("engagement_score"), self("dim_date"), self.stored("dim_hcp"), self.stored("dim_sales_rep"),
-                self.stored("dim_product"), P,
-            ),
-            "fact_inventory_snapshot": lambda: facts.fact_inventory_snapshot(
-                self("inventory_runway"), self("dim_date"), self.stored("dim_warehouse"), self("batch_expiry"),
-                self.stored("dim_product"), P,
-            ),
-            "fact_returns": lambda: facts.fact_returns(
-                self("stg_return"), self("dim_date"), self.stored("dim_distributor"), self("seed_return_reason_lookup"),
-                self.stored("dim_product"), P,
-            ),
-        }[name]()
+        if name == "dim_date":
+            return dims.calendar(self.spark, P.spine_start, P.spine_end)
+        parts = [self.written[n] if n in self.written else self._build(n) for n in INPUTS[name]]
+        return BUILDERS[name](*parts)
 
 
 # Output columns of each model, and the kinds they are compared as.
