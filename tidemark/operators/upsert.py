@@ -27,9 +27,10 @@ class IncrementalTable:
     """A Parquet table partitioned by month of ``date_column`` and kept up to date by key.
 
     An upsert rewrites only the months it touches: those of the batch, plus those that now hold
-    a batch key under another date. The new content of these months is written to
-    ``<path>__staged`` first and copied into the table from there, so a job that dies while the
-    table is being switched can be finished by :meth:`replay_staged`.
+    a batch key under another date. The batch is written to ``<path>__batch`` first, so that it is
+    computed once. The new content of the months is written to ``<path>__staged`` and copied into
+    the table from there, so a job that dies while the table is being switched can be finished by
+    :meth:`replay_staged`.
     """
 
     MONTH = "_month"
@@ -40,6 +41,7 @@ class IncrementalTable:
         self.keys = list(keys)
         self.date_column = date_column
         self.staged = f"{path.rstrip('/')}__staged"
+        self.batch = f"{path.rstrip('/')}__batch"
 
     def _fs(self):
         where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
@@ -49,8 +51,11 @@ class IncrementalTable:
         where, fs = self._fs()
         return fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(where, "_SUCCESS"))
 
+    def _load(self, path: str) -> DataFrame:
+        return self.spark.read.parquet(path).withColumn(self.MONTH, F.col(self.MONTH).cast("string"))
+
     def _stored(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).withColumn(self.MONTH, F.col(self.MONTH).cast("string"))
+        return self._load(self.path)
 
     def read(self) -> DataFrame:
         return self._stored().drop(self.MONTH)
@@ -86,13 +91,15 @@ class IncrementalTable:
         if not self.exists():
             self.rebuild(batch)
             return
+        self._write(self._with_month(batch), self.batch)
+        try:
+            batch = self._load(self.batch)
+        except AnalysisException:  # an empty batch leaves no file to read a schema from
+            return
         stored = self._stored()
-        batch = self._with_month(batch)
         # Months are few (one value per calendar month), so this list may come to the driver.
         holding = stored.join(batch.select(*self.keys), self.keys, "left_semi").select(self.MONTH)
         months = [r[0] for r in batch.select(self.MONTH).unionByName(holding).distinct().collect()]
-        if not months:
-            return
         touched = stored.filter(F.col(self.MONTH).isin(months))
         merged = merge_rows(touched, batch, self.keys)
         self._write(merged, self.staged)
@@ -100,14 +107,12 @@ class IncrementalTable:
 
     def replay_staged(self) -> None:
         """Finish an upsert that died after staging; harmless when it had finished."""
-        staged = self.spark.read.parquet(self.staged)
-        self._switch([str(r[0]) for r in staged.select(self.MONTH).distinct().collect()])
+        months = self._load(self.staged).select(self.MONTH).distinct().collect()
+        self._switch([r[0] for r in months])
 
     def _switch(self, months: Sequence[str]) -> None:
         try:
-            staged = self.spark.read.parquet(self.staged).withColumn(
-                self.MONTH, F.col(self.MONTH).cast("string")
-            )
+            staged = self._load(self.staged)
             held = {r[0] for r in staged.select(self.MONTH).distinct().collect()}
         except AnalysisException:  # nothing staged: every touched month is now empty
             staged, held = None, set()

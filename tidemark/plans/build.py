@@ -11,7 +11,7 @@ from tidemark.params import Params
 from tidemark.plans import dims, facts, intermediate, reports, staging
 from tidemark.quality import at_risk_count, check_limit, run_suite
 from tidemark.registry import SEEDS
-from tidemark.sources import Warehouse, read_seed
+from tidemark.sources import Warehouse, read_seed, together
 
 STAGING: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "stg_product": ("mdm.product", staging.product),
@@ -25,6 +25,14 @@ STAGING: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "stg_inventory_snapshot": ("erp.inventory_snapshot", staging.inventory_snapshot),
 }
 
+# Staged feeds that several models read: kept as tables, brought up to date from new landings only.
+STAGED_TABLES = {
+    "stg_hcp_visit": (["visit_id"], "visit_date"),
+    "stg_sales_order": (["order_line_id"], "order_date"),
+    "stg_return": (["return_id"], "return_date"),
+    "stg_inventory_snapshot": (["snapshot_date", "warehouse_id", "product_id", "batch_id"], "snapshot_date"),
+}
+
 HISTORIES = {
     "product_history": ("stg_product", "product_id"),
     "hcp_history": ("stg_hcp", "hcp_id"),
@@ -45,13 +53,15 @@ MARTS = [*DIMS, *FACTS]
 
 
 class WarehouseBuild:
-    """Staging and intermediate models are lazy; histories, dimensions and facts are tables.
+    """Event feeds are staged into tables; master-data staging and business logic are lazy; histories,
+    dimensions and facts are tables.
 
-    ``raw`` gives the raw table of a full name such as ``erp.sales_order``.
+    ``raw(name, since)`` gives the raw table of a full name such as ``erp.sales_order``: all of it, or
+    what landed on or after the day ``since``.
     """
 
     def __init__(
-        self, spark: SparkSession, raw: Callable[[str], DataFrame], base: str, params: Params,
+        self, spark: SparkSession, raw: Callable[[str, str | None], DataFrame], base: str, params: Params,
         seeds: Callable[[str], DataFrame] | None = None,
     ):
         self.spark = spark
@@ -61,10 +71,11 @@ class WarehouseBuild:
         self.seed = seeds or (lambda name: read_seed(spark, name))
 
     def model(self, name: str) -> DataFrame:
-        """A model by name: a view over its inputs, or the stored table."""
+        """A model by name: a stored table, or a view over its inputs."""
+        if name in STAGED_TABLES or name in FACTS:
+            return self.table(name).read()
         if name in STAGING:
-            source, build = STAGING[name]
-            return build(self.raw(source))
+            return self.staged(name)
         if name == "gross_to_net":
             return intermediate.gross_to_net(self.model("stg_sales_order"))
         if name == "engagement_score":
@@ -77,24 +88,37 @@ class WarehouseBuild:
             return intermediate.batch_expiry(self.model("stg_inventory_snapshot"), self.params)
         if name.startswith("seed_"):
             return self.seed(name.removeprefix("seed_"))
-        if name in FACTS:
-            return self.fact_table(name).read()
         if "." in name:
-            return self.raw(name)
+            return self.raw(name, None)
         return self.store.read(name)
 
-    def fact_table(self, name: str) -> IncrementalTable:
-        keys, date_column, _ = FACTS[name]
+    def staged(self, name: str, since: str | None = None) -> DataFrame:
+        source, build = STAGING[name]
+        return build(self.raw(source, since))
+
+    def table(self, name: str) -> IncrementalTable:
+        keys, date_column = STAGED_TABLES[name] if name in STAGED_TABLES else FACTS[name][:2]
         return IncrementalTable(self.spark, self.store.path(name), keys, date_column)
 
     # -- tables -----------------------------------------------------------------
 
-    def write_history(self, name: str, extract: DataFrame | None = None, full_refresh: bool = False) -> None:
+    def write_staged(self, name: str, since: str | None = None, full_refresh: bool = False) -> None:
+        """Newest copy of every event. With ``since``, only what landed from then on is read and brought
+        in by key: a later copy of an event replaces the one held. Without, the table is rebuilt."""
+        table = self.table(name)
+        if since is None or full_refresh or not table.exists():
+            table.rebuild(self.staged(name))
+        else:
+            table.upsert(self.staged(name, since))
+
+    def write_history(
+        self, name: str, extract: DataFrame | None = None, since: str | None = None, full_refresh: bool = False,
+    ) -> None:
         """Rebuild or extend a history. ``extract`` is the latest full extract, if deleted keys
         are to be closed."""
         source, key = HISTORIES[name]
-        revisions = self.model(source).drop("_loaded_at")
         fresh = full_refresh or not self.store.exists(name)
+        revisions = self.staged(source, None if fresh else since).drop("_loaded_at")
         if fresh:
             rows = dims.history(revisions, key)
         else:
@@ -111,18 +135,24 @@ class WarehouseBuild:
             rows = close_missing(rows, extract, key, self.params.run_ts)
         (self.store.write if fresh else self.store.replace)(name, rows)
 
-    def write_dims(self, full_refresh: bool = False) -> None:
+    def write_dim(self, name: str, full_refresh: bool = False) -> None:
         read, store, params = self.model, self.store, self.params
-        store.write("dim_product", dims.dim_product(read("product_history"), read("seed_therapeutic_category_group")))
-        store.write("dim_hcp", dims.dim_hcp(read("hcp_history"), read("seed_territory")))
-        store.write("dim_sales_rep", dims.dim_sales_rep(read("sales_rep_history"), read("seed_territory")))
-        store.write("dim_date", dims.calendar(self.spark, params.spine_start, params.spine_end))
-        for name, build in (("dim_distributor", dims.dim_distributor), ("dim_warehouse", dims.dim_warehouse)):
-            staged = read(name.replace("dim_", "stg_"))
-            if full_refresh or not store.exists(name):
-                store.write(name, build(staged, None, params))
-            else:
+        if name == "dim_product":
+            rows = dims.dim_product(read("product_history"), read("seed_therapeutic_category_group"))
+        elif name == "dim_hcp":
+            rows = dims.dim_hcp(read("hcp_history"), read("seed_territory"))
+        elif name == "dim_sales_rep":
+            rows = dims.dim_sales_rep(read("sales_rep_history"), read("seed_territory"))
+        elif name == "dim_date":
+            rows = dims.calendar(self.spark, params.spine_start, params.spine_end)
+        else:
+            build = {"dim_distributor": dims.dim_distributor, "dim_warehouse": dims.dim_warehouse}[name]
+            staged = self.staged(name.replace("dim_", "stg_"))
+            if not full_refresh and store.exists(name):
                 store.replace(name, build(staged, store.read(name), params))
+                return
+            rows = build(staged, None, params)
+        store.write(name, rows)
 
     def fact_rows(self, name: str, source: DataFrame) -> DataFrame:
         read, params = self.model, self.params
@@ -145,7 +175,7 @@ class WarehouseBuild:
         )
 
     def write_fact(self, name: str, full_refresh: bool = False) -> None:
-        table = self.fact_table(name)
+        table = self.table(name)
         _, date_column, source = FACTS[name]
         rows = self.model(source)
         if full_refresh or not table.exists():
@@ -160,14 +190,21 @@ class WarehouseBuild:
         recent = since_lookback(rows, date_column, table.newest_date(), lookback)
         table.upsert(self.fact_rows(name, recent))
 
-    def run(self, extracts: dict[str, DataFrame] | None = None, full_refresh: bool = False) -> None:
-        """Histories, then dimensions, then facts. ``extracts`` holds the latest full extracts by
-        history name, for closing deleted keys."""
-        for name in HISTORIES:
-            self.write_history(name, (extracts or {}).get(name), full_refresh)
-        self.write_dims(full_refresh)
-        for name in FACTS:
-            self.write_fact(name, full_refresh)
+    def run(
+        self, extracts: dict[str, DataFrame] | None = None, since: str | None = None, full_refresh: bool = False,
+    ) -> None:
+        """Staged events and histories, then dimensions, then facts; the tables of a step side by side.
+
+        ``extracts`` holds the latest full extracts by history name, for closing deleted keys. ``since`` is
+        the first landing day not yet taken in; a daily run then reads the new landings, not all of raw.
+        """
+        extracts = extracts or {}
+        together(self.spark, [
+            *[lambda n=n: self.write_staged(n, since, full_refresh) for n in STAGED_TABLES],
+            *[lambda n=n: self.write_history(n, extracts.get(n), since, full_refresh) for n in HISTORIES],
+        ])
+        together(self.spark, [lambda n=n: self.write_dim(n, full_refresh) for n in DIMS])
+        together(self.spark, [lambda n=n: self.write_fact(n, full_refresh) for n in FACTS])
 
     # -- after the build ----------------------------------------------------------
 

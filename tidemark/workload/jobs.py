@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.plans import WarehouseBuild
 from tidemark.registry import RAW_TABLES, RawTable
@@ -141,13 +141,20 @@ def warehouse_build(spark: SparkSession, sf: str) -> DataFrame:
         P, sales_lookback_days=wide, visits_lookback_days=wide, inventory_lookback_days=wide, returns_lookback_days=wide,
     )
     base = shared_dir(spark, "warehouse")
-    def early(name: str) -> DataFrame:
-        day = "2024-01-20" if name.startswith(("mdm", "crm")) else "2001-06-01"
-        return models(name).filter(F.col("_loaded_at") < F.lit(day).cast("timestamp_ntz"))
+
+    def cut(name: str) -> Column:
+        return F.lit("2024-01-20" if name.startswith(("mdm", "crm")) else "2001-06-01").cast("timestamp_ntz")
+
+    def early(name: str, since: str | None) -> DataFrame:
+        return models(name).filter(F.col("_loaded_at") < cut(name))
+
+    def landed(name: str, since: str | None) -> DataFrame:
+        rows = models(name)
+        return rows if since is None else rows.filter(F.col("_loaded_at") >= cut(name))
 
     WarehouseBuild(spark, early, base, params).run()
-    build = WarehouseBuild(spark, models, base, params)
-    build.run()
+    build = WarehouseBuild(spark, landed, base, params)
+    build.run(since="second run")
     totals = [
         build.model(name).agg(
             F.count("*").alias("n_rows"), F.count_distinct(F.expr(key)).alias("n_keys"),
