@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidemark.operators import since_lookback
 from tidemark.params import Params
 from tidemark.plans import MARTS, WarehouseBuild
 from tidemark.quality import GateError
@@ -148,6 +149,12 @@ def test_full_refresh_agrees_except_for_what_only_runs_know(built, spark):
     assert {n: rows(built.model(n).select(*c.split()), c.split()[0]) for n, c in columns.items()} == before
 
 
+def test_the_lookback_prunes_months_and_reaches_the_scan(built):
+    recent = since_lookback(built.model("gross_to_net", dt.date(2026, 5, 27)), "order_date", dt.date(2026, 6, 3), 7)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(order_date,2026-05-27)" in plan and "_month" in plan.split("PartitionFilters")[1]
+
+
 def test_rules_views_and_report(spark, built, tmp_path):
     failed = built.check(["fact_sales_orders", "fact_hcp_visits", "stg_return"], str(tmp_path))
     assert sorted(failed) == [

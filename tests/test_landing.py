@@ -86,7 +86,7 @@ def test_ingest_loads_each_file_once(spark, tmp_path):
         assert read_raw(spark, raw, RETURN).count() == expected
     put(landing, RETURN, "2026-06-02", GOOD[:2])
     put(landing, RETURN, "2026-06-01", GOOD[:1], name="late.csv")
-    ingest_new_files(spark, landing, raw, RETURN)
+    ingest_new_files(spark, landing, raw, RETURN, files_per_batch=1)
     got = read_raw(spark, raw, RETURN)
     assert got.count() == 6 and read_raw(spark, raw, RETURN, "2026-06-02").count() == 2
     assert rows(got.groupBy("dt").agg(F.max("_source_file_row_number"), F.count("*")), "dt") == [("2026-06-01", 3, 4), ("2026-06-02", 2, 2)]
@@ -109,7 +109,7 @@ def test_completeness_names_what_is_missing(spark, tmp_path):
     put(tmp_path, RETURN, days[0], GOOD)
     for day in days:
         put(tmp_path, RAW_TABLES["mdm.product"], day, [])
-    assert rows(missing_days(spark, str(tmp_path), tables, days), "table", "dt") == [
+    assert rows(missing_days(spark, str(tmp_path), tables, days), "table_name", "dt") == [
         ("erp.return", "2026-06-02"), ("mdm.hcp", "2026-06-01"), ("mdm.hcp", "2026-06-02"),
     ]
     with pytest.raises(RuntimeError, match="mdm.hcp 2026-06-01"):

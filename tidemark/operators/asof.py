@@ -28,12 +28,12 @@ BROADCAST_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Measure ``df``, reading at most ``max_rows + 1`` of its rows."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    """Measure ``df`` in one aggregation: its rows, and the bytes of its text columns plus a fixed width."""
     width = F.lit(32 + 16 * len(df.columns))
-    for name in text:
-        width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    size = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("bytes")).first()
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+    size = df.agg(F.count("*").alias("n"), F.sum(width).alias("bytes")).first()
     return size["n"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 

@@ -57,8 +57,12 @@ class IncrementalTable:
     def _stored(self) -> DataFrame:
         return self._load(self.path)
 
-    def read(self) -> DataFrame:
-        return self._stored().drop(self.MONTH)
+    def read(self, since: dt.date | None = None) -> DataFrame:
+        """All rows, or the months from that of ``since`` on (folders of earlier months are not read)."""
+        stored = self._stored()
+        if since is not None:
+            stored = stored.filter(F.col(self.MONTH) >= f"{since:%Y%m}")
+        return stored.drop(self.MONTH)
 
     def _with_month(self, rows: DataFrame) -> DataFrame:
         month = F.coalesce(F.date_format(self.date_column, "yyyyMM"), F.lit("none"))

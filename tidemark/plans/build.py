@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,6 @@ from tidemark.operators import IncrementalTable, apply_revisions, close_missing,
 from tidemark.params import Params
 from tidemark.plans import dims, facts, intermediate, reports, staging
 from tidemark.quality import at_risk_count, check_limit, run_suite
-from tidemark.registry import SEEDS
 from tidemark.sources import Warehouse, read_seed, together
 
 STAGING: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
@@ -70,14 +70,17 @@ class WarehouseBuild:
         self.store = Warehouse(spark, base)
         self.seed = seeds or (lambda name: read_seed(spark, name))
 
-    def model(self, name: str) -> DataFrame:
-        """A model by name: a stored table, or a view over its inputs."""
+    def model(self, name: str, since: dt.date | None = None) -> DataFrame:
+        """A model by name: a stored table, or a view over its inputs.
+
+        ``since`` lets models that look at one row at a time skip the months before it.
+        """
         if name in STAGED_TABLES or name in FACTS:
-            return self.table(name).read()
+            return self.table(name).read(since)
         if name in STAGING:
             return self.staged(name)
         if name == "gross_to_net":
-            return intermediate.gross_to_net(self.model("stg_sales_order"))
+            return intermediate.gross_to_net(self.model("stg_sales_order", since))
         if name == "engagement_score":
             return intermediate.engagement_score(self.model("stg_hcp_visit"), self.params)
         if name == "inventory_runway":
@@ -177,9 +180,8 @@ class WarehouseBuild:
     def write_fact(self, name: str, full_refresh: bool = False) -> None:
         table = self.table(name)
         _, date_column, source = FACTS[name]
-        rows = self.model(source)
         if full_refresh or not table.exists():
-            table.rebuild(self.fact_rows(name, rows))
+            table.rebuild(self.fact_rows(name, self.model(source)))
             return
         lookback = {
             "fact_sales_orders": self.params.sales_lookback_days,
@@ -187,7 +189,9 @@ class WarehouseBuild:
             "fact_inventory_snapshot": self.params.inventory_lookback_days,
             "fact_returns": self.params.returns_lookback_days,
         }[name]
-        recent = since_lookback(rows, date_column, table.newest_date(), lookback)
+        newest = table.newest_date()
+        since = None if newest is None else newest - dt.timedelta(days=lookback)
+        recent = since_lookback(self.model(source, since), date_column, newest, lookback)
         table.upsert(self.fact_rows(name, recent))
 
     def run(
@@ -224,5 +228,3 @@ class WarehouseBuild:
     def report(self) -> DataFrame:
         return reports.at_risk_inventory(self.model("fact_inventory_snapshot"), self.model("dim_product"), self.params)
 
-
-ALL_SEEDS = [f"seed_{name}" for name in SEEDS]

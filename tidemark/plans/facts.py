@@ -10,8 +10,7 @@ from tidemark.registry import SEEDS
 
 
 def _day_key(rows: DataFrame, dates: DataFrame, day: str, out: str) -> DataFrame:
-    # The calendar is broadcast: its size is set by the spine parameters, not by the data.
-    return attach(rows, F.broadcast(dates.select("date_day", "date_key")), {day: "date_day"}, {out: "date_key"})
+    return attach(rows, dates, {day: "date_day"}, {out: "date_key"})
 
 
 def _version(rows: DataFrame, dim: DataFrame, natural: str, dim_natural: str, at: str, out: str, dim_key: str, params: Params) -> DataFrame:

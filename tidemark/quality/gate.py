@@ -16,7 +16,7 @@ class GateError(RuntimeError):
 
 
 def summary(read: Callable[[str], DataFrame], tables: Iterable[str], suite: dict[str, TableRules] = SUITE) -> DataFrame:
-    """(table, rule, n_failed) over all rules of ``tables``."""
+    """(table_name, rule, n_failed) over all rules of ``tables``."""
     parts = []
     for table in tables:
         rules, df = suite[table], read(table)
@@ -31,7 +31,7 @@ def summary(read: Callable[[str], DataFrame], tables: Iterable[str], suite: dict
 
 def _total(failing: DataFrame, n, table: str, rule: str) -> DataFrame:
     return failing.agg(F.coalesce(n, F.lit(0)).alias("n_failed")).select(
-        F.lit(table).alias("table"), F.lit(rule).alias("rule"), "n_failed"
+        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "n_failed"
     )
 
 
@@ -39,7 +39,7 @@ def run_suite(
     read: Callable[[str], DataFrame], tables: Iterable[str], store: str | None = None,
     suite: dict[str, TableRules] = SUITE,
 ) -> list[tuple[str, str, int]]:
-    """The failed rules as (table, rule, n_failed); their failing rows go to ``<store>/<table>/<rule>``.
+    """The failed rules as (table_name, rule, n_failed); their failing rows go to ``<store>/<table>/<rule>``.
 
     The result has one entry per declared rule at most.
     """

@@ -67,10 +67,10 @@ def row_failures(df: DataFrame, rule: RowRule) -> DataFrame:
 
 
 def summarize_rows(df: DataFrame, table: str, rules: Sequence[RowRule]) -> DataFrame:
-    """(table, rule, n_failed) for all row rules of a table, in a single scan without a row shuffle."""
+    """(table_name, rule, n_failed) for all row rules of a table, in a single scan without a row shuffle."""
     counts = df.agg(*[F.count_if(rule.failing()).alias(rule.name) for rule in rules])
     pairs = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.col(r.name).alias("n_failed")) for r in rules])
-    return counts.select(F.lit(table).alias("table"), F.inline(pairs))
+    return counts.select(F.lit(table).alias("table_name"), F.inline(pairs))
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:

@@ -119,11 +119,11 @@ def read_days(
 
 def landed_days(spark: SparkSession, base: str, tables: Iterable[RawTable]) -> DataFrame:
     """(table, dt) pairs that have at least one file."""
-    found = spark.createDataFrame([], "`table` string, dt string")
+    found = spark.createDataFrame([], "table_name string, dt string")
     for table in tables:
         files = _listed(spark, folder(base, table))
         if files is not None:
-            found = found.unionByName(files.select(F.lit(table.full_name).alias("table"), "dt").distinct())
+            found = found.unionByName(files.select(F.lit(table.full_name).alias("table_name"), "dt").distinct())
     return found
 
 
@@ -132,15 +132,15 @@ def missing_days(
 ) -> DataFrame:
     """Expected (table, dt) pairs without a file. ``optional`` names tables that may have none."""
     expected = spark.createDataFrame(
-        [(t.full_name, d) for t in tables if t.full_name not in optional for d in days], "`table` string, dt string",
+        [(t.full_name, d) for t in tables if t.full_name not in optional for d in days], "table_name string, dt string",
     )
-    return expected.join(landed_days(spark, base, tables), ["table", "dt"], "left_anti")
+    return expected.join(landed_days(spark, base, tables), ["table_name", "dt"], "left_anti")
 
 
 def require_days(
     spark: SparkSession, base: str, tables: Sequence[RawTable], days: Sequence[str], optional: Sequence[str] = (),
 ) -> None:
     """Stop unless every table landed for every day."""
-    missing = missing_days(spark, base, tables, days, optional).orderBy("table", "dt").take(100)
+    missing = missing_days(spark, base, tables, days, optional).orderBy("table_name", "dt").take(100)
     if missing:
-        raise RuntimeError("not landed: " + ", ".join(f"{r['table']} {r['dt']}" for r in missing))
+        raise RuntimeError("not landed: " + ", ".join(f"{r['table_name']} {r['dt']}" for r in missing))

@@ -18,14 +18,16 @@ def raw_path(raw_base: str, table: RawTable) -> str:
 
 def ingest_new_files(
     spark: SparkSession, landing: str, raw_base: str, table: RawTable, checkpoint: str | None = None,
+    files_per_batch: int | None = None,
 ) -> None:
     """Append the files not loaded yet, then stop. A value that does not fit its type stops the load
-    and leaves the batch unloaded."""
+    and leaves the batch unloaded. ``files_per_batch`` cuts a large backlog into several batches."""
     source = folder(landing, table)
     target = raw_path(raw_base, table)
     small = few_blocks(spark, source)
+    options = {**CSV_OPTIONS, **({"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {})}
     stream = (
-        spark.readStream.options(**CSV_OPTIONS).schema(text_ddl(table)).csv(source)
+        spark.readStream.options(**options).schema(text_ddl(table)).csv(source)
         .select(
             "*", F.col("_metadata.file_path").alias("_source_file"),
             F.col("_metadata.file_block_start").alias("_block"),

@@ -83,8 +83,8 @@ def read_range(spark: SparkSession, sf: str) -> DataFrame:
     return _per_day(read_days(spark, f"{base}/landing", VISITS, "2024-01-05", "2024-01-12"))
 
 
-@query("landed_days", "table:s dt:s", with_models("""
-SELECT DISTINCT 'crm.hcp_visit' AS "table", strftime(_loaded_at, '%Y-%m-%d') AS dt FROM raw_hcp_visit
+@query("landed_days", "table_name:s dt:s", with_models("""
+SELECT DISTINCT 'crm.hcp_visit' AS table_name, strftime(_loaded_at, '%Y-%m-%d') AS dt FROM raw_hcp_visit
 WHERE visit_date < '2024-01-20'"""))
 def landed(spark: SparkSession, sf: str) -> DataFrame:
     base, _ = _landed_visits(spark, sf, "landed")

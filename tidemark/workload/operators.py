@@ -392,8 +392,8 @@ def expired_shipped(spark: SparkSession, sf: str) -> DataFrame:
     return row_failures(shipped, expired_shipments())
 
 
-@query("row_rule_summary", "table:s rule:s n_failed:i", """
-SELECT 'lineitem' AS "table", rule, n_failed FROM (
+@query("row_rule_summary", "table_name:s rule:s n_failed:i", """
+SELECT 'lineitem' AS table_name, rule, n_failed FROM (
   SELECT 'not_null_l_orderkey' AS rule, count_if(l_orderkey IS NULL) AS n_failed FROM lineitem
   UNION ALL SELECT 'accepted_l_returnflag', count_if(l_returnflag NOT IN ('A', 'N')) FROM lineitem
   UNION ALL SELECT 'between_l_quantity', count_if(l_quantity <= 1 OR l_quantity >= 50) FROM lineitem
@@ -428,7 +428,7 @@ def _suite_sql(tables: list[str]) -> str:
 CHECKED = ["stg_sales_order", "stg_return", "dim_product", "dim_distributor", "fact_returns"]
 
 
-@query("dq_summary", "table:s rule:s n_failed:i", _suite_sql(CHECKED))
+@query("dq_summary", "table_name:s rule:s n_failed:i", _suite_sql(CHECKED))
 def dq_summary(spark: SparkSession, sf: str) -> DataFrame:
     return summary(Models(spark, sf), CHECKED, SUITE)
 
@@ -580,7 +580,7 @@ def left_lookups(spark: SparkSession, sf: str) -> DataFrame:
     rows = attach(rows, table(spark, sf, "nation"), {"c_nationkey": "n_nationkey"}, {"nation": "n_name", "n_regionkey": "n_regionkey"})
     rows = attach(rows, table(spark, sf, "region"), {"n_regionkey": "r_regionkey"}, {"region": "r_name"})
     dates = dims.calendar(spark, P.spine_start, P.spine_end)
-    rows = attach(rows, F.broadcast(dates), {"day": "date_day"}, {"date_key": "date_key", "day_name": "day_name"})
+    rows = attach(rows, dates, {"day": "date_day"}, {"date_key": "date_key", "day_name": "day_name"})
     groups = spark.createDataFrame(
         [("AUTOMOBILE", "Goods"), ("MACHINERY", "Goods"), ("BUILDING", "Homes")], "name string, grp string"
     )
