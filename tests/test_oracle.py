@@ -27,6 +27,8 @@ def test_query_matches_sql(spark, con, name):
     assert result.columns == df.columns
     only_spark, only_sql = differences([tuple(r) for r in df.collect()], result.fetchall())
     assert not only_spark and not only_sql, (only_spark[:3], only_sql[:3])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython", plan)
 
 
 def test_every_query_has_sql():
@@ -35,9 +37,3 @@ def test_every_query_has_sql():
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
-
-
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("warehouse_build", "ingest_new_files")])
-def test_plan_has_no_pairwise_join(spark, name):
-    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython", plan)
