@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import (
-    apply_revisions, changed_rows, close_missing, latest, overwrite_current, update_columns, versions, with_next,
+    apply_revisions, changed_rows, close_missing, history_changes, latest, overwrite_current, update_columns, versions, with_next,
     with_previous,
 )
 
@@ -97,6 +97,20 @@ def test_a_deleted_key_that_returns_is_opened_again(spark):
     assert rows(newer.select("valid_from", "valid_to"), "valid_from") == [(day(1, 7), day(10)), (day(15, 7), None)]
 
 
+def test_history_changes_are_the_changed_versions_only(spark):
+    history = versions(
+        revisions(spark, ("a", "1", 1, 7), ("a", "2", 3, 7), ("b", "1", 1, 7), ("c", "1", 1, 7), ("d", "1", 1, 7)), "k", "at"
+    )
+    batch = revisions(spark, ("a", "2", 3, 7), ("a", "3", 5, 7), ("e", "1", 5, 7), ("d", "1", 1, 7))
+    expected = [("a", "2", day(3, 7), day(5, 7)), ("a", "3", day(5, 7), None), ("e", "1", day(5, 7), None)]
+    columns = ["k", "v", "valid_from", "valid_to"]
+    assert rows(history_changes(history, batch, "k", "at", RUN).select(columns), "k", "v") == expected
+    extract = spark.createDataFrame([("a",), ("b",), ("e",)], "k string")  # c and d are gone
+    closed = history_changes(history, batch, "k", "at", RUN, extract)
+    gone = [("c", "1", day(1, 7), RUN), ("d", "1", day(1, 7), RUN)]
+    assert rows(closed.select(columns), "k", "v") == sorted(expected + gone, key=lambda r: r[:2])
+
+
 def test_overwrite_current_keeps_the_first_load(spark):
     first = overwrite_current(None, spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), "k", day(1))
     second = overwrite_current(first, spark.createDataFrame([("b", 2), ("c", 2)], "k string, v int"), "k", day(2))

@@ -50,18 +50,18 @@ def close_missing(
 
 
 def apply_revisions(
-    history: DataFrame, batch: DataFrame, key: str, updated_at: str, run_ts: dt.datetime,
+    history: DataFrame, batch: DataFrame, key: str, updated_at: str, run_ts: dt.datetime, touched_only: bool = False,
 ) -> DataFrame:
     """Bring new revisions into an existing history.
 
     A revision sent again unchanged (same key and ``updated_at``) is ignored, unless its key
     has no open version any more: the key has come back, and is opened again at ``run_ts``.
-    Only histories of keys in the batch are rebuilt; the others pass through. A version closed
-    earlier (hard delete) keeps its end unless a new revision starts before it.
+    Only histories of keys in the batch are rebuilt; the others pass through, or are left out with
+    ``touched_only``. A version closed earlier (hard delete) keeps its end unless a new revision
+    starts before it.
     """
     columns = history.columns
     touched = batch.select(key).distinct()
-    untouched = history.join(touched, key, "left_anti")
     old = history.join(touched, key, "left_semi")
 
     known = old.groupBy(F.col(key), F.col(updated_at)).agg(F.lit(True).alias("_known"))
@@ -78,7 +78,27 @@ def apply_revisions(
     merged = old.select(columns).unionByName(fresh.select(columns))
     rebuilt = with_next(merged, [key], ["valid_from"], F.col("valid_from"), "_next")
     rebuilt = rebuilt.withColumn("valid_to", F.least("valid_to", "_next"))  # least skips nulls
-    return untouched.select(columns).unionByName(rebuilt.select(columns))
+    rebuilt = rebuilt.select(columns)
+    if touched_only:
+        return rebuilt
+    return history.join(touched, key, "left_anti").select(columns).unionByName(rebuilt)
+
+
+def history_changes(
+    history: DataFrame, batch: DataFrame, key: str, updated_at: str, run_ts: dt.datetime,
+    extract: DataFrame | None = None,
+) -> DataFrame:
+    """The versions that new revisions, and keys missing from ``extract``, add to or change in a history.
+
+    Upserted by (key, valid_from) they bring the history up to date; all other versions stay untouched.
+    """
+    rows = apply_revisions(history, batch, key, updated_at, run_ts, touched_only=True)
+    if extract is not None:
+        still_open = history.filter(F.col("valid_to").isNull()).join(batch.select(key).distinct(), key, "left_anti")
+        rows = close_missing(rows.unionByName(still_open.select(rows.columns)), extract, key, run_ts)
+    known = history.select(key, "valid_from", F.col("valid_to").alias("_old"), F.lit(True).alias("_known"))
+    same = F.col("_known").isNotNull() & F.col("valid_to").eqNullSafe(F.col("_old"))
+    return rows.join(known, [key, "valid_from"], "left").filter(~same).select(history.columns)
 
 
 def update_columns(columns: Sequence[str], exclude: Sequence[str] = ()) -> list[str]:

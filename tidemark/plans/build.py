@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators import IncrementalTable, apply_revisions, close_missing, since_lookback
+from tidemark.operators import IncrementalTable, close_missing, history_changes, since_lookback
 from tidemark.params import Params
 from tidemark.plans import dims, facts, intermediate, reports, staging
 from tidemark.quality import at_risk_count, check_limit, run_suite
@@ -75,7 +75,7 @@ class WarehouseBuild:
 
         ``since`` lets models that look at one row at a time skip the months before it.
         """
-        if name in STAGED_TABLES or name in FACTS:
+        if name in STAGED_TABLES or name in FACTS or name in HISTORIES:
             return self.table(name).read(since)
         if name in STAGING:
             return self.staged(name)
@@ -100,7 +100,10 @@ class WarehouseBuild:
         return build(self.raw(source, since))
 
     def table(self, name: str) -> IncrementalTable:
-        keys, date_column = STAGED_TABLES[name] if name in STAGED_TABLES else FACTS[name][:2]
+        if name in HISTORIES:
+            keys, date_column = [HISTORIES[name][1], "valid_from"], "valid_from"
+        else:
+            keys, date_column = STAGED_TABLES[name] if name in STAGED_TABLES else FACTS[name][:2]
         return IncrementalTable(self.spark, self.store.path(name), keys, date_column)
 
     # -- tables -----------------------------------------------------------------
@@ -117,26 +120,27 @@ class WarehouseBuild:
     def write_history(
         self, name: str, extract: DataFrame | None = None, since: str | None = None, full_refresh: bool = False,
     ) -> None:
-        """Rebuild or extend a history. ``extract`` is the latest full extract, if deleted keys
-        are to be closed."""
+        """Rebuild a history, or bring in what changed: only the months holding a changed version are
+        rewritten. ``extract`` is the latest full extract, if deleted keys are to be closed."""
         source, key = HISTORIES[name]
-        fresh = full_refresh or not self.store.exists(name)
+        table = self.table(name)
+        fresh = full_refresh or not table.exists()
         revisions = self.staged(source, None if fresh else since).drop("_loaded_at")
         if fresh:
             rows = dims.history(revisions, key)
-        else:
-            stored = self.store.read(name)
-            newer = revisions.join(stored.select(key, "source_updated_at"), [key, "source_updated_at"], "left_anti")
-            if extract is not None:  # keys back in the extract after their version was closed
-                open_keys = stored.filter(F.col("valid_to").isNull()).select(key).distinct()
-                back = revisions.join(extract.select(key).distinct(), key, "left_semi").join(open_keys, key, "left_anti")
-                newest = back.groupBy(key).agg(F.max("source_updated_at").alias("source_updated_at"))
-                back = back.join(newest, [key, "source_updated_at"], "left_semi")
-                newer = newer.unionByName(back).distinct()
-            rows = apply_revisions(stored, newer, key, "source_updated_at", self.params.run_ts)
-        if extract is not None:
-            rows = close_missing(rows, extract, key, self.params.run_ts)
-        (self.store.write if fresh else self.store.replace)(name, rows)
+            if extract is not None:
+                rows = close_missing(rows, extract, key, self.params.run_ts)
+            table.rebuild(rows)
+            return
+        stored = table.read()
+        newer = revisions.join(stored.select(key, "source_updated_at"), [key, "source_updated_at"], "left_anti")
+        if extract is not None:  # keys back in the extract after their version was closed
+            open_keys = stored.filter(F.col("valid_to").isNull()).select(key).distinct()
+            back = revisions.join(extract.select(key).distinct(), key, "left_semi").join(open_keys, key, "left_anti")
+            newest = back.groupBy(key).agg(F.max("source_updated_at").alias("source_updated_at"))
+            back = back.join(newest, [key, "source_updated_at"], "left_semi")
+            newer = newer.unionByName(back).distinct()
+        table.upsert(history_changes(stored, newer, key, "source_updated_at", self.params.run_ts, extract))
 
     def write_dim(self, name: str, full_refresh: bool = False) -> None:
         read, store, params = self.model, self.store, self.params
