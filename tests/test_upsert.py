@@ -78,11 +78,18 @@ def test_an_empty_batch_and_a_replay_change_nothing(spark, fact):
     assert rows(fact.read(), "id") == expected
 
 
+def test_early_years_keep_their_month(spark, fact):
+    old = spark.createDataFrame([(7, d("0001-02-03"), "first")], DDL)
+    fact.upsert(old)
+    fact.upsert(spark.createDataFrame([(7, d("0001-02-04"), "again"), (8, d("2026-06-01"), "new")], DDL))
+    assert rows(fact.read().filter("id >= 7"), "id") == [(7, d("0001-02-04"), "again"), (8, d("2026-06-01"), "new")]
+
+
 def test_full_refresh_drops_what_is_not_in_the_source(spark, fact):
     fact.rebuild(spark.createDataFrame([(9, d("2026-01-01"), "x")], DDL))
     assert rows(fact.read()) == [(9, d("2026-01-01"), "x")]
 
 
 def test_newest_date_reads_one_month(spark, fact):
-    stored = fact._stored().filter("_month = '202606'")
+    stored = fact._stored().filter("_month = 'm202606'")
     assert "PartitionFilters: [isnotnull(_month" in stored._jdf.queryExecution().executedPlan().toString()

@@ -51,21 +51,19 @@ class IncrementalTable:
         where, fs = self._fs()
         return fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(where, "_SUCCESS"))
 
-    def _load(self, path: str) -> DataFrame:
-        return self.spark.read.parquet(path).withColumn(self.MONTH, F.col(self.MONTH).cast("string"))
-
     def _stored(self) -> DataFrame:
-        return self._load(self.path)
+        return self.spark.read.parquet(self.path)
 
     def read(self, since: dt.date | None = None) -> DataFrame:
         """All rows, or the months from that of ``since`` on (folders of earlier months are not read)."""
         stored = self._stored()
         if since is not None:
-            stored = stored.filter(F.col(self.MONTH) >= f"{since:%Y%m}")
+            stored = stored.filter(F.col(self.MONTH) >= f"m{since:%Y%m}")
         return stored.drop(self.MONTH)
 
     def _with_month(self, rows: DataFrame) -> DataFrame:
-        month = F.coalesce(F.date_format(self.date_column, "yyyyMM"), F.lit("none"))
+        # A letter in front keeps folder names text when they are read back.
+        month = F.coalesce(F.date_format(self.date_column, "'m'yyyyMM"), F.lit("none"))
         return rows.withColumn(self.MONTH, month)
 
     def newest_date(self) -> dt.date | None:
@@ -97,7 +95,7 @@ class IncrementalTable:
             return
         self._write(self._with_month(batch), self.batch)
         try:
-            batch = self._load(self.batch)
+            batch = self.spark.read.parquet(self.batch)
         except AnalysisException:  # an empty batch leaves no file to read a schema from
             return
         stored = self._stored()
@@ -111,12 +109,12 @@ class IncrementalTable:
 
     def replay_staged(self) -> None:
         """Finish an upsert that died after staging; harmless when it had finished."""
-        months = self._load(self.staged).select(self.MONTH).distinct().collect()
+        months = self.spark.read.parquet(self.staged).select(self.MONTH).distinct().collect()
         self._switch([r[0] for r in months])
 
     def _switch(self, months: Sequence[str]) -> None:
         try:
-            staged = self._load(self.staged)
+            staged = self.spark.read.parquet(self.staged)
             held = {r[0] for r in staged.select(self.MONTH).distinct().collect()}
         except AnalysisException:  # nothing staged: every touched month is now empty
             staged, held = None, set()
