@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import source_mix
+from tidemark.llm import decontaminate, source_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), "found")
+    return found.select(
+        "doc_id", "found.n_words", "found.n_hit", F.size("found.item_ids").cast("long").alias("n_items"),
+        decontaminate.items_digest("found").alias("items_sha256"), decontaminate.contaminated("found").alias("contaminated"),
+        "found.matches")
+
+
 @query
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
