@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, source_mix
+from tidemark.llm import decontaminate, source_mix, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_table(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
