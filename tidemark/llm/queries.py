@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, source_mix, token_files
+from tidemark.llm import automaton_dedup, decontaminate, source_mix, suffix_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,11 +21,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def removed() -> Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
+
+
+@query
+def op2_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = automaton_dedup.remove_repeated_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("n_units").alias("n_words"), removed().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_table(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.col("n_units").alias("n_bytes"), removed().alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -24,10 +24,15 @@ def folder(spark: SparkSession, purpose: str) -> str:
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows as a Parquet table of its own: computed once, and safe from lost executors."""
+    """The rows as a Parquet table of its own: computed once, and safe from lost executors.
+
+    Shuffle files of the job are of no more use then. Spark removes them once the driver's JVM has collected what refers
+    to them, which may be long after; asking for it here keeps the disk free for the next step.
+    """
     spark = df.sparkSession
     path = folder(spark, purpose)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
