@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import automaton_dedup, decontaminate, source_mix, suffix_dedup, token_files
+from tidemark.llm import automaton_dedup, decontaminate, jaccard_join, source_mix, suffix_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,6 +44,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
