@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import automaton_dedup, decontaminate, jaccard_join, source_mix, suffix_dedup, token_files
+from tidemark.llm import automaton_dedup, decontaminate, jaccard_join, source_mix, suffix_dedup, token_files, weak_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = weak_quality.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), "quality")
+    return judged.select("doc_id", "quality.*")
+
+
 def removed() -> Column:
     return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
 
