@@ -85,8 +85,11 @@ LABELLERS = (
 
 
 def per_doc(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    upto = np.concatenate([[0], np.cumsum(values, dtype=np.float64)])
-    return upto[offsets[1:]] - upto[offsets[:-1]]
+    """Sums by text; a text's sum does not depend on the texts around it."""
+    out, full = np.zeros(len(offsets) - 1), np.flatnonzero(np.diff(offsets))
+    if len(full):
+        out[full] = np.add.reduceat(values.astype(np.float64), offsets[full])
+    return out
 
 
 def _distinct(hashes: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
@@ -144,7 +147,8 @@ class Texts:
             shape = shape * np.uint64(8) + _CLASS[data[np.maximum(words.end - k, words.first)]]
         shape = mix(shape + np.uint64(1))
         before = np.where(self.first, np.uint64(0), np.roll(shape, 1))
-        said = np.where(self.echo, np.uint64(1), np.where(np.roll(self.hashes, 2) == self.hashes, np.uint64(2), np.uint64(3)))
+        second = ~self.first & ~np.roll(self.first, 1)  # at least two words of the text stand before
+        said = np.where(self.echo, np.uint64(1), np.where(second & (np.roll(self.hashes, 2) == self.hashes), np.uint64(2), np.uint64(3)))
         kinds = (self.hashes, shape, shape * np.uint64(5) + before, said)
         return np.stack([(mix(x * np.uint64(16) + np.uint64(k + 1)) % np.uint64(BUCKETS)).astype(np.int32) for k, x in enumerate(kinds)], 1)
 
