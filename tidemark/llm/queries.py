@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import automaton_dedup, decontaminate, jaccard_join, source_mix, suffix_dedup, token_files, weak_quality
+from tidemark.llm import automaton_dedup, decontaminate, jaccard_join, prefix_forest, source_mix, suffix_dedup, token_files, weak_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,6 +50,12 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op6_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return prefix_forest.nearest_neighbours(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 @query
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
