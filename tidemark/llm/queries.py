@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import automaton_dedup, decontaminate, jaccard_join, prefix_forest, source_mix, suffix_dedup, token_files, weak_quality
+from tidemark.llm import automaton_dedup, chat_repair, decontaminate, jaccard_join, prefix_forest, source_mix, suffix_dedup, token_files, weak_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,6 +42,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_table(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op4_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair_chats(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
