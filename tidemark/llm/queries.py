@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import automaton_dedup, chat_repair, decontaminate, jaccard_join, prefix_forest, source_mix, suffix_dedup, token_files, weak_quality
+from tidemark.llm import automaton_dedup, chat_repair, decontaminate, jaccard_join, license_scan, prefix_forest, source_mix, suffix_dedup, token_files, weak_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -82,3 +82,9 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(
         "doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
         F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), "found")
+    return found.select("doc_id", "found.*")
