@@ -8,10 +8,10 @@ windows have equal anchors, and about two in length - anchor + 2 places are anch
    entry for all documents of the task that share a region: the smallest id. The others are known to be repeats.
 2. ``judge``: in a bucket, a region that a smaller id has as well is a repeat as a whole. An anchor with several different regions
    is undecided: the first holder of each region is asked for its units.
-3. ``answer``: documents meet their verdicts, and those asked send the regions, keyed by anchor, with nothing else of the text.
+3. ``ask``: documents meet their verdicts, and those asked send the regions, keyed by anchor, with nothing else of the text.
    The regions of an anchor with very many of them go window by window, keyed by window hash, so no anchor is a hot key.
 4. ``solve``, given by the operator, compares the asked windows unit by unit, key by key.
-5. ``finish``: the documents that were asked meet the answers.
+5. ``finish``: documents meet the repeated regions and the windows found, and what is covered goes.
 
 Equal regions are told by 64-bit hashes within an anchor of equal 32-bit hash; what differs there is compared in full.
 """
@@ -224,10 +224,6 @@ def judge(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBa
                 pa.array(ids[who]), pa.array(tkeys[who]), *(pack(regions[some][x[some]], u) for x, u in zip((repeat, asked, split), upto))], names=_VERDICT)
 
 
-ANSWER = "doc_id long, tkey long, n_units long, spans binary, body binary, asked array<struct<key:long,first:long,units:binary>>"
-_ASKED = pa.list_(pa.struct([("key", pa.int64()), ("first", pa.int64()), ("units", pa.binary())]))
-
-
 def merged(first: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Disjoint runs in order, as rows (first, end); touching runs are one."""
     if not len(first):
@@ -238,36 +234,33 @@ def merged(first: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.stack([first[new], reach[np.append(new[1:], len(first)) - 1]], 1)
 
 
-def answer(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+ASKED = "doc_id long, tkey long, key long, first long, units binary"
+
+
+def ask(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """The regions (or single windows) that the verdicts on a document ask for."""
     for batch in batches:
         for rows, data, offsets in slices(batch, "text"):
-            verdicts = column(rows, "verdicts").to_pylist()
             units = Units(rule, data, offsets)
-            judged = [k for k, v in enumerate(verdicts) if v]
-            some = anchors(rule, units) if judged else None
-            spans, asked, bodies = [], [], []
-            for k, verdict in enumerate(verdicts):
-                found, asks = np.zeros((0, 2), np.int64), []
-                if verdict:
-                    a, z = np.searchsorted(some.doc, [k, k + 1])
-                    first, last, key, region = some.first[a:z], some.last[a:z], some.key[a:z], some.region[a:z]
-                    base = int(units.offsets[k])
-                    told = [unpack([v[c] for v in verdict], np.uint64) for c in ("repeats", "asked", "split")]
-                    hit = np.isin(region, told[0])
-                    found = merged(first[hit] - base, last[hit] - base + rule.length)
-                    for j in np.flatnonzero(np.isin(region, told[1])).tolist():
-                        asks.append({"key": int(key[j].astype(np.int64)), "first": int(first[j]) - base, "units": units.between(int(first[j]), int(last[j]) + rule.length)})
-                    for j in np.flatnonzero(np.isin(region, told[2])).tolist():
-                        at = np.arange(first[j], last[j] + 1)
-                        own = Runs(units.values[first[j]:last[j] + rule.length]).every(rule.length).view(np.int64)
-                        asks += [{"key": int(h), "first": int(i) - base, "units": units.between(int(i), int(i) + rule.length)} for i, h in zip(at, own)]
-                spans.append(found.tobytes())
-                asked.append(asks)
-                text = units.raw[offsets[k]:offsets[k + 1]]
-                bodies.append(text if asks else without(rule, text, found.tolist()))
-            yield pa.RecordBatch.from_arrays([
-                column(rows, "doc_id"), column(rows, "tkey"), pa.array(np.diff(units.offsets)), pa.array(spans, pa.binary()), pa.array(bodies, pa.binary()),
-                pa.array(asked, _ASKED)], names=["doc_id", "tkey", "n_units", "spans", "body", "asked"])
+            some = anchors(rule, units)
+            edge = np.searchsorted(some.doc, np.arange(rows.num_rows + 1))
+            owner, keys, firsts, cells = [], [], [], []
+            for k, verdict in enumerate(column(rows, "verdicts").to_pylist()):
+                part = slice(edge[k], edge[k + 1])
+                whole, split = (np.isin(some.region[part], unpack([v[c] for v in verdict], np.uint64)) for c in ("asked", "split"))
+                base, first, last = int(units.offsets[k]), some.first[part], some.last[part]
+                keys.append(some.key[part][whole].view(np.int64))
+                firsts.append(first[whole] - base)
+                cells += [units.between(f, z + rule.length) for f, z in zip(first[whole].tolist(), last[whole].tolist())]
+                for f, z in zip(first[split].tolist(), last[split].tolist()):
+                    keys.append(Runs(units.values[f:z + rule.length]).every(rule.length).view(np.int64))
+                    firsts.append(np.arange(f, z + 1) - base)
+                    cells += [units.between(i, i + rule.length) for i in range(f, z + 1)]
+                owner += [k] * (len(cells) - len(owner))
+            if owner:
+                yield pa.RecordBatch.from_arrays([
+                    column(rows, "doc_id").take(pa.array(owner)), column(rows, "tkey").take(pa.array(owner)), pa.array(np.concatenate(keys)),
+                    pa.array(np.concatenate(firsts)), pa.array(cells, pa.binary())], names=["doc_id", "tkey", "key", "first", "units"])
 
 
 def compare(batches: Iterator[pa.RecordBatch], rule: Rule, solve: Callable) -> Iterator[pa.RecordBatch]:
@@ -291,16 +284,26 @@ _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 
 def finish(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kept, out = [], []
-        for spans, body, pending, starts in zip(*(column(batch, c).to_pylist() for c in ("spans", "body", "pending", "starts"))):
-            found = np.frombuffer(spans, np.int64).reshape(-1, 2)
-            if pending:
-                more = unpack(starts or [], np.int64)
-                found = merged(np.concatenate([found[:, 0], more]), np.concatenate([found[:, 1], more + rule.length]))
-                body = without(rule, body, found.tolist())
-            kept.append(body)
-            out.append([{"first": a, "end": z} for a, z in found.tolist()])
-        yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "n_units"), pa.array(out, _SPANS), pa.array(kept, pa.binary())], names=["doc_id", "n_units", "spans", "kept"])
+        for rows, data, offsets in slices(batch, "text"):
+            units = Units(rule, data, offsets)
+            marks = column(rows, "marks").to_pylist()
+            some = anchors(rule, units) if any(m["repeats"] for mark in marks for m in mark or ()) else None
+            kept, spans = [], []
+            for k, mark in enumerate(marks):
+                base = int(units.offsets[k])
+                first, end = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                if mark and some:
+                    a, z = np.searchsorted(some.doc, [k, k + 1])
+                    hit = np.isin(some.region[a:z], unpack([m["repeats"] for m in mark if m["repeats"]], np.uint64))
+                    first, end = some.first[a:z][hit] - base, some.last[a:z][hit] - base + rule.length
+                if mark:
+                    starts = unpack([m["starts"] for m in mark if m["starts"]], np.int64)
+                    first, end = np.concatenate([first, starts]), np.concatenate([end, starts + rule.length])
+                found = merged(first, end).tolist()
+                kept.append(without(rule, units.raw[offsets[k]:offsets[k + 1]], found))
+                spans.append([{"first": f, "end": z} for f, z in found])
+            yield pa.RecordBatch.from_arrays([
+                column(rows, "doc_id"), pa.array(np.diff(units.offsets)), pa.array(spans, _SPANS), pa.array(kept, pa.binary())], names=["doc_id", "n_units", "spans", "kept"])
 
 
 def remove_repeats(docs: DataFrame, rule: Rule, solve: Callable) -> DataFrame:
@@ -309,13 +312,10 @@ def remove_repeats(docs: DataFrame, rule: Rule, solve: Callable) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tkey"))
     sent = arrays(texts, PROBE, partial(probe, rule=rule, buckets=n))
     verdicts = written(arrays(sent.repartition(n, "bucket").sortWithinPartitions("bucket"), VERDICT, partial(judge, rule=rule)), "repeat-verdicts")
-    per_doc = verdicts.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("repeats", "asked", "split")).alias("verdicts"))
-    met = texts.join(per_doc.hint("shuffle_hash"), ["doc_id", "tkey"], "left")
-    answers = written(arrays(met, ANSWER, partial(answer, rule=rule)), "repeat-answers")
-    asked = answers.select("doc_id", "tkey", F.explode("asked").alias("a")).select("doc_id", "tkey", "a.*")
-    found = arrays(asked.repartition(n, "key").sortWithinPartitions("key"), "doc_id long, tkey long, starts binary", partial(compare, rule=rule, solve=solve))
-    starts = found.groupBy("doc_id", "tkey").agg(F.collect_list("starts").alias("starts"))
-    rows = answers.select("doc_id", "tkey", "n_units", "spans", "body", (F.size("asked") > 0).alias("pending"))
-    settled = rows.filter(~F.col("pending")).withColumn("starts", F.lit(None).cast("array<binary>"))
-    open_rows = rows.filter("pending").join(starts.hint("shuffle_hash"), ["doc_id", "tkey"], "left")
-    return arrays(settled.unionByName(open_rows), RESULT, partial(finish, rule=rule))
+    told = verdicts.filter("length(asked) > 0 or length(split) > 0").groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("asked", "split")).alias("verdicts"))
+    asked = arrays(texts.join(told.hint("shuffle_hash"), ["doc_id", "tkey"]), ASKED, partial(ask, rule=rule))
+    starts = written(arrays(
+        asked.repartition(n, "key").sortWithinPartitions("key"), "doc_id long, tkey long, starts binary", partial(compare, rule=rule, solve=solve)), "repeat-starts")
+    marks = verdicts.filter("length(repeats) > 0").select("doc_id", "tkey", "repeats").unionByName(starts, allowMissingColumns=True) \
+        .groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("repeats", "starts")).alias("marks"))
+    return arrays(texts.join(marks.hint("shuffle_hash"), ["doc_id", "tkey"], "left"), RESULT, partial(finish, rule=rule))
