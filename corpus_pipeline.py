@@ -9,18 +9,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import source_mix
+from tidemark.llm import decontaminate, jaccard_join, source_mix, token_files, weak_quality
 from tidemark.llm.scratch import written
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the scorer rejects goes."""
+    return weak_quality.good_documents(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    return jaccard_join.one_per_group(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a twentieth of their words in benchmark passages go."""
+    return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document appears as often as the mix takes it."""
     return source_mix.repeated(docs)
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token files, read back: one row for each copy of a document."""
+    return token_files.token_table(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
     ("mixing sources to target weights", mix),
+    ("token-ID / binary output", tokens),
 ]
+#: Trained weights, links over several steps and tokenizers are beyond SQL: tests/llm/test_pipeline.py compares with plain versions.
 ORACLE_SQL = None
 
 
