@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.llm.oracle import SQL  # noqa: F401  (SQL twins, where SQL can say it)
 from tidemark.llm import automaton_dedup, chat_repair, decontaminate, jaccard_join, license_scan, prefix_forest, source_mix, suffix_dedup, token_files, weak_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -72,8 +72,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), "found")
     return found.select(
         "doc_id", "found.n_words", "found.n_hit", F.size("found.item_ids").cast("long").alias("n_items"),
-        decontaminate.items_digest("found").alias("items_sha256"), decontaminate.contaminated("found").alias("contaminated"),
-        "found.matches")
+        decontaminate.items_digest("found").alias("items_sha256"), decontaminate.contaminated("found").alias("contaminated"))
 
 
 @query
