@@ -66,6 +66,10 @@ def test_suite_run_stores_failing_rows(spark, facts, tmp_path):
     assert sorted(failed) == [("facts", "not_null_fk", 1), ("facts", "parent_fk", 2), ("facts", "unique_id", 1)]
     assert rows(spark.read.parquet(f"{tmp_path}/facts/unique_id")) == [(2, 2)]
     assert spark.read.parquet(f"{tmp_path}/facts/not_null_fk").count() == 1
+    assert spark.read.parquet(f"{tmp_path}/facts/between_x").count() == 0
+    tables["facts"] = facts.filter("fk is not null")  # mended: the old rows are gone
+    run_suite(tables.__getitem__, ["facts"], str(tmp_path), suite)
+    assert spark.read.parquet(f"{tmp_path}/facts/not_null_fk").count() == 0
 
 
 def test_the_gate(spark):

@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 
 from tidemark.operators import IncrementalTable, merge_rows, since_lookback
+from tidemark.operators.upsert import may_match
 
 DDL = "id int, day date, v string"
 
@@ -93,3 +94,69 @@ def test_full_refresh_drops_what_is_not_in_the_source(spark, fact):
 def test_newest_date_reads_one_month(spark, fact):
     stored = fact._stored().filter("_month = 'm202606'")
     assert "PartitionFilters: [isnotnull(_month" in stored._jdf.queryExecution().executedPlan().toString()
+
+
+class Died(Exception):
+    pass
+
+
+def dying(table, moves):
+    """The table's process dies after so many folder moves."""
+    done = table._move
+
+    def move(path, to):
+        if moves[0] == 0:
+            raise Died
+        moves[0] -= 1
+        done(path, to)
+
+    table._move = move
+    return table
+
+
+@pytest.mark.parametrize("moves", [0, 1, 2])
+def test_an_upsert_that_dies_while_switching_is_finished(spark, fact, moves):
+    again = IncrementalTable(spark, fact.path, ["id"], "day")
+    batch = spark.createDataFrame([(2, d("2026-06-02"), "moved"), (1, d("2026-04-11"), "new"), (6, d("2026-07-01"), "new")], DDL)
+    with pytest.raises(Died):
+        dying(fact, [moves]).upsert(batch)
+    again.recover()
+    assert rows(again.read(), "id") == [
+        (1, d("2026-04-11"), "new"), (2, d("2026-06-02"), "moved"), (3, d("2026-06-23"), "old"), (4, d("2026-06-30"), "old"),
+        (5, None, "undated"), (6, d("2026-07-01"), "new"),
+    ]
+    assert not any("202605" in f for f in files(again))
+    again.recover()
+    assert again.read().count() == 6
+
+
+def test_an_upsert_that_dies_before_it_is_decided_changes_nothing(spark, fact):
+    expected = rows(fact.read(), "id")
+    again = IncrementalTable(spark, fact.path, ["id"], "day")
+    fact.recover = lambda: None
+    fact._write(fact._with_month(spark.createDataFrame([(1, d("2026-04-11"), "new")], DDL)), fact.staged)
+    again.recover()
+    assert rows(again.read(), "id") == expected
+
+
+def test_a_full_refresh_that_dies_is_finished_and_stays(spark, fact):
+    again = IncrementalTable(spark, fact.path, ["id"], "day")
+    fact.upsert(spark.createDataFrame([(1, d("2026-04-11"), "new")], DDL))
+    with pytest.raises(Died):
+        dying(fact, [0]).rebuild(spark.createDataFrame([(9, d("2026-01-01"), "x")], DDL))
+    assert again.newest_date() == d("2026-01-01")
+    again.recover()
+    assert rows(again.read()) == [(9, d("2026-01-01"), "x")]
+
+
+def test_a_table_may_be_rebuilt_from_itself(spark, fact):
+    fact.rebuild(fact.read().filter("id < 3"))
+    assert [r[0] for r in rows(fact.read(), "id")] == [1, 2]
+
+
+def test_stored_keys_are_filtered_before_they_are_shuffled(spark, fact):
+    batch = spark.createDataFrame([(4, d("2026-06-30"), "new")], DDL)
+    near = may_match(fact._stored(), batch, ["id"])
+    assert [r.id for r in near.collect()] == [4]
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "getbit" in plan and "SortMergeJoin" not in plan

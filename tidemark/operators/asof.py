@@ -1,46 +1,32 @@
 """As-of join: the dimension version valid at the time of each fact.
 
-Two exact ways, chosen by the measured size of the version side:
-
-``broadcast``  key equality plus a range condition against a broadcast table. Used only when
-               the columns needed are measured to fit ``broadcast_bytes``.
-``scan``       for version tables of any size. The distinct (key, time) pairs of the facts are
+``scan``       the default, for version tables of any size. The distinct (key, time) pairs of the facts are
                merged with the versions in time order and take the last version started so
                far. The merge runs per (key, hour); what was valid when an hour began is carried
                in from a table of at most one row per key and hour. No key is sorted in one
                task, and no pairs of facts and versions are ever formed.
+``broadcast``  key equality plus a range condition against a broadcast table, for callers who know the
+               version table to be small and its keys to have few versions each. Never chosen by itself.
 
-``scan`` needs versions of one key not to overlap, which histories from ``versions`` satisfy.
+Both give the same answer: the version of the key that started last holds, until its own end, even
+if an older version of the key has not ended yet. Of versions that start together, the one that
+ends last holds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.neighbors import time_slot
 
 ALWAYS = "0001-01-01 00:00:00"  # sorts before every other time
 NEVER = "9999-12-31"
-BROADCAST_BYTES = 64 * 1024 * 1024
-BROADCAST_ROWS = 1_000_000
-
-
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Measure ``df`` in one aggregation: its rows, and the bytes of its text columns plus a fixed width."""
-    width = F.lit(32 + 16 * len(df.columns))
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    size = df.agg(F.count("*").alias("n"), F.sum(width).alias("bytes")).first()
-    return size["n"] <= max_rows and (size["bytes"] or 0) <= max_bytes
-
 
 def asof_join(
     facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, at: str, columns: Mapping[str, str],
-    *, granularity: str = "timestamp", first_open: bool = False, strategy: str = "auto",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    *, granularity: str = "timestamp", first_open: bool = False, strategy: str = "scan",
 ) -> DataFrame:
     """Left join ``facts`` to the version of ``dim`` valid at ``at``; unmatched facts keep nulls.
 
@@ -69,11 +55,12 @@ def asof_join(
             F.when(F.col("_from") == F.col("_first"), F.lit(ALWAYS).cast("timestamp_ntz"))
             .otherwise(F.col("_from")),
         ).drop("_first")
-    if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(narrow, broadcast_bytes) else "scan"
     moment = F.col(at).cast("timestamp_ntz")
     picked = [F.col(f"_v_{out}").alias(out) for out in columns]
     if strategy == "broadcast":
+        # A version ends where the next one of its key starts, if not before.
+        started = Window.partitionBy("_k").orderBy("_from", F.coalesce("_to", F.lit(NEVER).cast("timestamp_ntz")))
+        narrow = narrow.withColumn("_to", F.least("_to", F.lead("_from").over(started)))
         hit = (
             (F.col(fact_key) == F.col("_k")) & (moment >= F.col("_from"))
             & (moment < F.coalesce("_to", F.lit(NEVER).cast("timestamp_ntz")))
@@ -95,12 +82,13 @@ def _resolve(probes: DataFrame, versions: DataFrame) -> DataFrame:
     started = versions.select(
         "_k", F.col("_from").alias("_t"), F.lit(0).alias("_kind"), F.struct(*payload).alias("_v"),
     ).select("*", slot)
+    ends = F.coalesce("_v._to", F.lit(NEVER).cast("timestamp_ntz"))
     none = F.lit(None).cast(started.schema["_v"].dataType)
     asked = probes.select("_k", "_t", F.lit(1).alias("_kind"), none.alias("_v"), slot)
 
     # Per key and slot: the last version started, and whether a fact asks in that slot.
     slots = (
-        started.groupBy("_k", "_slot").agg(F.max_by("_v", "_t").alias("_v"))
+        started.groupBy("_k", "_slot").agg(F.max_by("_v", F.struct("_t", ends)).alias("_v"))
         .select("_k", "_slot", F.lit(0).alias("_asks"), "_v")
         .unionByName(
             asked.select("_k", "_slot").distinct().select("_k", "_slot", F.lit(1).alias("_asks"), none.alias("_v"))
@@ -114,7 +102,7 @@ def _resolve(probes: DataFrame, versions: DataFrame) -> DataFrame:
         .select("_k", F.lit(ALWAYS).cast("timestamp_ntz").alias("_t"), F.lit(-1).alias("_kind"), "_v", "_slot")
     )
     in_order = (
-        Window.partitionBy("_k", "_slot").orderBy("_t", "_kind")
+        Window.partitionBy("_k", "_slot").orderBy("_t", "_kind", ends)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     merged = (

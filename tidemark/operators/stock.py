@@ -11,8 +11,8 @@ from tidemark.operators.dedupe import first_per_key
 
 
 def days_on_hand(stock: Column, daily_use: Column) -> Column:
-    """Stock divided by average daily use, one decimal; null where nothing moves."""
-    runway = (stock.cast("decimal(18,0)") / daily_use).cast("decimal(30,6)")
+    """Stock divided by average daily use, one decimal; null where nothing moves. Neither is rounded before."""
+    runway = (stock / daily_use).cast("decimal(30,6)")
     return F.when(daily_use != 0, F.round(runway, 1))
 
 

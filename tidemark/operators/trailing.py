@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def _join_back(rows: DataFrame, per_day: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
@@ -59,14 +59,17 @@ def trailing_average(
     """Add ``out``: mean daily total of ``flows`` over the days that had any, from ``days`` days
     before the target's day up to it, both ends included; null if there were none.
 
-    One union of day totals and asked days, one range window. The mean is exact to six decimals.
+    One union of day totals and asked days, one range window. The mean is exact to six decimals, or to as
+    many as the quantities have; floating-point quantities are taken to twelve.
     """
+    scale = _scale(flows.schema[quantity].dataType)
+    amount = f"decimal(38,{scale})"
     asked = targets.select(
-        *keys, F.col(target_day).alias("_day"), F.lit(None).cast("decimal(38,4)").alias("_q"),
+        *keys, F.col(target_day).alias("_day"), F.lit(None).cast(amount).alias("_q"),
         F.lit(True).alias("_ask"),
     )
     flowed = flows.select(
-        *keys, F.col(flow_day).alias("_day"), F.col(quantity).cast("decimal(38,4)").alias("_q"),
+        *keys, F.col(flow_day).alias("_day"), F.col(quantity).cast(amount).alias("_q"),
         F.lit(False).alias("_ask"),
     )
     # max over booleans: is this day asked for?  sum skips the null quantities of asking rows.
@@ -74,7 +77,7 @@ def trailing_average(
         F.sum("_q").alias("_q"), F.max("_ask").alias("_ask"),
     )
     frame = Window.partitionBy(*keys).orderBy(F.unix_date("_day")).rangeBetween(-days, 0)
-    mean = _mean(F.sum("_q").over(frame), F.count("_q").over(frame))
+    mean = _mean(F.sum("_q").over(frame), F.count("_q").over(frame), scale)
     averaged = (
         per_day.withColumn(out, mean).filter("_ask")
         .select(*[F.col(k).alias(f"_on_{k}") for k in keys], F.col("_day").alias(f"_on_{target_day}"), out)
@@ -82,5 +85,14 @@ def trailing_average(
     return _join_back(targets, averaged, keys, target_day)
 
 
-def _mean(total: Column, n: Column) -> Column:
-    return F.when(n > 0, total.cast("decimal(28,4)") / n.cast("decimal(10,0)")).cast("decimal(24,6)")
+def _scale(kind: T.DataType) -> int:
+    """Decimal places that hold a quantity of this type."""
+    if isinstance(kind, T.DecimalType):
+        return kind.scale
+    return 0 if isinstance(kind, T.IntegralType) else 12
+
+
+def _mean(total: Column, n: Column, scale: int) -> Column:
+    places = max(6, scale)
+    mean = total.cast(f"decimal({min(38, 24 + scale)},{scale})") / n.cast("decimal(10,0)")
+    return F.when(n > 0, mean.cast(f"decimal({min(38, 18 + places)},{places})"))

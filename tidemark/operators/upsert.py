@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -23,14 +22,33 @@ def since_lookback(source: DataFrame, date_column: str, newest: dt.date | None,
     return source.filter(F.col(date_column) >= F.lit(newest - dt.timedelta(days=days)))
 
 
+#: Bits of the filter that keeps most stored keys out of an upsert's shuffle: a fixed size, whatever the batch.
+FILTER_BITS = 1 << 22
+
+
+def may_match(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored rows whose key hash is one of the batch's: all that match, and few others.
+
+    The filter is a bit map of hashes in words of 64 bits, at most FILTER_BITS / 64 rows, so it may be broadcast.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    words = batch.select(place.alias("_p")).groupBy(F.shiftright("_p", 6).alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_p % 64 as int))")).alias("_bits"))
+    return (
+        stored.withColumn("_p", place).withColumn("_word", F.shiftright("_p", 6)).join(F.broadcast(words), "_word")
+        .filter(F.expr("getbit(_bits, cast(_p % 64 as int)) = 1")).drop("_p", "_word", "_bits")
+    )
+
+
 class IncrementalTable:
     """A Parquet table partitioned by month of ``date_column`` and kept up to date by key.
 
     An upsert rewrites only the months it touches: those of the batch, plus those that now hold
     a batch key under another date. The batch is written to ``<path>__batch`` first, so that it is
-    computed once. The new content of the months is written to ``<path>__staged`` and copied into
-    the table from there, so a job that dies while the table is being switched can be finished by
-    :meth:`replay_staged`.
+    computed once. The new content of the months is written to ``<path>__staged``, then the list of touched
+    months to ``<path>__switch``; from then on the upsert is decided, and folders are moved into place.
+    A full refresh is written to ``<path>__next`` and then takes the table's place. Whatever was decided when a job
+    died is finished by :meth:`recover`, which every write starts with; what was not is left alone.
     """
 
     MONTH = "_month"
@@ -40,19 +58,31 @@ class IncrementalTable:
         self.path = path
         self.keys = list(keys)
         self.date_column = date_column
-        self.staged = f"{path.rstrip('/')}__staged"
-        self.batch = f"{path.rstrip('/')}__batch"
+        base = path.rstrip("/")
+        self.staged, self.batch, self.record, self.next = (f"{base}__{x}" for x in ("staged", "batch", "switch", "next"))
 
     def _fs(self):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return self._at(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _at(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _done(self, path: str) -> bool:
+        return self._fs().exists(self._at(f"{path}/_SUCCESS"))
+
+    def _drop(self, path: str) -> None:
+        self._fs().delete(self._at(path), True)
+
+    def _move(self, path: str, to: str) -> None:
+        self._drop(to)
+        if not self._fs().rename(self._at(path), self._at(to)):
+            raise OSError(f"cannot move {path} to {to}")
 
     def exists(self) -> bool:
-        where, fs = self._fs()
-        return fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(where, "_SUCCESS"))
+        return self._done(self.path) or self._done(self.next)
 
     def _stored(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        return self.spark.read.parquet(self.path if self._done(self.path) else self.next)
 
     def read(self, since: dt.date | None = None) -> DataFrame:
         """All rows, or the months from that of ``since`` on (folders of earlier months are not read)."""
@@ -70,56 +100,61 @@ class IncrementalTable:
         """Largest date stored. The month is known from the folders, so one month is read."""
         if not self.exists():
             return None
+        self.recover()
         stored = self._stored()
         month = stored.filter(F.col(self.MONTH) != "none").agg(F.max(self.MONTH)).first()[0]
         if month is None:
             return None
         return stored.filter(F.col(self.MONTH) == month).agg(F.max(self.date_column)).first()[0]
 
-    def _write(self, rows: DataFrame, path: str, mode: str = "static") -> None:
+    def _write(self, rows: DataFrame, path: str) -> None:
         """Rebalanced by month: few files for a small month, and a month that is too big for one
         task is split by adaptive execution."""
         spread = rows.hint("rebalance", F.col(self.MONTH))
-        (
-            spread.write.mode("overwrite").option("partitionOverwriteMode", mode)
-            .partitionBy(self.MONTH).parquet(path)
-        )
+        spread.write.mode("overwrite").partitionBy(self.MONTH).parquet(path)
 
     def rebuild(self, rows: DataFrame) -> None:
-        """Full refresh, and the first run."""
-        self._write(self._with_month(rows), self.path)
+        """Full refresh, and the first run. ``rows`` may be read from the table itself."""
+        self._drop(self.next)
+        self._write(self._with_month(rows), self.next)
+        self.recover()
 
     def upsert(self, batch: DataFrame) -> None:
+        self.recover()
         if not self.exists():
             self.rebuild(batch)
             return
-        self._write(self._with_month(batch), self.batch)
-        try:
-            batch = self.spark.read.parquet(self.batch)
-        except AnalysisException:  # an empty batch leaves no file to read a schema from
+        dated = self._with_month(batch)
+        self._write(dated, self.batch)
+        batch = self.spark.read.schema(dated.schema).parquet(self.batch)
+        if batch.isEmpty():
             return
         stored = self._stored()
-        # Months are few (one value per calendar month), so this list may come to the driver.
-        holding = stored.join(batch.select(*self.keys), self.keys, "left_semi").select(self.MONTH)
-        months = [r[0] for r in batch.select(self.MONTH).unionByName(holding).distinct().collect()]
+        # Months are few (one value per calendar month), so these lists may come to the driver.
+        holding = may_match(stored.select(*self.keys, self.MONTH), batch, self.keys).join(batch.select(*self.keys), self.keys, "left_semi")
+        months = [r[0] for r in batch.select(self.MONTH).unionByName(holding.select(self.MONTH)).distinct().collect()]
         touched = stored.filter(F.col(self.MONTH).isin(months))
-        merged = merge_rows(touched, batch, self.keys)
-        self._write(merged, self.staged)
-        self._switch(months)
-
-    def replay_staged(self) -> None:
-        """Finish an upsert that died after staging; harmless when it had finished."""
-        months = self.spark.read.parquet(self.staged).select(self.MONTH).distinct().collect()
-        self._switch([r[0] for r in months])
-
-    def _switch(self, months: Sequence[str]) -> None:
-        try:
-            staged = self.spark.read.parquet(self.staged)
-            held = {r[0] for r in staged.select(self.MONTH).distinct().collect()}
-        except AnalysisException:  # nothing staged: every touched month is now empty
-            staged, held = None, set()
-        if staged is not None:
-            self._write(staged, self.path, "dynamic")
-        where, fs = self._fs()
-        for month in set(months) - held:  # months that lost their last row to another month
-            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(where, f"{self.MONTH}={month}"), True)
+        self._write(merge_rows(touched, batch, self.keys), self.staged)
+        held = {r[0] for r in self.spark.read.schema(dated.schema).parquet(self.staged).select(self.MONTH).distinct().collect()}
+        self.spark.createDataFrame([(m, m in held) for m in months], "month string, held boolean").coalesce(1) \
+            .write.mode("overwrite").parquet(self.record)
+        self.recover()
+
+    def recover(self) -> None:
+        """Finish what was decided when a job died; harmless when nothing was."""
+        if self._done(self.next):
+            self._drop(self.record)  # an upsert of the table before
+            self._move(self.next, self.path)
+        elif self._done(self.record):
+            for month, held in self.spark.read.parquet(self.record).collect():
+                staged, own = (f"{p}/{self.MONTH}={month}" for p in (self.staged, self.path))
+                if not held:  # it lost its last row to another month
+                    self._drop(own)
+                elif self._fs().exists(self._at(staged)):  # else it was moved already
+                    self._move(staged, own)
+        self._drop(self.record)
+        self._drop(self.staged)
+        self._drop(self.batch)
+        self.spark.catalog.refreshByPath(self.path)
+
+    replay_staged = recover

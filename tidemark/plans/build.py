@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import IncrementalTable, close_missing, history_changes, since_lookback
 from tidemark.params import Params
 from tidemark.plans import dims, facts, intermediate, reports, staging
-from tidemark.quality import at_risk_count, check_limit, run_suite
+from tidemark.quality import at_risk_count, check_limit, run_suite, source_freshness
 from tidemark.sources import Warehouse, read_seed, together
 
+#: What a run has not taken in yet: as the caller of ``raw`` understands it, or the last load taken by source.
+Since = str | Mapping[str, int] | None
+
 STAGING: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "stg_product": ("mdm.product", staging.product),
     "stg_hcp": ("mdm.hcp", staging.hcp),
@@ -57,16 +60,18 @@ class WarehouseBuild:
     dimensions and facts are tables.
 
     ``raw(name, since)`` gives the raw table of a full name such as ``erp.sales_order``: all of it, or
-    what landed on or after the day ``since``.
+    what is new since. ``newest(name)``, if given, is the last load of a raw table; the build then remembers the loads
+    it has taken in and asks for the rows loaded after them, whatever day they landed for.
     """
 
     def __init__(
         self, spark: SparkSession, raw: Callable[[str, str | None], DataFrame], base: str, params: Params,
-        seeds: Callable[[str], DataFrame] | None = None,
+        seeds: Callable[[str], DataFrame] | None = None, newest: Callable[[str], int | None] | None = None,
     ):
         self.spark = spark
         self.raw = raw
         self.params = params
+        self.newest = newest
         self.store = Warehouse(spark, base)
         self.seed = seeds or (lambda name: read_seed(spark, name))
 
@@ -84,9 +89,10 @@ class WarehouseBuild:
         if name == "engagement_score":
             return intermediate.engagement_score(self.model("stg_hcp_visit"), self.params)
         if name == "inventory_runway":
-            return intermediate.inventory_runway(
-                self.model("stg_inventory_snapshot"), self.model("stg_sales_order"), self.params
-            )
+            orders = self.model("stg_sales_order")
+            if since is not None:  # what the trailing windows of the first snapshots can reach
+                orders = orders.filter(F.col("ship_date") >= F.lit(since - dt.timedelta(days=self.params.consumption_days)))
+            return intermediate.inventory_runway(self.model("stg_inventory_snapshot", since), orders, self.params)
         if name == "batch_expiry":
             return intermediate.batch_expiry(self.model("stg_inventory_snapshot"), self.params)
         if name.startswith("seed_"):
@@ -95,9 +101,15 @@ class WarehouseBuild:
             return self.raw(name, None)
         return self.store.read(name)
 
-    def staged(self, name: str, since: str | None = None) -> DataFrame:
+    def staged(self, name: str, since: Since = None) -> DataFrame:
         source, build = STAGING[name]
-        return build(self.raw(source, since))
+        return build(self.raw(source, since.get(source) if isinstance(since, Mapping) else since))
+
+    def _taken(self) -> dict[str, int] | None:
+        """Loads taken in by the last run, by raw table."""
+        if not self.store.exists("_taken_loads"):
+            return None
+        return {r["source"]: r["load"] for r in self.store.read("_taken_loads").collect()}
 
     def table(self, name: str) -> IncrementalTable:
         if name in HISTORIES:
@@ -108,22 +120,24 @@ class WarehouseBuild:
 
     # -- tables -----------------------------------------------------------------
 
-    def write_staged(self, name: str, since: str | None = None, full_refresh: bool = False) -> None:
+    def write_staged(self, name: str, since: Since = None, full_refresh: bool = False) -> None:
         """Newest copy of every event. With ``since``, only what landed from then on is read and brought
         in by key: a later copy of an event replaces the one held. Without, the table is rebuilt."""
         table = self.table(name)
+        table.recover()
         if since is None or full_refresh or not table.exists():
             table.rebuild(self.staged(name))
         else:
             table.upsert(self.staged(name, since))
 
     def write_history(
-        self, name: str, extract: DataFrame | None = None, since: str | None = None, full_refresh: bool = False,
+        self, name: str, extract: DataFrame | None = None, since: Since = None, full_refresh: bool = False,
     ) -> None:
         """Rebuild a history, or bring in what changed: only the months holding a changed version are
         rewritten. ``extract`` is the latest full extract, if deleted keys are to be closed."""
         source, key = HISTORIES[name]
         table = self.table(name)
+        table.recover()
         fresh = full_refresh or not table.exists()
         revisions = self.staged(source, None if fresh else since).drop("_loaded_at")
         if fresh:
@@ -142,7 +156,7 @@ class WarehouseBuild:
             newer = newer.unionByName(back).distinct()
         table.upsert(history_changes(stored, newer, key, "source_updated_at", self.params.run_ts, extract))
 
-    def write_dim(self, name: str, full_refresh: bool = False) -> None:
+    def write_dim(self, name: str, full_refresh: bool = False, since: Since = None) -> None:
         read, store, params = self.model, self.store, self.params
         if name == "dim_product":
             rows = dims.dim_product(read("product_history"), read("seed_therapeutic_category_group"))
@@ -154,8 +168,9 @@ class WarehouseBuild:
             rows = dims.calendar(self.spark, params.spine_start, params.spine_end)
         else:
             build = {"dim_distributor": dims.dim_distributor, "dim_warehouse": dims.dim_warehouse}[name]
-            staged = self.staged(name.replace("dim_", "stg_"))
-            if not full_refresh and store.exists(name):
+            known = not full_refresh and store.exists(name)
+            staged = self.staged(name.replace("dim_", "stg_"), since if known else None)
+            if known:
                 store.replace(name, build(staged, store.read(name), params))
                 return
             rows = build(staged, None, params)
@@ -183,6 +198,7 @@ class WarehouseBuild:
 
     def write_fact(self, name: str, full_refresh: bool = False) -> None:
         table = self.table(name)
+        table.recover()
         _, date_column, source = FACTS[name]
         if full_refresh or not table.exists():
             table.rebuild(self.fact_rows(name, self.model(source)))
@@ -199,36 +215,53 @@ class WarehouseBuild:
         table.upsert(self.fact_rows(name, recent))
 
     def run(
-        self, extracts: dict[str, DataFrame] | None = None, since: str | None = None, full_refresh: bool = False,
+        self, extracts: dict[str, DataFrame] | None = None, since: Since = None, full_refresh: bool = False,
     ) -> None:
         """Staged events and histories, then dimensions, then facts; the tables of a step side by side.
 
-        ``extracts`` holds the latest full extracts by history name, for closing deleted keys. ``since`` is
-        the first landing day not yet taken in; a daily run then reads the new landings, not all of raw.
+        ``extracts`` holds the latest full extracts by history name, for closing deleted keys. ``since`` is handed
+        to ``raw`` as it is; with ``newest`` it need not be given: a run then takes in what was loaded after the last run.
         """
         extracts = extracts or {}
+        loads = {source: self.newest(source) for source, _ in STAGING.values()} if self.newest else {}
+        if self.newest and since is None and not full_refresh:
+            since = self._taken()
         together(self.spark, [
             *[lambda n=n: self.write_staged(n, since, full_refresh) for n in STAGED_TABLES],
             *[lambda n=n: self.write_history(n, extracts.get(n), since, full_refresh) for n in HISTORIES],
         ])
-        together(self.spark, [lambda n=n: self.write_dim(n, full_refresh) for n in DIMS])
+        together(self.spark, [lambda n=n: self.write_dim(n, full_refresh, since) for n in DIMS])
         together(self.spark, [lambda n=n: self.write_fact(n, full_refresh) for n in FACTS])
+        known = [(source, load) for source, load in loads.items() if load is not None]
+        if known:  # last: a run that dies is repeated from the same loads
+            self.store.write("_taken_loads", self.spark.createDataFrame(known, "source string, load long").coalesce(1))
 
     # -- after the build ----------------------------------------------------------
 
-    def publish(self, prefix: str = "") -> list[str]:
-        """One view per mart."""
+    def publish(self, prefix: str = "", permanent: bool = False) -> list[str]:
+        """One view per mart: for the session, or in the catalog (``prefix`` may then start with a database)."""
         for name in MARTS:
-            self.model(name).createOrReplaceTempView(f"{prefix}{name}")
+            if permanent:
+                columns = ", ".join(f"`{c}`" for c in self.model(name).columns)
+                self.spark.sql(f"CREATE OR REPLACE VIEW {prefix}{name} AS SELECT {columns} FROM parquet.`{self.store.path(name)}`")
+            else:
+                self.model(name).createOrReplaceTempView(f"{prefix}{name}")
         return [f"{prefix}{name}" for name in MARTS]
 
     def check(self, tables: list[str], store: str | None = None) -> list[tuple[str, str, int]]:
         """Failed rules of ``tables``; then the at-risk limit, which stops the run."""
         failed = run_suite(self.model, tables, store)
-        count = at_risk_count(self.model("fact_inventory_snapshot"), self.params.at_risk_days_on_hand).first()[0]
+        newest = self.table("fact_inventory_snapshot").newest_date()
+        stock = self.model("fact_inventory_snapshot", newest)
+        count = at_risk_count(stock, self.params.at_risk_days_on_hand, newest).first()[0]
         check_limit(count, self.params.at_risk_limit, "at-risk lots")
         return failed
 
+    def freshness(self) -> DataFrame:
+        """One row per raw source: its newest load, the age of that at the run time, and pass, warn or error."""
+        limits = (self.params.run_ts, self.params.freshness_warn_hours, self.params.freshness_error_hours)
+        return source_freshness(lambda name: self.raw(name, None), sorted(s for s, _ in STAGING.values()), *limits)
+
     def report(self) -> DataFrame:
         return reports.at_risk_inventory(self.model("fact_inventory_snapshot"), self.model("dim_product"), self.params)
 

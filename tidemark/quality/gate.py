@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable
 from functools import reduce
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.quality.rules import duplicate_keys, orphans, row_failures, summarize_rows
 from tidemark.quality.suite import SUITE, TableRules
+from tidemark.sources.tables import together
 
 
 class GateError(RuntimeError):
@@ -39,14 +41,30 @@ def run_suite(
     read: Callable[[str], DataFrame], tables: Iterable[str], store: str | None = None,
     suite: dict[str, TableRules] = SUITE,
 ) -> list[tuple[str, str, int]]:
-    """The failed rules as (table_name, rule, n_failed); their failing rows go to ``<store>/<table>/<rule>``.
+    """The failed rules as (table_name, rule, n_failed), one entry per declared rule at most.
 
-    The result has one entry per declared rule at most.
+    With ``store``, the failing rows of every rule replace those of the run before in ``<store>/<table>/<rule>``; a rule that
+    passes leaves an empty table there.
     """
-    failed = [tuple(r) for r in summary(read, list(tables), suite).filter("n_failed > 0").collect()]
-    for table, rule, _ in failed if store else []:
-        _failing(read, table, rule, suite).write.mode("overwrite").parquet(f"{store}/{table}/{rule}")
-    return failed
+    tables = list(tables)
+    if store:
+        names = [(t, r) for t in tables for r in rule_names(suite[t])]
+        together(read(tables[0]).sparkSession, [
+            lambda t=t, r=r: _failing(read, t, r, suite).write.mode("overwrite").parquet(f"{store}/{t}/{r}") for t, r in names])
+    return [tuple(r) for r in summary(read, tables, suite).filter("n_failed > 0").collect()]
+
+
+def rule_names(rules: TableRules) -> list[str]:
+    return [*(r.name for r in rules.rows), *(f"unique_{k}" for k in rules.unique), *(f"parent_{k}" for k, _ in rules.parents)]
+
+
+def failing_rows(read: Callable[[str], DataFrame], table: str, suite: dict[str, TableRules] = SUITE) -> DataFrame:
+    """(rule, row as JSON) of every failing row of a table."""
+    parts = []
+    for rule in rule_names(suite[table]):
+        rows = _failing(read, table, rule, suite)
+        parts.append(rows.select(F.lit(rule).alias("rule"), F.to_json(F.struct(*rows.columns)).alias("row")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _failing(read: Callable[[str], DataFrame], table: str, rule: str, suite: dict[str, TableRules]) -> DataFrame:
@@ -63,15 +81,17 @@ def _failing(read: Callable[[str], DataFrame], table: str, rule: str, suite: dic
     raise KeyError(f"{table}: {rule}")
 
 
-def at_risk(inventory: DataFrame, days_on_hand: int) -> DataFrame:
-    """Near-expiry, slow-moving lots of the newest snapshot."""
+def at_risk(inventory: DataFrame, days_on_hand: int, newest_day: dt.date | None = None) -> DataFrame:
+    """Near-expiry, slow-moving lots of the newest snapshot. ``newest_day``, if known, prunes the scan."""
+    if newest_day is not None:
+        return inventory.filter((F.col("snapshot_date") == F.lit(newest_day)) & F.col("is_near_expiry") & (F.col("days_on_hand") > days_on_hand))
     newest = inventory.agg(F.max("snapshot_date").alias("snapshot_date"))
     slow = inventory.filter(F.col("is_near_expiry") & (F.col("days_on_hand") > days_on_hand))
     return slow.join(F.broadcast(newest), "snapshot_date")  # one row
 
 
-def at_risk_count(inventory: DataFrame, days_on_hand: int) -> DataFrame:
-    return at_risk(inventory, days_on_hand).agg(F.count("*").alias("at_risk_batches"))
+def at_risk_count(inventory: DataFrame, days_on_hand: int, newest_day: dt.date | None = None) -> DataFrame:
+    return at_risk(inventory, days_on_hand, newest_day).agg(F.count("*").alias("at_risk_batches"))
 
 
 def check_limit(value: int, limit: int, what: str) -> int:

@@ -8,8 +8,9 @@ key, with map-side combine, so a hot key costs one row per input task.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -98,3 +99,10 @@ def freshness(
         .when(age > warn_hours, "warn").otherwise("pass")
     )
     return newest.select(F.lit(source).alias("source"), "max_loaded_at", age.alias("age_hours"), status.alias("status"))
+
+
+def source_freshness(
+    read: Callable[[str], DataFrame], sources: Sequence[str], run_ts: dt.datetime, warn_hours: int, error_hours: int,
+) -> DataFrame:
+    """The freshness of several raw sources, by their load time."""
+    return reduce(DataFrame.unionByName, [freshness(read(s), s, "_loaded_at", run_ts, warn_hours, error_hours) for s in sources])

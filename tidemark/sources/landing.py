@@ -141,6 +141,7 @@ def require_days(
     spark: SparkSession, base: str, tables: Sequence[RawTable], days: Sequence[str], optional: Sequence[str] = (),
 ) -> None:
     """Stop unless every table landed for every day."""
-    missing = missing_days(spark, base, tables, days, optional).orderBy("table_name", "dt").take(100)
+    # At most one row for each expected table and day, which the caller listed.
+    missing = missing_days(spark, base, tables, days, optional).orderBy("table_name", "dt").collect()
     if missing:
         raise RuntimeError("not landed: " + ", ".join(f"{r['table_name']} {r['dt']}" for r in missing))

@@ -1,3 +1,3 @@
-from tidemark.streaming.ingest import ingest_new_files, read_raw
+from tidemark.streaming.ingest import ingest_new_files, newest_load, read_raw
 
-__all__ = ["ingest_new_files", "read_raw"]
+__all__ = ["ingest_new_files", "newest_load", "read_raw"]

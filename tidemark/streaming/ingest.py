@@ -12,6 +12,10 @@ from tidemark.registry import LOAD_COLUMNS, RawTable
 from tidemark.sources.landing import CSV_OPTIONS, few_blocks, folder, number_rows, text_ddl, typed
 
 
+# Spark's file stream skips files much older than the newest one seen (7 days unless set). A backfill may be any age.
+ANY_AGE = "100000d"
+
+
 def raw_path(raw_base: str, table: RawTable) -> str:
     return f"{raw_base.rstrip('/')}/{table.system}/{table.name}"
 
@@ -25,7 +29,7 @@ def ingest_new_files(
     source = folder(landing, table)
     target = raw_path(raw_base, table)
     small = few_blocks(spark, source)
-    options = {**CSV_OPTIONS, **({"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {})}
+    options = {**CSV_OPTIONS, "maxFileAge": ANY_AGE, **({"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {})}
     stream = (
         spark.readStream.options(**options).schema(text_ddl(table)).csv(source)
         .select(
@@ -49,8 +53,14 @@ def ingest_new_files(
     query.awaitTermination()
 
 
-def read_raw(spark: SparkSession, raw_base: str, table: RawTable, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Rows of a raw table, optionally of a range of days (a partition filter)."""
+def read_raw(
+    spark: SparkSession, raw_base: str, table: RawTable, start: str | None = None, end: str | None = None,
+    after_load: int | None = None,
+) -> DataFrame:
+    """Rows of a raw table, optionally of a range of landing days, or of the loads after one (partition filters).
+
+    What is new to a reader is what was loaded since, whatever day it landed for: use ``after_load``.
+    """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields)
     schema = f"{fields}, _source_file string, _source_file_row_number bigint, _loaded_at timestamp_ntz, _load int, dt string"
     rows = spark.read.schema(schema).parquet(raw_path(raw_base, table))
@@ -58,4 +68,16 @@ def read_raw(spark: SparkSession, raw_base: str, table: RawTable, start: str | N
         rows = rows.filter(F.col("dt") >= start)
     if end is not None:
         rows = rows.filter(F.col("dt") <= end)
+    if after_load is not None:
+        rows = rows.filter(F.col("_load") > after_load)
     return rows.drop("_load")
+
+
+def newest_load(spark: SparkSession, raw_base: str, table: RawTable) -> int | None:
+    """The last load of a raw table, from the folder names."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(raw_path(raw_base, table))
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return max((int(n.removeprefix("_load=")) for n in names if n.startswith("_load=")), default=None)

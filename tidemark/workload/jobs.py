@@ -9,12 +9,13 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.operators import IncrementalTable
 from tidemark.plans import WarehouseBuild
 from tidemark.registry import RAW_TABLES, RawTable
 from tidemark.session import shared_dir
 from tidemark.sources import Warehouse, landed_days, read_days
-from tidemark.sources.landing import folder
-from tidemark.streaming import ingest_new_files, read_raw
+from tidemark.sources.landing import CSV_OPTIONS, folder, quarantine, text_ddl
+from tidemark.streaming import ingest_new_files, newest_load, read_raw
 from tidemark.workload.catalog import query
 from tidemark.workload.models import Models
 from tidemark.workload.oracle import with_models
@@ -37,7 +38,7 @@ VISITS = RAW_TABLES["crm.hcp_visit"]
 def _landed_visits(spark: SparkSession, sf: str, purpose: str) -> tuple[str, DataFrame]:
     base = shared_dir(spark, purpose)
     feed = FEEDS["crm.hcp_visit"](spark, sf)
-    land(feed.filter(F.col("visit_date") < "2024-01-20"), VISITS, f"{base}/landing", "_loaded_at")
+    land(feed, VISITS, f"{base}/landing", "_loaded_at")
     return base, feed
 
 
@@ -65,8 +66,9 @@ _PER_DAY_SPEC = "dt:s n_rows:i numbered:i minutes:f with_samples:i newest:t"
 @query("ingest_new_files", _PER_DAY_SPEC, with_models(_PER_DAY + " GROUP BY dt"))
 def ingest_twice(spark: SparkSession, sf: str) -> DataFrame:
     """Three ingest runs: the first days, nothing new, and the days that landed since."""
-    base, feed = _landed_visits(spark, sf, "ingest")
+    base, feed = shared_dir(spark, "ingest"), FEEDS["crm.hcp_visit"](spark, sf)
     landing, raw = f"{base}/landing", f"{base}/raw"
+    land(feed.filter(F.col("visit_date") < "2024-01-20"), VISITS, landing, "_loaded_at")
     ingest_new_files(spark, landing, raw, VISITS)
     ingest_new_files(spark, landing, raw, VISITS)
     land(feed.filter(F.col("visit_date") >= "2024-01-20"), VISITS, landing, "_loaded_at")
@@ -75,7 +77,7 @@ def ingest_twice(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("read_days", _PER_DAY_SPEC, with_models(
-    _PER_DAY + " WHERE visit_date < '2024-01-20' AND _loaded_at BETWEEN '2024-01-05' AND '2024-01-12' GROUP BY dt"
+    _PER_DAY + " WHERE _loaded_at BETWEEN '2024-01-05' AND '2024-01-12' GROUP BY dt"
 ))
 def read_range(spark: SparkSession, sf: str) -> DataFrame:
     """Backfill of a range of landing days."""
@@ -84,13 +86,113 @@ def read_range(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("landed_days", "table_name:s dt:s", with_models("""
-SELECT DISTINCT 'crm.hcp_visit' AS table_name, strftime(_loaded_at, '%Y-%m-%d') AS dt FROM raw_hcp_visit
-WHERE visit_date < '2024-01-20'"""))
+SELECT DISTINCT 'crm.hcp_visit' AS table_name, strftime(_loaded_at, '%Y-%m-%d') AS dt FROM raw_hcp_visit"""))
 def landed(spark: SparkSession, sf: str) -> DataFrame:
     base, _ = _landed_visits(spark, sf, "landed")
     return landed_days(spark, f"{base}/landing", [VISITS, RAW_TABLES["erp.return"]])
 
 
+@query("ingest_late_files", "visit_id:s rep_id:s hcp_id:s visit_date:d duration_minutes:f created_at:t", with_models("""
+SELECT visit_id, rep_id, hcp_id, visit_date, duration_minutes, created_at FROM stg_hcp_visit"""))
+def ingest_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that are months old when they land, and days that land after later ones: a daily run stages them all."""
+    base, feed = shared_dir(spark, "late"), FEEDS["crm.hcp_visit"](spark, sf)
+    landing, raw = f"{base}/landing", f"{base}/raw"
+    late = F.col("visit_date").between("2024-01-05", "2024-01-09")
+
+    def read(name: str, since: int | None) -> DataFrame:
+        return read_raw(spark, raw, RAW_TABLES[name], after_load=since)
+
+    build = WarehouseBuild(spark, read, f"{base}/dw", P)
+    land(feed.filter(~late), VISITS, landing, "_loaded_at")
+    ingest_new_files(spark, landing, raw, VISITS)
+    build.write_staged("stg_hcp_visit")
+    taken = newest_load(spark, raw, VISITS)
+    land(feed.filter(late), VISITS, landing, "_loaded_at")
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder(landing, VISITS))
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for day in fs.listStatus(root):
+        if "2024-01-06" <= day.getPath().getName().removeprefix("dt=") <= "2024-01-10":
+            for file in fs.listStatus(day.getPath()):
+                fs.setTimes(file.getPath(), file.getModificationTime() - 90 * 86_400_000, -1)
+    ingest_new_files(spark, landing, raw, VISITS)
+    build.write_staged("stg_hcp_visit", taken)
+    return build.model("stg_hcp_visit")
+
+
+def _land_text(lines: DataFrame, header: str, table: RawTable, base: str, day: str) -> None:
+    """Landing files of given lines under a header line of their own."""
+    lines.select("line").write.mode("overwrite").option("lineSep", "\n").text(f"{base}/lines")
+    with_header = _with_header(lines.sparkSession, f"{base}/lines", header)
+    with_header.write.mode("append").option("maxRecordsPerFile", 1).text(f"{folder(base, table)}/dt={day}")
+
+
+def _with_header(spark: SparkSession, path: str, header: str) -> DataFrame:
+    """Every text file of a folder as one value that starts with the header line."""
+    files = spark.read.text(path, wholetext=True)
+    return files.select(F.concat(F.lit(header + "\n"), F.rtrim(F.col("value"))).alias("value"))
+
+
+def _odd_lines(spark: SparkSession, sf: str, bad: bool) -> DataFrame:
+    """Visits as text: null tokens by turns, short lines, quoted commas, and bad numbers if asked for."""
+    token = F.expr("element_at(array('', 'NULL', 'null', 'n'), cast(event_id % 4 as int) + 1)")
+    minutes = F.when(F.lit(bad) & (F.col("event_id") % 7 == 0), "many").otherwise((F.col("event_id") % 60).cast("string"))
+    full = F.concat_ws(
+        ",", F.concat(F.lit("V"), "event_id"), token, F.concat(F.lit('"H, '), "user_id", F.lit('"')), _text_day("ts"), "event_type", minutes,
+        (F.col("event_id") % 9).cast("string"), token, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    short = F.concat_ws(",", F.concat(F.lit("V"), "event_id"), token)
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    return events.select(F.when(F.col("event_id") % 11 == 0, short).otherwise(full).alias("line"))
+
+
+def _text_day(column: str) -> Column:
+    return F.date_format(column, "yyyy-MM-dd")
+
+
+_ODD = """
+SELECT 'V' || event_id AS visit_id, CASE WHEN event_id % 4 = 3 THEN 'n' END AS rep_id, CASE WHEN full_line THEN 'H, ' || user_id END AS hcp_id,
+  CASE WHEN full_line THEN ts::DATE END AS visit_date, CASE WHEN full_line THEN event_type END AS visit_type,
+  CASE WHEN full_line THEN event_id % 60 END AS duration_minutes, CASE WHEN full_line THEN event_id % 9 END AS samples_dropped_qty,
+  CASE WHEN full_line AND event_id % 4 = 3 THEN 'n' END AS sample_product_id, CASE WHEN full_line THEN date_trunc('second', ts) END AS created_at
+FROM (SELECT *, event_id % 11 <> 0 AS full_line FROM events)"""
+_ODD_SPEC = ("visit_id:s rep_id:s hcp_id:s visit_date:d visit_type:s duration_minutes:f samples_dropped_qty:f sample_product_id:s created_at:t")
+
+
+@query("landing_odd_lines", _ODD_SPEC, _ODD)
+def landing_odd_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Null tokens, short lines, quoted commas, and a header whose names are not the table's: bound by position."""
+    base = shared_dir(spark, "odd")
+    _land_text(_odd_lines(spark, sf, False), ",".join(f"other_{k}" for k in range(9)), VISITS, base, "2024-02-01")
+    return read_days(spark, base, VISITS, "2024-02-01")
+
+
+@query("landing_quarantine", "kind:s n_rows:i minutes:f", """
+SELECT CASE WHEN event_id % 7 = 0 AND event_id % 11 <> 0 THEN 'bad' ELSE 'good' END AS kind, count(*) AS n_rows,
+  CASE WHEN kind = 'good' THEN sum(CASE WHEN event_id % 11 <> 0 THEN event_id % 60 END) END AS minutes
+FROM events GROUP BY kind""")
+def landing_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with a value that does not fit are set aside whole; the rest is typed."""
+    base = shared_dir(spark, "quarantine")
+    _land_text(_odd_lines(spark, sf, True), ",".join(VISITS.columns), VISITS, base, "2024-02-01")
+    lines = spark.read.options(**CSV_OPTIONS).schema(text_ddl(VISITS)).csv(folder(base, VISITS))
+    good, bad = quarantine(lines, VISITS)
+    return good.agg(F.lit("good").alias("kind"), F.count("*").alias("n_rows"), F.sum("duration_minutes").cast("double").alias("minutes")).unionByName(
+        bad.agg(F.lit("bad").alias("kind"), F.count("*").alias("n_rows"), F.lit(None).cast("double").alias("minutes")))
+
+
+@query("full_refresh", "event_id:i user_id:i day:d value:f", """
+SELECT event_id, user_id, ts::DATE AS day, value FROM events WHERE event_id % 5 <> 0""")
+def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A full refresh drops what the source no longer has, and a replay after it brings nothing back."""
+    events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "user_id", F.col("ts").cast("date").alias("day"), "value")
+    store = IncrementalTable(spark, f"{shared_dir(spark, 'refresh')}/events", ["event_id"], "day")
+    store.upsert(events.filter("event_id % 2 = 0"))
+    store.upsert(events.withColumn("value", F.lit(-1.0)))
+    store.rebuild(events.filter("event_id % 5 <> 0"))
+    store.recover()
+    return store.read()
+
+
 @query("publish_views", "name:s n_rows:i n_keys:i", with_models("""
 SELECT 'dim_product' AS name, count(*) AS n_rows, count(DISTINCT product_key) AS n_keys FROM dim_product
 UNION ALL SELECT 'dim_distributor', count(*), count(DISTINCT distributor_key) FROM dim_distributor"""))

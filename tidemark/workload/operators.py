@@ -15,15 +15,15 @@ from tidemark.operators import (
 from tidemark.plans import dims
 from tidemark.plans.intermediate import score, waterfall
 from tidemark.quality import (
-    SUITE, accepted_values, between, duplicate_keys, expired_shipments, freshness, not_null, orphans, row_failures,
-    summarize_rows,
+    SUITE, accepted_values, between, duplicate_keys, expired_shipments, failing_rows, freshness, not_null, orphans,
+    row_failures, source_freshness, summarize_rows,
 )
 from tidemark.quality.gate import summary
 from tidemark.session import shared_dir
 from tidemark.workload.catalog import query
-from tidemark.workload.models import Models
+from tidemark.workload.models import SPECS, Models
 from tidemark.workload.oracle import RUN_TS, key, with_models
-from tidemark.workload.standins import QUERY_PARAMS as P, table
+from tidemark.workload.standins import FEEDS, QUERY_PARAMS as P, table
 
 
 def _day(column: str):
@@ -110,10 +110,10 @@ SELECT *, least(100, round((least(n_recent, 12) / 12.0)::DECIMAL(12,6) * 40
 FROM (SELECT event_id, user_id, ts::DATE AS day, count(*) OVER recent AS n_recent,
         sum(value::DECIMAL(12,2)) OVER recent AS value_recent,
         date_diff('day', lag(ts::DATE) OVER (PARTITION BY user_id ORDER BY ts, event_id), ts::DATE) AS gap
-      FROM events WHERE event_type <> 'view'
+      FROM events
       WINDOW recent AS (PARTITION BY user_id ORDER BY ts::DATE RANGE BETWEEN INTERVAL 90 DAY PRECEDING AND CURRENT ROW))""")
 def activity_90_days(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events").filter("event_type <> 'view'").select(
+    events = table(spark, sf, "events").select(
         "event_id", "user_id", "ts", _day("ts").alias("day"), F.col("value").cast("decimal(12,2)").alias("value"),
     )
     active = activity_by_day(
@@ -204,10 +204,35 @@ def asof_scan(spark: SparkSession, sf: str) -> DataFrame:
     return _purchases_asof(spark, sf, strategy="scan")
 
 
-@query("asof_join_measured", ASOF_SPEC, _asof_sql())
-def asof_measured(spark: SparkSession, sf: str) -> DataFrame:
-    """Broadcast if the versions are measured to fit, else scan."""
-    return _purchases_asof(spark, sf)
+@query("asof_join_broadcast", ASOF_SPEC, _asof_sql())
+def asof_broadcast(spark: SparkSession, sf: str) -> DataFrame:
+    """For callers who know the version table to be small."""
+    return _purchases_asof(spark, sf, strategy="broadcast")
+
+
+@query("asof_overlap", "strategy:s event_id:i state:s since:t", """
+WITH started AS (
+  SELECT user_id, event_type, ts AS valid_from, CASE WHEN event_id % 4 <> 0 THEN ts + INTERVAL 3 DAY END AS valid_to
+  FROM events WHERE event_type <> 'purchase'),
+held AS (
+  SELECT p.event_id, v.event_type, v.valid_from, v.valid_to, p.ts FROM (SELECT * FROM events WHERE event_type = 'purchase') AS p
+  LEFT JOIN started AS v ON p.user_id = v.user_id AND v.valid_from <= p.ts
+  QUALIFY row_number() OVER (PARTITION BY p.event_id ORDER BY v.valid_from DESC, coalesce(v.valid_to, TIMESTAMP '9999-12-31') DESC) = 1)
+SELECT strategy, event_id, CASE WHEN alive THEN event_type END AS state, CASE WHEN alive THEN valid_from END AS since
+FROM (SELECT *, coalesce(ts < coalesce(valid_to, TIMESTAMP '9999-12-31'), false) AS alive FROM held),
+  (VALUES ('scan'), ('broadcast')) AS ways(strategy)""")
+def asof_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions that overlap: the last one started holds until its own end, whichever way is taken."""
+    events = table(spark, sf, "events")
+    purchases = events.filter("event_type = 'purchase'")
+    open_end = F.when(F.col("event_id") % 4 != 0, F.col("ts") + F.expr("interval 3 days"))
+    started = events.filter("event_type <> 'purchase'").select(
+        "user_id", "event_type", F.col("ts").alias("valid_from"), open_end.alias("valid_to"), F.col("ts").alias("since"))
+    joined = [
+        asof_join(purchases, started, "user_id", "user_id", "ts", {"state": "event_type", "since": "since"}, strategy=way)
+        .withColumn("strategy", F.lit(way)) for way in ("scan", "broadcast")
+    ]
+    return joined[0].unionByName(joined[1])
 
 
 @query("asof_event_day", ASOF_SPEC, _asof_sql(at="p.ts::DATE"))
@@ -266,6 +291,20 @@ def days_on_hand_lines(spark: SparkSession, sf: str) -> DataFrame:
     return used.withColumn("days_on_hand", days_on_hand(F.col("qty") * 10, F.col("avg_daily")))
 
 
+@query("exact_quantities", "event_id:i user_id:i day:d avg_daily:f days_on_hand:f", """
+WITH moves AS (SELECT event_id, user_id, ts::DATE AS day, (value::DECIMAL(12,2) * 100)::BIGINT AS units FROM events),
+daily AS (SELECT user_id, day, sum(units)::BIGINT AS used FROM moves GROUP BY ALL)
+SELECT *, avg_units / 1e8 AS avg_daily, round((units * 10000.0 / avg_units)::DECIMAL(30,6), 1) AS days_on_hand
+FROM (SELECT m.event_id, m.user_id, m.day, m.units, (SELECT (2 * sum(used) + count(*)) // (2 * count(*)) FROM daily AS d
+        WHERE d.user_id = m.user_id AND d.day BETWEEN m.day - 7 AND m.day) AS avg_units FROM moves AS m)""")
+def exact_quantities(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantities with eight decimal places: none is rounded away."""
+    moves = table(spark, sf, "events").select(
+        "event_id", "user_id", _day("ts").alias("day"), (F.col("value").cast("decimal(12,2)") * F.lit("0.000001").cast("decimal(7,6)")).alias("qty"))
+    used = trailing_average(moves, "day", moves, "day", "qty", ["user_id"], 7, "avg_daily")
+    return used.withColumn("days_on_hand", days_on_hand(F.col("qty") * 10000, F.col("avg_daily")))
+
+
 @query("batch_expiry_flags", "l_partkey:i l_suppkey:i expiry:d days_to_expiry:i is_near_expiry:b is_expired:b", """
 SELECT l_partkey, l_suppkey, max(l_shipdate::DATE + p_size) AS expiry,
   date_diff('day', DATE '1998-01-01', max(l_shipdate::DATE + p_size)) AS days_to_expiry,
@@ -425,14 +464,30 @@ def _suite_sql(tables: list[str]) -> str:
     return with_models(suite_sql(tables))
 
 
-CHECKED = ["stg_sales_order", "stg_return", "dim_product", "dim_distributor", "fact_returns"]
+CHECKED = [t for t in SUITE if t in SPECS]
 
 
 @query("dq_summary", "table_name:s rule:s n_failed:i", _suite_sql(CHECKED))
 def dq_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """All declared rules of all models."""
     return summary(Models(spark, sf), CHECKED, SUITE)
 
 
+@query("dq_failing_rows", "rule:s n_rows:i", with_models("""
+SELECT 'accepted_reason_code' AS rule, count(*) AS n_rows FROM stg_return WHERE reason_code = 'Other'"""))
+def dq_failing_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows themselves, by rule; rules that pass have none."""
+    rows = failing_rows(Models(spark, sf), "stg_return")
+    return rows.filter("row is not null").groupBy("rule").agg(F.count("*").alias("n_rows")).filter("rule = 'accepted_reason_code'")
+
+
+@query("source_freshness", "source:s max_loaded_at:t age_hours:f4 status:s", with_models("\nUNION ALL ".join(f"""
+SELECT '{name}' AS source, max(_loaded_at) AS max_loaded_at, date_sub('second', max(_loaded_at), TIMESTAMP '2024-02-01') / 3600.0 AS age_hours,
+  CASE WHEN age_hours > 48 THEN 'error' WHEN age_hours > 30 THEN 'warn' ELSE 'pass' END AS status FROM raw_{name.split('.')[1]}""" for name in sorted(FEEDS))))
+def all_sources_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    return source_freshness(Models(spark, sf), sorted(FEEDS), P.run_ts, P.freshness_warn_hours, P.freshness_error_hours)
+
+
 @query("completeness_gate", "user_id:i day:d", """
 SELECT u.user_id, d::DATE AS day FROM (SELECT DISTINCT user_id FROM events) AS u,
   range(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) AS days(d)
@@ -493,12 +548,12 @@ def scalar_dates(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "scalar_numeric",
     "l_orderkey:i l_linenumber:i l_partkey:i l_suppkey:i cents:f tenth:f capped:f share:f half_cent:f", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (q * p * d)::DECIMAL(14,2) AS cents, round(p / 1000, 1) AS tenth,
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (q * p * d)::DECIMAL(14,2) AS cents, round((p * 0.001)::DECIMAL(15,5), 1) AS tenth,
   least(q, 25) AS capped,
   CASE WHEN l_discount IS NULL OR d = 0 THEN NULL ELSE round((q / d)::DECIMAL(20,6), 1) END AS share,
   (q * 0.005)::DECIMAL(12,2) AS half_cent
 FROM (SELECT *, l_quantity::DECIMAL(10,0) AS q, l_extendedprice::DECIMAL(12,2) AS p, l_discount::DECIMAL(6,4) AS d FROM lineitem)
-""".replace("round(p / 1000, 1)", "round((p * 0.001)::DECIMAL(15,5), 1)"))
+""")
 def scalar_numeric(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("decimal(10,0)").alias("q"),
