@@ -19,6 +19,8 @@ from tidemark.llm.repeats import Rule, remove_repeats
 
 THRESHOLD = 50
 ANCHOR = 8
+PASSAGES = 512  # of one anchor in a shard at most; a shard's automaton has about 2 states for each of its words
+SHARD_WORDS = 1 << 16
 NO_ID = 1 << 63
 
 
@@ -111,4 +113,4 @@ def stream_shard(rule: Rule, regions: list[bytes], ids: np.ndarray) -> list[list
 
 def remove_repeated_words(docs: DataFrame, threshold: int = THRESHOLD, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, n_units, spans and kept words: every word goes that lies in a window which starts in a smaller doc_id as well."""
-    return remove_repeats(docs, Rule("word", threshold, anchor), stream_shard)
+    return remove_repeats(docs, Rule("word", threshold, anchor, PASSAGES, SHARD_WORDS), stream_shard)

@@ -31,18 +31,19 @@ from tidemark.llm.scratch import parts, written
 from tidemark.llm.text import SPACED, Runs, Words, byte_values, column, mix, pack, room, slices, unpack
 
 PROBES = 1 << 19  # anchors a task holds before it sends them
-SOLVED_UNITS = 1 << 18  # units compared at once, but for larger keys
 _PLACE = np.uint64((1 << 28) - 1)
 
 
 @dataclass(frozen=True)
 class Rule:
-    """What a unit is, how long a window and its anchor are, and how many regions of one anchor a single task may compare."""
+    """What a unit is, how long a window and its anchor are, how many regions of one anchor a single task may compare, and
+    how many units are compared at once (whole anchors, so up to ``heavy`` regions more)."""
 
     unit: str  # "byte" or "word"
     length: int
     anchor: int
     heavy: int = 4096
+    solved: int = 1 << 18
 
 
 class Units:
@@ -266,7 +267,7 @@ def ask(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatc
 def compare(batches: Iterator[pa.RecordBatch], rule: Rule, solve: Callable) -> Iterator[pa.RecordBatch]:
     """solve(rule, regions in bytes, ids): for each region the starts in it of windows that a smaller id has too."""
     def enough(held: list[pa.RecordBatch]) -> bool:
-        return sum(b.num_rows for b in held) * 2 * rule.length > SOLVED_UNITS
+        return sum(b.num_rows for b in held) * 2 * rule.length > rule.solved
 
     for group in by_key(batches, "key", enough):
         ids, first = group["doc_id"].to_numpy(), group["first"].to_numpy()

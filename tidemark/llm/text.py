@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20  # text bytes handled at once; one longer text is a slice of its own
+SLICE_BYTES = 1 << 19  # text bytes handled at once; one longer text is a slice of its own
 _ROOT = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(int(_ROOT), -1, 1 << 64))
 _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
