@@ -31,14 +31,17 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder every executor can reach.
+    """A fresh folder every executor can reach, removed when the session's JVM ends.
 
     The cluster names the shared root in ``spark.checkpoint.dir``. Only a local
     master may fall back to a temporary folder, since there is one machine only.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{tempfile.mkdtemp(prefix='tidemark-')}/{purpose}"
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="tidemark-")
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
