@@ -10,6 +10,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators import IncrementalTable
+from tidemark.params import Params
 from tidemark.plans import WarehouseBuild
 from tidemark.registry import RAW_TABLES, RawTable
 from tidemark.session import shared_dir
@@ -237,15 +238,34 @@ def warehouse_build(spark: SparkSession, sf: str) -> DataFrame:
 
     The lookback is set wide, so that rows that arrive late count and the result is that of one full build.
     """
-    models = Models(spark, sf)
     wide = 10_000
-    params = replace(
+    build = _two_runs(spark, sf, replace(
         P, sales_lookback_days=wide, visits_lookback_days=wide, inventory_lookback_days=wide, returns_lookback_days=wide,
-    )
+    ))
+    totals = [
+        build.model(name).agg(
+            F.count("*").alias("n_rows"), F.count_distinct(F.expr(key)).alias("n_keys"),
+            F.sum(F.expr(measure)).cast("double").alias("measure"),
+        ).select(F.lit(name).alias("mart"), "n_rows", "n_keys", "measure")
+        for name, (key, measure) in _MEASURED.items()
+    ]
+    result = totals[0]
+    for part in totals[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def _cut(name: str) -> str:
+    """When the first run ends, for a raw table."""
+    return "2024-01-20" if name.startswith(("mdm", "crm")) else "2001-06-01"
+
+
+def _two_runs(spark: SparkSession, sf: str, params: Params) -> WarehouseBuild:
+    models = Models(spark, sf)
     base = shared_dir(spark, "warehouse")
 
     def cut(name: str) -> Column:
-        return F.lit("2024-01-20" if name.startswith(("mdm", "crm")) else "2001-06-01").cast("timestamp_ntz")
+        return F.lit(_cut(name)).cast("timestamp_ntz")
 
     def early(name: str, since: str | None) -> DataFrame:
         return models(name).filter(F.col("_loaded_at") < cut(name))
@@ -257,14 +277,41 @@ def warehouse_build(spark: SparkSession, sf: str) -> DataFrame:
     WarehouseBuild(spark, early, base, params).run()
     build = WarehouseBuild(spark, landed, base, params)
     build.run(since="second run")
-    totals = [
-        build.model(name).agg(
-            F.count("*").alias("n_rows"), F.count_distinct(F.expr(key)).alias("n_keys"),
-            F.sum(F.expr(measure)).cast("double").alias("measure"),
-        ).select(F.lit(name).alias("mart"), "n_rows", "n_keys", "measure")
-        for name, (key, measure) in _MEASURED.items()
-    ]
-    result = totals[0]
-    for part in totals[1:]:
-        result = result.unionByName(part)
+    return build
+
+
+# Of each fact: key, day, two measures, and the days a daily run goes back.
+_FACT_ROWS = {
+    "fact_sales_orders": ("order_line_id", "order_date", "net_revenue", "quantity", P.sales_lookback_days),
+    "fact_hcp_visits": ("visit_id", "visit_date", "engagement_score", "visits_trailing_window", P.visits_lookback_days),
+    "fact_inventory_snapshot": (
+        "concat_ws('/', snapshot_date, warehouse_id, product_id, batch_id)", "snapshot_date", "days_on_hand", "qty_on_hand",
+        P.inventory_lookback_days,
+    ),
+    "fact_returns": ("return_id", "return_date", "quantity", "length(product_key)", P.returns_lookback_days),
+}
+
+
+def _lookback_sql() -> str:
+    """Rows from the lookback on as a full build has them, the rest as the first run left it."""
+    parts = []
+    for name, (key, day, a, b, days) in _FACT_ROWS.items():
+        columns = f"'{name}' AS fact, {key} AS key, {day} AS day, ({a})::DOUBLE AS a, ({b})::DOUBLE AS b"
+        first = f"(SELECT max({day}) FROM {name}_early) - {days}"
+        parts.append(f"""SELECT {columns} FROM {name} WHERE {day} >= {first}
+UNION ALL SELECT {columns} FROM {name}_early WHERE {key} NOT IN (SELECT {key} FROM {name} WHERE {day} >= {first})""")
+    return "\nUNION ALL ".join(parts)
+
+
+@query("warehouse_lookback", "fact:s key:s day:d a:f4 b:f4", with_models(_lookback_sql(), {
+    f"raw_{name.split('.')[1]}": f"_loaded_at < TIMESTAMP '{_cut(name)}'" for name in RAW_TABLES
+}))
+def warehouse_lookback(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows of the four facts after two runs with the lookbacks of a daily run: what arrives later than that waits."""
+    build = _two_runs(spark, sf, P)
+    result = None
+    for name, (key, day, a, b, _) in _FACT_ROWS.items():
+        part = build.model(name).select(
+            F.lit(name).alias("fact"), F.expr(key).alias("key"), F.col(day).alias("day"), F.expr(a).cast("double").alias("a"), F.expr(b).cast("double").alias("b"))
+        result = part if result is None else result.unionByName(part)
     return result

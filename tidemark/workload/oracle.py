@@ -305,7 +305,22 @@ def needed(sql: str) -> list[str]:
     return [name for name in MODELS if name in found]
 
 
-def with_models(sql: str) -> str:
+def _renamed(sql: str) -> str:
+    """The text with every model it reads replaced by the model as of the first run."""
+    return re.sub(rf"\b(FROM|JOIN)(\s+)({'|'.join(MODELS)})\b", r"\1\2\3_early", sql)
+
+
+def with_models(sql: str, early: dict[str, str] | None = None) -> str:
+    """``early`` holds conditions on raw models: ``<model>_early`` then stands for a model built from such rows only."""
+    if early:
+        wanted = sorted({name for name in MODELS if f"{name}_early" in sql})
+        late = needed(sql.replace("_early", " "))
+        first = needed(" ".join(f"FROM {name}" for name in wanted))
+        parts = [f"{n} AS ({MODELS[n]})" for n in late]
+        for n in first:
+            text = f"SELECT * FROM ({MODELS[n]}) WHERE {early[n]}" if n in early else _renamed(MODELS[n])
+            parts.append(f"{n}_early AS ({text})")
+        return "WITH " + ",\n".join(parts) + "\n" + sql
     names = needed(sql)
     if not names:
         return sql
