@@ -48,8 +48,8 @@ def test_order_nulls_and_empty(spark, documents):
     rows = [(i, t) for i, t in zip([5, 3, 9, 1, 7, 2, 8, 4, 0, 6, 10, 11, 12, 13, 14, 15], ODD)]
     got = sorted(tuple(r) for r in T.token_table(documents(rows)).collect())
     assert got == sorted(plain(rows))
-    twice = T.token_table(documents([(1, "a b"), (1, "a b"), (None, None)])).collect()
-    assert sorted((r.doc_id or 0, r.start) for r in twice) == [(0, 0), (1, 1), (1, 1 + twice[1].n_tokens)] or len(twice) == 3
+    twice = [(1, "a b"), (1, "a b"), (None, None)]
+    assert sorted((tuple(r) for r in T.token_table(documents(twice)).collect()), key=str) == sorted(plain(twice), key=str)
     assert T.token_table(documents([])).count() == 0
 
 
