@@ -141,7 +141,7 @@ def probe(batches: Iterator[pa.RecordBatch], rule: Rule, buckets: int) -> Iterat
         if len(known):
             own, m = known[edge[:-1]], len(edge) - 1
             none = pa.nulls(m, pa.binary())
-            bucket = (mix(tkeys[own].astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+            bucket = (mix(tkeys[own].astype(np.uint64) + ids[own].astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)  # copies go to many
             yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(ids[own]), pa.array(tkeys[own]), none, none, none, none, pack(regions[known], edge)], schema=_PROBE)
         first = np.flatnonzero(new & (ids == least))
         ids, tkeys, keys, regions = ids[first], tkeys[first], keys[first], regions[first]
