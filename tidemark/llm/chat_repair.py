@@ -19,13 +19,17 @@ gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from tidemark.llm.scratch import ship, written
+from tidemark.llm.frames import arrays
+from tidemark.llm.scratch import parts, written
 
 ROLES = ("system", "user", "assistant", "tool")
 START = "start"
@@ -139,14 +143,51 @@ _PLACE = ["turn", "role_key", "role", "text"]
 RESULT = "conv_id long, chunk long, part int, place int, turn long, role string, action string, new_role string, rendered string"
 
 
-def _turns(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values("row", kind="stable")
+def per_group(df: DataFrame, keys: list[str], order: list[str], ddl: str, work) -> DataFrame:
+    """work(key, rows) for each group of rows, sorted; groups are read one after the other from sorted partitions."""
+    names = [part.split()[0] for part in ddl.split(", ")]
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        rows = (row for batch in batches for row in batch.to_pylist())
+        for key, group in itertools.groupby(rows, lambda row: tuple(row[k] for k in keys)):
+            held += [dict(zip(names, made)) for made in work(key, list(group))]
+            if len(held) >= 2000:
+                yield pa.RecordBatch.from_pylist(held, schema=schema)
+                held = []
+        if held:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+    dealt = df.repartition(parts(df.sparkSession), *keys).sortWithinPartitions(*keys, *order)
+    return arrays(dealt, ddl, run)
+
+
+def matrices(key: tuple, rows: list[dict]) -> list[tuple]:
+    return [(*key, effect([row["role_key"] for row in rows]).ravel().tolist())]
+
+
+def chained(key: tuple, rows: list[dict]) -> list[tuple]:
+    entry, last = cut_states([np.array(row["costs"]).reshape((len(STATES),) * 2) for row in rows])
+    ends = zip(rows, entry, [*entry[1:], last])
+    return [(*key, row["chunk"], row["part"], a, z, row is rows[-1]) for row, a, z in ends]
+
+
+def rendered(key: tuple, rows: list[dict]) -> list[tuple]:
+    entry, leave, final = rows[0]["entry"], rows[0]["leave"], rows[0]["final"]
+    state, out = STATES[entry], []
+    for row, step in zip(rows, cheapest([row["role_key"] for row in rows], entry, leave)):
+        *empty, own = render(state, step, row["text"] or "")
+        out += [(None, None, *e) for e in empty] + [(row["turn"], row["role"], *own)]
+        state = step[3]
+    if final:
+        out += [(None, None, "insert", role, f"{CLOSE}{OPEN}{role}\n") for role in ending(state)[1]]
+        out[-1] = (*out[-1][:4], out[-1][4] + CLOSE)
+    return [(*key, place, *made) for place, made in enumerate(out)]
 
 
 def repair_chats(conversations: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """One row per turn of (conv_id, turn, role, text), inserted ones included: action, new_role and the rendered piece."""
-    spark = conversations.sparkSession
-    ship(spark)
     given = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
     placed = given.filter("conv_id is not null and turn is not null").distinct().withColumn("role_key", F.coalesce(F.lower(F.trim("role")), F.lit(""))) \
         .withColumn("chunk", F.floor(F.col("turn") / chunk))
@@ -155,37 +196,10 @@ def repair_chats(conversations: DataFrame, chunk: int = CHUNK) -> DataFrame:
     rows = written(placed.withColumn("row", F.row_number().over(order) - 1).withColumn("part", F.floor(F.col("row") / chunk).cast("int")), "chat-turns")
     key = ["conv_id", "chunk", "part"]
 
-    def matrix(keys: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"conv_id": [keys[0]], "chunk": [keys[1]], "part": [keys[2]], "costs": [effect(_turns(pdf)["role_key"].tolist()).ravel().tolist()]})
-
-    effects = rows.select(*key, "row", "role_key").groupBy(*key).applyInPandas(matrix, "conv_id long, chunk long, part int, costs array<double>")
-
-    def chain(keys: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["chunk", "part"])
-        entry, last = cut_states([np.array(c).reshape((len(STATES),) * 2) for c in pdf["costs"]])
-        leave = [*entry[1:], last]
-        return pd.DataFrame({
-            "conv_id": pdf["conv_id"], "chunk": pdf["chunk"], "part": pdf["part"], "entry": entry, "leave": leave, "final": [False] * (len(entry) - 1) + [True]})
-
-    states = written(effects.groupBy("conv_id").applyInPandas(chain, "conv_id long, chunk long, part int, entry int, leave int, final boolean"), "chat-states")
-
-    def solve(keys: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _turns(pdf)
-        state, out = STATES[int(pdf["entry"].iloc[0])], []
-        chosen = cheapest(pdf["role_key"].tolist(), int(pdf["entry"].iloc[0]), int(pdf["leave"].iloc[0]))
-        for turn, role, text, step in zip(pdf["turn"].tolist(), pdf["role"].tolist(), pdf["text"].tolist(), chosen):
-            *empty, own = render(state, step, text or "")
-            out += [(None, None, *e) for e in empty] + [(turn, role, *own)]
-            state = step[3]
-        if bool(pdf["final"].iloc[0]):
-            for role in ending(state)[1]:
-                out.append((None, None, "insert", role, f"{CLOSE}{OPEN}{role}\n"))
-            out[-1] = (*out[-1][:4], out[-1][4] + CLOSE)
-        made = pd.DataFrame(out, columns=["turn", "role", "action", "new_role", "rendered"])
-        made["turn"] = made["turn"].astype("Int64")
-        return made.assign(conv_id=keys[0], chunk=keys[1], part=keys[2], place=range(len(made)))[[c.split()[0] for c in RESULT.split(", ")]]
-
-    repaired = rows.join(states, key).groupBy(*key).applyInPandas(solve, RESULT)
+    effects = per_group(rows.select(*key, "row", "role_key"), key, ["row"], "conv_id long, chunk long, part int, costs array<double>", matrices)
+    states = written(per_group(
+        effects, ["conv_id"], ["chunk", "part"], "conv_id long, chunk long, part int, entry int, leave int, final boolean", chained), "chat-states")
+    repaired = per_group(rows.join(states, key), key, ["row"], RESULT, rendered)
     lost = given.filter("conv_id is null or turn is null").select(
         "conv_id", F.lit(None).cast("long").alias("chunk"), F.lit(None).cast("int").alias("part"), F.lit(None).cast("int").alias("place"), "turn", "role",
         F.lit("unplaced").alias("action"), F.lit(None).cast("string").alias("new_role"), F.lit("").alias("rendered"))
