@@ -75,3 +75,30 @@ def test_automaton_against_search():
         for s, o in zip(seqs, owners):
             want = [i for i in range(len(s) - 3) if any(s[i:i + 4] == t[j:j + 4] and p < o for t, p in zip(seqs, owners) for j in range(len(t) - 3))]
             assert own.repeated(s, o, 4) == want
+
+
+@pytest.mark.parametrize("unit", ["byte", "word"])
+def test_passage_of_many_documents_is_no_hot_key(spark, documents, unit):
+    """Everything around the passage differs, so none of its edge regions are equal."""
+    rng = random.Random(11)
+    joint = " " if unit == "word" else ""
+    text = lambda k: joint.join(rng.choice("abcdefghijklmnop") for _ in range(k))
+    passage = text(30)
+    rows = [(i, joint.join([text(30), passage, text(30)])) for i in rng.sample(range(5000), 400)]
+    plain = {"byte": suffix_dedup.sort_windows, "word": automaton_dedup.stream_shard}[unit]
+    limit = 64  # of 400 holders
+
+    def solve(rule, regions, ids):
+        seen = {}
+        for r in regions:
+            r = tuple(r.split()) if rule.unit == "word" else r
+            for i in range(len(r) - rule.length + 1):
+                seen[r[i:i + rule.length]] = seen.get(r[i:i + rule.length], 0) + 1
+        if max(seen.values()) > limit:
+            raise ValueError("a window came with all its holders")
+        return plain(rule, regions, ids)
+
+    got = repeats.remove_repeats(documents(rows).repartition(8), repeats.Rule(unit, 20, 6, 4), solve)
+    want = brute.repeated_bytes(rows, 20) if unit == "byte" else brute.repeated_words(rows, 20)
+    assert shape(got, unit == "byte") == sorted(want, key=str)
+    assert sum(r[2] for r in shape(got)) >= 30 * 399

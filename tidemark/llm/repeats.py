@@ -9,8 +9,10 @@ windows have equal anchors, and about two in length - anchor + 2 places are anch
 2. ``judge``: in a bucket, a region that a smaller id has as well is a repeat as a whole. An anchor with several different regions
    is undecided: the first holder of each region is asked for its units.
 3. ``ask``: documents meet their verdicts, and those asked send the regions, keyed by anchor, with nothing else of the text.
-   The regions of an anchor with very many of them go window by window, keyed by window hash, so no anchor is a hot key.
-4. ``solve``, given by the operator, compares the asked windows unit by unit, key by key.
+   The regions of an anchor with very many of them go window by window, keyed by window hash. Of those that hold a window a task
+   sends the smallest id and its units; the others are known to be repeats.
+4. ``compare``: ``solve``, given by the operator, compares the asked regions unit by unit, key by key. Of a single window, which may
+   have been sent by every task, the smallest id of each of ``SALTS`` parts is found first, and only these are solved.
 5. ``finish``: documents meet the repeated regions and the windows found, and what is covered goes.
 
 Equal regions are told by 64-bit hashes within an anchor of equal 32-bit hash; what differs there is compared in full.
@@ -21,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,8 @@ from tidemark.llm.scratch import parts, written
 from tidemark.llm.text import SPACED, Runs, Words, byte_values, column, mix, pack, room, slices, unpack
 
 PROBES = 1 << 19  # anchors a task holds before it sends them
+WINDOWS = 1 << 17  # single windows a task holds before it sends them
+SALTS = 64  # parts in which the holders of a single window are reduced
 _PLACE = np.uint64((1 << 28) - 1)
 
 
@@ -235,16 +240,60 @@ def merged(first: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.stack([first[new], reach[np.append(new[1:], len(first)) - 1]], 1)
 
 
-ASKED = "doc_id long, tkey long, key long, first long, units binary"
+#: Without units, a row says where repeated windows start. Regions have the salt -1, single windows that of their task.
+ASKED = "doc_id long, tkey long, key long, salt int, firsts binary, units binary"
+_ASKED = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("key", pa.int64()), ("salt", pa.int32()), ("firsts", pa.binary()), ("units", pa.binary())])
+
+
+class Windows:
+    """Single windows that a task asks for: each with its smallest doc_id only, as all others are repeats of that one."""
+
+    def __init__(self):
+        self.numbers: dict[bytes, int] = {}
+        self.keys: list[int] = []
+        self.held: list[tuple[int, int, int, int]] = []  # window, doc_id, tkey, start
+
+    def add(self, doc_id: int, tkey: int, first: int, keys: list[int], cells: list[bytes]) -> None:
+        for k, (key, cell) in enumerate(zip(keys, cells)):
+            number = self.numbers.setdefault(cell, len(self.numbers))
+            if number == len(self.keys):
+                self.keys.append(key)
+            self.held.append((number, doc_id, tkey, first + k))
+
+    def send(self, salt: int) -> Iterator[pa.RecordBatch]:
+        number, ids, tkeys, first = np.array(self.held, np.int64).T
+        units, keys = np.array([*self.numbers], object), np.array(self.keys, np.int64)
+        least = np.full(len(keys), np.iinfo(np.int64).max)
+        np.minimum.at(least, number, ids)
+        known = ids > least[number]
+        for some in (np.flatnonzero(known), np.flatnonzero(~known)):
+            if not len(some):
+                continue
+            told = known[some[0]]
+            window = np.where(known, 0, number)  # all starts of a document that are known go together
+            some = some[np.lexsort((first[some], window[some], tkeys[some], ids[some]))]
+            edge = bounds(ids[some], tkeys[some], window[some])
+            own = some[edge[:-1]]
+            key = mix(ids[own].astype(np.uint64) + tkeys[own].astype(np.uint64)).view(np.int64) if told else keys[number[own]]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(ids[own]), pa.array(tkeys[own]), pa.array(key), pa.array(np.full(len(own), salt, np.int32)), pack(first[some], edge),
+                pa.nulls(len(own), pa.binary()) if told else pa.array(units[number[own]].tolist(), pa.binary())], schema=_ASKED)
+        self.__init__()
 
 
 def ask(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """The regions (or single windows) that the verdicts on a document ask for."""
+    from pyspark import TaskContext
+
+    context = TaskContext.get()
+    salt = context.partitionId() if context else 0
+    single = Windows()
     for batch in batches:
         for rows, data, offsets in slices(batch, "text"):
             units = Units(rule, data, offsets)
             some = anchors(rule, units)
             edge = np.searchsorted(some.doc, np.arange(rows.num_rows + 1))
+            ids, tkeys = column(rows, "doc_id").to_pylist(), column(rows, "tkey").to_pylist()
             owner, keys, firsts, cells = [], [], [], []
             for k, verdict in enumerate(column(rows, "verdicts").to_pylist()):
                 part = slice(edge[k], edge[k + 1])
@@ -254,14 +303,18 @@ def ask(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatc
                 firsts.append(first[whole] - base)
                 cells += [units.between(f, z + rule.length) for f, z in zip(first[whole].tolist(), last[whole].tolist())]
                 for f, z in zip(first[split].tolist(), last[split].tolist()):
-                    keys.append(Runs(units.values[f:z + rule.length]).every(rule.length).view(np.int64))
-                    firsts.append(np.arange(f, z + 1) - base)
-                    cells += [units.between(i, i + rule.length) for i in range(f, z + 1)]
+                    hashes = Runs(units.values[f:z + rule.length]).every(rule.length).view(np.int64).tolist()
+                    single.add(ids[k], tkeys[k], f - base, hashes, [units.between(i, i + rule.length) for i in range(f, z + 1)])
+                    if len(single.held) >= WINDOWS:
+                        yield from single.send(salt % SALTS)
+                        salt += 1
                 owner += [k] * (len(cells) - len(owner))
             if owner:
                 yield pa.RecordBatch.from_arrays([
                     column(rows, "doc_id").take(pa.array(owner)), column(rows, "tkey").take(pa.array(owner)), pa.array(np.concatenate(keys)),
-                    pa.array(np.concatenate(firsts)), pa.array(cells, pa.binary())], names=["doc_id", "tkey", "key", "first", "units"])
+                    pa.array(np.full(len(owner), -1, np.int32)), pack(np.concatenate(firsts), np.arange(len(owner) + 1)), pa.array(cells, pa.binary())], schema=_ASKED)
+    if single.held:
+        yield from single.send(salt % SALTS)
 
 
 def compare(batches: Iterator[pa.RecordBatch], rule: Rule, solve: Callable) -> Iterator[pa.RecordBatch]:
@@ -270,13 +323,44 @@ def compare(batches: Iterator[pa.RecordBatch], rule: Rule, solve: Callable) -> I
         return sum(b.num_rows for b in held) * 2 * rule.length > rule.solved
 
     for group in by_key(batches, "key", enough):
-        ids, first = group["doc_id"].to_numpy(), group["first"].to_numpy()
+        ids, firsts = group["doc_id"].to_numpy(), group["firsts"].to_pylist()
         starts = solve(rule, group["units"].to_pylist(), ids)
         some = [k for k, s in enumerate(starts) if len(s)]
         if some:
+            found = [np.add.outer(np.asarray(starts[k], np.int64), np.frombuffer(firsts[k], np.int64)).tobytes() for k in some]
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids[some]), pa.array(group["tkey"].to_numpy()[some]),
-                pa.array([(np.asarray(starts[k], np.int64) + first[k]).tobytes() for k in some], pa.binary())], names=["doc_id", "tkey", "starts"])
+                pa.array(ids[some]), pa.array(group["tkey"].to_numpy()[some]), pa.array(group["key"].to_numpy()[some]),
+                pa.array(np.full(len(some), -1, np.int32)), pa.array(found, pa.binary()), pa.nulls(len(some), pa.binary())], schema=_ASKED)
+
+
+def reduce_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Single windows by (salt, key, doc_id): the smallest holder of each window stays asked, the others are repeats."""
+    last, least = None, {}
+    for batch in batches:
+        units = column(batch, "units").to_pylist()
+        for k, (salt, key, doc_id, cell) in enumerate(zip(*(column(batch, c).to_pylist() for c in ("salt", "key", "doc_id")), units)):
+            if (salt, key) != last:
+                last, least = (salt, key), {}
+            if cell is not None and least.setdefault(cell, doc_id) < doc_id:
+                units[k] = None
+        yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in _ASKED.names[:-1]), pa.array(units, pa.binary())], schema=_ASKED)
+
+
+def compare_parts(batches: Iterator[pa.RecordBatch], rule: Rule, solve: Callable) -> Iterator[pa.RecordBatch]:
+    """Regions are solved; single windows, which come behind them, are reduced."""
+    single: list[pa.RecordBatch] = []
+
+    def regions() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edge = int(np.searchsorted(column(batch, "salt").to_numpy(), 0))
+            if edge:
+                yield batch.slice(0, edge)
+            if edge < batch.num_rows:
+                single.append(batch.slice(edge))
+                return
+
+    yield from compare(regions(), rule, solve)
+    yield from reduce_windows(chain(single, batches))
 
 
 RESULT = "doc_id long, n_units long, spans array<struct<first:long,end:long>>, kept binary"
@@ -315,8 +399,11 @@ def remove_repeats(docs: DataFrame, rule: Rule, solve: Callable) -> DataFrame:
     verdicts = written(arrays(sent.repartition(n, "bucket").sortWithinPartitions("bucket"), VERDICT, partial(judge, rule=rule)), "repeat-verdicts")
     told = verdicts.filter("length(asked) > 0 or length(split) > 0").groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("asked", "split")).alias("verdicts"))
     asked = arrays(texts.join(told.hint("shuffle_hash"), ["doc_id", "tkey"]), ASKED, partial(ask, rule=rule))
-    starts = written(arrays(
-        asked.repartition(n, "key").sortWithinPartitions("key"), "doc_id long, tkey long, starts binary", partial(compare, rule=rule, solve=solve)), "repeat-starts")
+    compared = written(arrays(
+        asked.repartition(n, "key", "salt").sortWithinPartitions("salt", "key", "doc_id"), ASKED, partial(compare_parts, rule=rule, solve=solve)), "repeat-starts")
+    left = compared.filter("units is not null").repartition(n, "key").sortWithinPartitions("key")
+    starts = compared.filter("units is null").unionByName(arrays(left, ASKED, partial(compare, rule=rule, solve=solve))) \
+        .select("doc_id", "tkey", F.col("firsts").alias("starts"))
     marks = verdicts.filter("length(repeats) > 0").select("doc_id", "tkey", "repeats").unionByName(starts, allowMissingColumns=True) \
         .groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("repeats", "starts")).alias("marks"))
     return arrays(texts.join(marks.hint("shuffle_hash"), ["doc_id", "tkey"], "left"), RESULT, partial(finish, rule=rule))
