@@ -64,3 +64,33 @@ def test_odd_rows(spark, documents):
     rows = L.scan_licenses(docs, "found_").select("doc_id", "found_.*", "found").collect()
     assert sorted((r.doc_id or 0, r.n_paragraphs, tuple(r.families)) for r in rows) == [(0, 1, ()), (1, 0, ()), (2, 0, ()), (3, 0, ()), (4, 1, ("MIT",)), (4, 1, ("MIT",))]
     assert L.scan_licenses(docs.limit(0), "x").count() == 0
+
+
+#: Notices of licences that no template and no training text is of.
+HELD_OUT = [
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.",
+    "Distributed under the Boost Software License.", "Licensed CC BY-ND 4.0", "Available under EUPL v1.2", "Licensed under the Zebra Public License, version 7.",
+    "Proprietary and confidential. Unauthorized copying of this file, via any medium, is strictly prohibited.",
+    "Everyone is permitted to copy and distribute verbatim or modified copies of this license document",
+]
+
+
+def test_licences_without_a_template_are_unknown(models):
+    found = [[x["family"] for x in scan(models, text)[0][1]] for text in HELD_OUT]
+    assert all(f in ([], ["unknown"]) for f in found)
+    assert sum(map(bool, found)) / len(found) >= 0.7
+
+
+def test_words_that_only_share_buckets_are_no_notice(models):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(["".join(rng.choice(list("abcdefgh"), 7))] * int(rng.integers(1, 70))) for _ in range(400)]
+    assert not any(found for _, found in scan(models, *texts))
+
+
+def test_notice_wrapped_over_lines(models):
+    notice = "Licensed under\nthe Apache\nLicense,\nVersion 2.0."
+    text = "ordinary words here and there\n\n" + notice + "\n\nmore ordinary words"
+    (n, found), = scan(models, text)
+    assert n == 6 and [x["family"] for x in found] == ["Apache"]
+    assert text[found[0]["first"]:found[0]["end"]] == notice[:-1]

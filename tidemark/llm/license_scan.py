@@ -1,14 +1,15 @@
 """Licence notices found by a trained paragraph classifier and confirmed by their templates.
 
-A paragraph is a line; a long one is read in overlapping pieces of ``PIECE`` words. Words (ASCII letters lower-cased, numbers and
+A paragraph is a line; a long one is read in overlapping pieces of ``PIECE`` words. Notices wrapped over several lines are found in
+pieces of the lines up to a blank one, where these name a family that no line of theirs does, or find what no line does. Words (ASCII letters lower-cased, numbers and
 versions as they are) and pairs of words are hashed to features. Two logistic regressions are trained on the driver, on
 variations of the templates below and on a bounded sample of paragraphs of the documents: one tells notices from other text, and one tells
 the families apart, with a class of its own for notices of no known family. The second one's probabilities are calibrated by a
-temperature fitted to variations kept out of training.
+temperature fitted to variations kept out of training, and so is the first one's.
 
-A paragraph is a notice if the first says so and its template comparison or the second supports it: it is of the predicted family if the
-calibrated probability reaches ``SURE`` and it shares enough word pairs with a template of that family, else it is "unknown". Models have
-a fixed size and are broadcast; documents are scanned whole, without a shuffle.
+A notice is of the predicted family if the calibrated probability reaches ``SURE`` and it shares enough word pairs with a template
+of that family. Templates confirm named families only: what none supports is "unknown" if the calibrated probability that it is a notice
+at all reaches ``SURE``, as no named family is left then. Models have a fixed size and are broadcast; documents are scanned whole, without a shuffle.
 
 Defined cases: a null or empty text has no paragraphs; repeated rows are scanned one by one; an empty table gives an empty
 result (the templates alone train the models); all columns of the input are kept.
@@ -96,17 +97,37 @@ TEMPLATES: dict[str, list[str]] = {
     UNKNOWN: [
         "All rights reserved.", "Copyright 2020 the authors. All rights reserved.", "Licensed under the Custom Public License, version 1.0.", "Released under the Example License.",
         "This material is licensed under the terms of the vendor agreement.", "Use of this software is subject to the licence agreement.", "No part of this publication may be reproduced without permission of the publisher.",
+        "Distributed under the Artistic License 2.0.", "Available under the OpenSSL License.", "Available under EPL v2.0.", "Licensed under the Open Data Commons Attribution License.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License.",
+        "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without a written agreement is hereby granted.",
+        "The program is provided without warranty of any kind, express or implied, and its authors shall not be liable for any claim or damages.",
+        "Modified versions must be marked as changed and must carry prominent notices stating that you changed the original files.",
+        "Confidential information of the company. Disclosure, copying or distribution without prior written consent is prohibited.",
+        "You may not copy, distribute or create derivative works of this material in any form without the written permission of the owner.",
     ],
 }
 FAMILIES = [*TEMPLATES]
+_SYLLABLES = "ba co du el fi gan hor ist jo ka lum mer nor os pra qui ro sta tu ver".split()
 _FILLERS = "see the file for details and more by its authors here notice project code data website work is".split()
 _NAMES = "acme zeta foo blue north orion delta river stone vector".split()
+#: What makes a notice one of its family; with another name in its place it is a notice of no known family.
+_OWN = re.compile(r"GNU (Lesser |Affero )?General|GNU [AL]?GPL|[AL]?GPL|MIT|Apache|BSD|Mozilla|MPL|ISC|Unlicense|CC BY(-[A-Z]+)*|CC-BY(-[A-Z]+)*|CC0|Creative Commons Attribution(-\w+)?")
+# Ordinary sentences with the words of notices.
+_ORDINARY = [
+    "The band released a new album under its old name.", "The second version of the play was shown in spring.", "She was granted permission to leave early.", "You need a driving license to rent a car here.",
+    "All children may use the pool free of charge.", "Many copies of the book were sold last year.", "The work of the authors is well known in the country.", "He asked for permission and it was given.",
+    "The software was slow and the users were angry.", "See the terms of the contract between the two clubs.", "A file was found in the house of the general.", "The public is welcome and all are free to go.",
+    "The film was distributed to cinemas in May.", "The conditions in the city were hard and the roads were closed.", "Version 1.2 of the map shows the new road.", "The third version of the story is the best.",
+    "The right of way is on the north side.", "The president was under attack for his use of public money.", "He reserved all the seats for his family.", "The law was changed and the old rules were no longer in use.",
+    "The company made the source of the problem known.", "The material is soft and can be cut in any form.", "The material was provided by the state.", "Use a sharp knife and cut the bread.", "The copyright debate went on for years.",
+    "Notice the small bird on the left.", "The general public did not like the plan.", "We have no information about the accident.", "The university is available for meetings in summer.", "In no event was he late, as far as we know.",
+]
 
 
 class Pieces:
     """Paragraphs of several texts, long ones in pieces, with their hashed words and pairs of words."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, joined: bool = False):
         self.words = Words(data, offsets, TERM, lower=True)
         hashes = self.words.hashes()
         n = len(hashes)
@@ -114,14 +135,18 @@ class Pieces:
         line = lines[self.words.first]
         doc = np.repeat(np.arange(len(offsets) - 1), np.diff(self.words.offsets))
         new = np.ones(n, bool)
-        new[1:] = (line[1:] != line[:-1]) | (doc[1:] != doc[:-1])
+        new[1:] = (line[1:] - line[:-1] > joined) | (doc[1:] != doc[:-1])
         start = np.flatnonzero(new)
         size = np.diff(np.append(start, n))
         half = PIECE // 2
         count = np.maximum(1, -(-(size - half) // half))
         self.first = np.repeat(start, count) + half * (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
         self.end = np.minimum(self.first + PIECE, np.repeat(start + size, count))
+        if joined:  # lines up to a blank one, but not single lines
+            several = line[self.first] != line[self.end - 1]
+            self.first, self.end = self.first[several], self.end[several]
         self.doc = doc[self.first] if n else doc
+        self.hashes = hashes
         self.lone = (mix(hashes * np.uint64(2) + np.uint64(1)) % np.uint64(BUCKETS)).astype(np.int64)
         pairs = np.roll(hashes, -1) + hashes * np.uint64(0x9E3779B97F4A7C15)
         self.pair_hash = mix(pairs)
@@ -139,6 +164,9 @@ class Pieces:
         by = np.argsort(row, kind="stable")
         return row[by], bucket[by]
 
+    def words_of(self, piece: int) -> np.ndarray:
+        return np.unique(self.hashes[self.first[piece]:self.end[piece]])
+
     def pairs_of(self, piece: int) -> set[int]:
         return set(self.pair_hash[self.first[piece]:self.end[piece] - 1].tolist())
 
@@ -156,10 +184,19 @@ class Models:
     family_bias: np.ndarray
     temperature: float
     templates: dict[str, list[set[int]]] = field(default_factory=dict)
+    notice_temperature: float = 1.0
+    words: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
 
-    def is_notice(self, rows: np.ndarray, buckets: np.ndarray, n: int) -> np.ndarray:
+    def notices(self, rows: np.ndarray, buckets: np.ndarray, n: int) -> np.ndarray:
+        """The calibrated probability that a piece is a notice."""
         size = np.maximum(np.bincount(rows, minlength=n), 1)
-        return np.bincount(rows, self.notice[buckets], minlength=n) / np.sqrt(size) + self.notice_bias > 0
+        z = np.bincount(rows, self.notice[buckets], minlength=n) / np.sqrt(size) + self.notice_bias
+        return 1 / (1 + np.exp(-z / self.notice_temperature))
+
+    def familiar(self, words: np.ndarray) -> bool:
+        """Whether half of the distinct words, and two, are words of notices: others only share buckets with them."""
+        known = int(np.isin(words, self.words).sum())
+        return known >= 2 and 2 * known >= len(words)
 
     def families(self, rows: np.ndarray, buckets: np.ndarray, n: int) -> np.ndarray:
         size = np.maximum(np.bincount(rows, minlength=n), 1)
@@ -227,12 +264,37 @@ def train(background: list[str]) -> Models:
             texts = variations(rng, template, VARIATIONS)
             notices += texts
             labels += [k] * len(texts)
+            if _OWN.search(template):
+                for _ in range(VARIATIONS // 4):
+                    name = "".join(rng.choice(_SYLLABLES, rng.integers(1, 4))).capitalize()
+                    notices += variations(rng, _OWN.sub(name if rng.random() < 0.7 else name[:4].upper(), template), 2)
+                    labels += [len(FAMILIES) - 1] * 2
     plain += [" ".join(rng.choice(_FILLERS + _NAMES, rng.integers(3, 20))) for _ in range(100)]
+    # Words of notices, alone or out of order, are no notice.
+    often = sorted({w for ts in TEMPLATES.values() for t in ts for w in t.split()})
+    plain += [x for t in _ORDINARY for x in variations(rng, t, VARIATIONS // 2)]
+    for t in _ORDINARY * (VARIATIONS // 4):  # and parts of them, as lines may be
+        words = t.rstrip(".").split()
+        first = int(rng.integers(0, len(words) - 3))
+        plain += variations(rng, " ".join(words[first:first + int(rng.integers(3, 7))]), 2)
+    for _ in range(300):
+        words = [*rng.choice(often, rng.integers(1, 4)), *rng.choice(_FILLERS + _NAMES, rng.integers(2, 8))]
+        plain.append(" ".join(rng.permutation(words)))
     found = pieces_of(notices + plain)
     row, bucket = found.features()
     n = len(found.first)
     is_notice = (found.doc < len(notices)).astype(float)[:, None]
-    notice, notice_bias = _descend(row, bucket, n, is_notice, np.where(is_notice[:, 0] == 1, 0.5 / is_notice.sum(), 0.5 / max(1, n - is_notice.sum())), 100)
+    weight = np.where(is_notice[:, 0] == 1, 0.5 / is_notice.sum(), 0.5 / max(1, n - is_notice.sum()))
+    apart = rng.random(n) < 0.2
+    notice, notice_bias = _descend(row, bucket, n, is_notice, np.where(apart, 0.0, weight), 100)
+    known = Models(notice[:, 0], float(notice_bias[0]), np.zeros(0), np.zeros(0), 1.0, templates)
+    losses = []
+    for t in np.geomspace(0.1, 4, 25):
+        known.notice_temperature = float(t)
+        p = known.notices(row, bucket, n)
+        likely = np.where(is_notice[:, 0] == 1, p, 1 - p)[apart]
+        losses.append((-(np.log(np.maximum(likely, 1e-12)) * weight[apart]).sum(), float(t)))
+    notice_temperature = min(losses)[1]
 
     found = pieces_of(notices)
     row, bucket = found.features()
@@ -242,7 +304,7 @@ def train(background: list[str]) -> Models:
     held_out = rng.random(n) < 0.2
     share = 1 / np.bincount(own, minlength=len(FAMILIES))[own] / len(FAMILIES)
     family, family_bias = _descend(row, bucket, n, target, np.where(held_out, 0.0, share))
-    models = Models(notice[:, 0], float(notice_bias[0]), family, family_bias, 1.0, templates)
+    models = Models(notice[:, 0], float(notice_bias[0]), family, family_bias, 1.0, templates, notice_temperature, np.unique(pieces_of([t for ts in TEMPLATES.values() for t in ts]).hashes))
     losses = []
     for t in np.geomspace(0.1, 4, 25):  # the temperature that makes the kept-out labels likeliest
         models.temperature = float(t)
@@ -256,31 +318,48 @@ FIELDS = "n_paragraphs long, families array<string>, notices array<struct<first:
 _NOTICES = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("support", pa.float64())]))
 
 
-def scan_texts(models: Models, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, list[dict]]]:
-    """For each text, its number of paragraphs and the notices in it, with their bytes in the text."""
-    found = Pieces(data, offsets)
+def scan_pieces(models: Models, found: Pieces, offsets: np.ndarray) -> Iterator[tuple[int, dict]]:
+    """The notices among the pieces, each with its text's number."""
     n = len(found.first)
-    counts = np.bincount(found.doc, minlength=len(offsets) - 1) if n else np.zeros(len(offsets) - 1, int)
-    out: list[tuple[int, list[dict]]] = [(int(c), []) for c in counts]
     if not n:
-        return out
-    some = np.flatnonzero(models.is_notice(*found.features(), n))
+        return
+    notice = models.notices(*found.features(), n)
+    some = np.flatnonzero(notice > 0.5)
     if not len(some):
-        return out
+        return
     chance = models.families(*found.features(some), len(some))
     for piece, p in zip(some.tolist(), chance):
         pairs = found.pairs_of(piece)
         best = FAMILIES[int(p.argmax())]
-        support = models.support(pairs, best)
-        confirmed = best != UNKNOWN and p.max() >= SURE and support >= CONFIRMED
-        if not confirmed:
-            # What no template supports at all is ordinary text with words of notices in it.
-            support = max(models.support(pairs, f) for f in FAMILIES)
+        family, probability, support = best, float(p.max()), models.support(pairs, best)
+        if best == UNKNOWN or probability < SURE or support < CONFIRMED:
+            family, support = UNKNOWN, max(models.support(pairs, f) for f in FAMILIES)
             if support < CONFIRMED:
-                continue
+                probability = float(notice[piece])
+                if probability < SURE or not models.familiar(found.words_of(piece)):
+                    continue
         doc = int(found.doc[piece])
         first, end = found.words.first[found.first[piece]], found.words.end[found.end[piece] - 1]
-        out[doc][1].append({"first": int(first - offsets[doc]), "end": int(end - offsets[doc]), "family": best if confirmed else UNKNOWN, "probability": float(p.max()), "support": support})
+        yield doc, {"first": int(first - offsets[doc]), "end": int(end - offsets[doc]), "family": family, "probability": probability, "support": support}
+
+
+def scan_texts(models: Models, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, list[dict]]]:
+    """For each text, its number of paragraphs and the notices in it, with their bytes in the text."""
+    found = Pieces(data, offsets)
+    counts = np.bincount(found.doc, minlength=len(offsets) - 1) if len(found.first) else np.zeros(len(offsets) - 1, int)
+    out: list[tuple[int, list[dict]]] = [(int(c), []) for c in counts]
+    for doc, x in scan_pieces(models, found, offsets):
+        out[doc][1].append(x)
+    wrapped: dict[int, list[dict]] = {}
+    for doc, x in scan_pieces(models, Pieces(data, offsets, joined=True), offsets):
+        wrapped.setdefault(doc, []).append(x)
+    for doc, more in wrapped.items():
+        own = out[doc][1]
+        for x in more:
+            met = [y for y in own if y["first"] < x["end"] and x["first"] < y["end"]]
+            if not met or x["family"] != UNKNOWN and all(y["family"] == UNKNOWN for y in met):
+                own[:] = [y for y in own if y not in met] + [x]
+        own.sort(key=lambda y: y["first"])
     return out
 
 
