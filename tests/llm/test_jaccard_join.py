@@ -81,3 +81,19 @@ def test_divide_skip_finds_all():
     for s in sets:
         want = [k for k, t in enumerate(sets) if len(t) >= len(s) and 100 * len(np.intersect1d(s, t)) >= 75 * len(np.union1d(s, t))]
         assert index.search(s, 75, lambda x: np.zeros(len(x), bool)).tolist() == want
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 60])
+def test_all_links_are_found(spark, documents, limit):
+    rows = near_copies(random.Random(21)) + [(999, ""), (1000, None)]
+    sets = {d: brute.shingles(t) for d, t in rows}
+    pairs = {(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    least = {d: min(e for e in sets if sets[e] == sets[d]) for d in sets}
+    found, links = J.linked_documents(documents(rows), block_shingles=limit)
+    want = {(*sorted((least[a], least[b])), len(sets[a] & sets[b])) for a, b in pairs if sets[a] != sets[b]}
+    got = [tuple(r) for r in links.collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert {r.doc_id: r.n_links for r in found.collect()} == {d: sum(d in p for p in pairs) for d in sets}
+    assert sorted(map(tuple, found.drop("tkey", "n_links").collect())) == sorted(brute.linked(rows))
+    groups = len({r.component_id for r in found.collect()})
+    assert len(want) > len(set(least.values())) - groups  # more links than a spanning forest has

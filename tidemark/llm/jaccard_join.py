@@ -9,14 +9,15 @@
    are blocks: links never leave one.
 4. In a block, each set searches the larger ones: it needs T = ceil(6 n / 7) occurrences in its inverted lists. The longest lists are
    set aside, the short ones merged by counting, and only sets that reach T less the number of lists set aside are looked up in these by
-   binary search, if they are not connected already. Large blocks are split into index shards that all sets of the block search.
-5. Components of the links, over the block's documents, give the groups.
+   binary search. Large blocks are split into index shards that all sets of the block search.
+5. The links are written as pairs of classes (smallest doc_id of each) with their overlap. Their components give the groups, and with
+   the sizes of the classes they give each document's number of links. Who needs only groups may leave out what is connected already.
 
 Shingles are told apart by 64-bit hashes of their words.
 
 Defined cases: a null or empty text, or one without words, has an empty set and links with nothing; fewer words than a shingle are
 one shingle; a row without doc_id links with nothing and gets no component; rows that share a doc_id are one node where their
-texts are equal; an empty table gives an empty result; further columns are ignored, or kept by ``one_per_group``.
+texts are equal; numbers of links are exact only if no doc_id has two different texts; an empty table gives an empty result; further columns are ignored, or kept by ``one_per_group``.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ SENT = 1 << 19  # shingles a task holds before it sends them
 BLOCK_SHINGLES = 1 << 20  # shingles of a block that one task indexes
 HOT = 10_000  # holders of a shingle from which its chain is split
 SALTS = 64
+LINKS = 1 << 16  # links a task holds before it sends them
 SKIP_COST = 0.01  # DivideSkip: cost of a lookup against a merge step
 
 
@@ -221,15 +223,19 @@ class Index:
         self.tokens, self.first, self.end = tokens[by][edge[:-1]], edge[:-1], edge[1:]
 
     def search(self, tokens: np.ndarray, percent: int, skip) -> np.ndarray:
-        """Sets at least as large that reach the percentage; skip(candidates): which of them need no lookup."""
+        return self.overlaps(tokens, percent, skip)[0]
+
+    def overlaps(self, tokens: np.ndarray, percent: int, skip) -> tuple[np.ndarray, np.ndarray]:
+        """Sets at least as large that reach the percentage, and what they share; skip(candidates): which of them need no lookup."""
+        none = np.zeros(0, np.int64)
         n = len(tokens)
         need = -(-2 * percent * n // (100 + percent))  # overlap with an equally large set, and more with larger ones
         if not len(self.tokens):
-            return np.zeros(0, np.int64)
+            return none, none
         at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
         at = at[self.tokens[at] == tokens]
         if len(at) < need:
-            return np.zeros(0, np.int64)
+            return none, none
         first, end = self.first[at], self.end[at]
         by = np.argsort(end - first)
         first, end = first[by], end[by]
@@ -247,28 +253,56 @@ class Index:
             many = self.owner[a:z]
             place = np.searchsorted(many, found)
             count = count + (many[np.minimum(place, len(many) - 1)] == found)
-        return found[100 * count >= percent * (n + self.sizes[found] - count)]
+        enough = 100 * count >= percent * (n + self.sizes[found] - count)
+        return found[enough], count[enough]
+
+
+LINK_DDL = "rep_a long, rep_b long, overlap long"
 
 
-def search_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Links that connect what links in each shard of a block: rows (rep, root). Indexed sets come first in a shard."""
-    state: tuple | None = None  # shard, ids, index, groups, numbers of ids, whether sets search themselves
+def search_blocks(batches: Iterator[pa.RecordBatch], percent: int, every: bool) -> Iterator[pa.RecordBatch]:
+    """Links as rows (rep_a, rep_b, overlap): every one, once, or those that connect what links in each shard of a block.
+
+    Indexed sets come first in a shard.
+    """
+    state: tuple | None = None  # shard, ids, index, groups, numbers of ids
     waiting: list[tuple[int, np.ndarray]] = []
+    links: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    n = 0
 
     def build() -> None:
         nonlocal state
         ids = [i for i, _ in waiting]
-        state = (state[0], ids, Index([t for _, t in waiting]), Groups(len(ids)), {i: k for k, i in enumerate(ids)})
+        state = (state[0], ids, Index([t for _, t in waiting]), Groups(len(ids)), {i: k for k, i in enumerate(ids)}, np.array(ids, np.int64))
 
     def ask(own: int, rep: int, tokens: np.ndarray) -> None:
-        _, ids, index, groups, _ = state
-        root = groups.find(own)
+        nonlocal n
+        _, _, index, groups, _, reps = state
 
         def skip(found: np.ndarray) -> np.ndarray:
+            if every:  # of two equally large sets the one with the smaller id finds the other
+                return (reps[found] == rep) | ((index.sizes[found] == len(tokens)) & (reps[found] < rep))
+            root = groups.find(own)
             return np.fromiter((groups.find(x) == root for x in found.tolist()), bool, len(found))
 
-        for x in index.search(tokens, percent, skip).tolist():
-            groups.join(own, x)
+        found, overlap = index.overlaps(tokens, percent, skip)
+        if not every:
+            new = np.zeros(len(found), bool)
+            for k, x in enumerate(found.tolist()):
+                new[k] = groups.find(own) != groups.find(x)
+                groups.join(own, x)
+            found, overlap = found[new], overlap[new]
+        if len(found):
+            links.append((np.full(len(found), rep, np.int64), reps[found], overlap))
+            n += len(found)
+
+    def send(least: int = 1) -> Iterator[pa.RecordBatch]:
+        nonlocal n
+        if n >= least:
+            a, b, overlap = (np.concatenate(x) for x in zip(*links))
+            links.clear()
+            n = 0
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(overlap)], names=["rep_a", "rep_b", "overlap"])
 
     def close() -> Iterator[pa.RecordBatch]:
         if state is None:
@@ -277,11 +311,8 @@ def search_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[p
             build()
             for k, (rep, tokens) in enumerate(waiting):
                 ask(k, rep, tokens)
-        _, ids, _, groups, _ = state
-        roots = [groups.find(k) for k in range(len(ids))]
-        linked = [k for k, r in enumerate(roots) if r != k]
-        if linked:
-            yield pa.RecordBatch.from_arrays([pa.array([ids[k] for k in linked], pa.int64()), pa.array([ids[roots[k]] for k in linked], pa.int64())], names=["a", "b"])
+                yield from send(LINKS)
+        yield from send()
 
     for batch in batches:
         shard = list(zip(column(batch, "block").to_pylist(), column(batch, "shard").to_pylist()))
@@ -291,7 +322,7 @@ def search_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[p
         for k, (rep, asks) in enumerate(zip(column(batch, "rep").to_pylist(), column(batch, "asks").to_pylist())):
             if state is None or state[0] != shard[k]:
                 yield from close()
-                waiting, state = [], (shard[k], None, None, None, None)
+                waiting, state = [], (shard[k], None, None, None, None, None)
             own = values[edge[k]:edge[k + 1]]
             if not asks:
                 waiting.append((rep, own))
@@ -299,17 +330,40 @@ def search_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[p
             if state[1] is None:
                 build()
                 waiting = []
-            _, ids, _, groups, numbers = state
+            _, ids, _, groups, numbers, _ = state
             if rep not in numbers:
                 numbers[rep] = len(ids)
                 ids.append(rep)
                 groups.up.append(numbers[rep])
             ask(numbers[rep], rep, own)
+            yield from send(LINKS)
     yield from close()
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """doc_id, tkey (hash of the text), n_shingles and component_id for documents (doc_id, text)."""
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES, every: bool = False) -> DataFrame:
+    """doc_id, tkey (hash of the text), n_shingles and component_id for documents (doc_id, text); every: by all links, not by a forest of them."""
+    return joined(docs, size, percent, block_shingles, every)[0]
+
+
+def linked_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES) -> tuple[DataFrame, DataFrame]:
+    """As ``near_duplicates`` from all links, with n_links, the number of documents that link with each; and the links (rep_a, rep_b, overlap).
+
+    A link stands for all pairs of documents whose sets equal those of rep_a and rep_b; equal sets link as well.
+    """
+    found, sets, classes, links = joined(docs, size, percent, block_shingles, True)
+    same = ["n", "print_a", "print_b"]
+    members = sets.join(classes.select(*same, "rep"), same).select("rep", "doc_id", "tkey").distinct()
+    sizes = members.groupBy("rep").agg(F.countDistinct("doc_id").alias("members"))
+    ends = links.select("rep_a", "rep_b").distinct()
+    ends = ends.unionByName(ends.select(F.col("rep_b").alias("rep_a"), F.col("rep_a").alias("rep_b")))
+    others = ends.join(sizes.withColumnRenamed("rep", "rep_b"), "rep_b").groupBy(F.col("rep_a").alias("rep")).agg(F.sum("members").alias("others"))
+    counts = members.join(sizes, "rep").join(others, "rep", "left") \
+        .groupBy("doc_id", "tkey").agg(F.max(F.col("members") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return found.join(counts, ["doc_id", "tkey"], "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long"))), links
+
+
+def joined(docs: DataFrame, size: int, percent: int, block_shingles: int, every: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Documents with components, sets, classes of equal sets, links of classes."""
     buckets = parts(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tkey"))
     known = texts.filter("doc_id is not null")
@@ -334,14 +388,14 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     indexed = placed.select("block", F.col("own").alias("shard"), F.lit(0).alias("asks"), "n", "rep", "tokens")
     asking = placed.filter("shards > 1").select("block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(1).alias("asks"), "n", "rep", "tokens")
     work = indexed.unionByName(asking).repartition(buckets, "block", "shard").sortWithinPartitions("block", "shard", "asks", "n", "rep")
-    links = arrays(work, "a long, b long", partial(search_blocks, percent=percent))
-    groups = components(links)
+    links = written(arrays(work, LINK_DDL, partial(search_blocks, percent=percent, every=every)), "jaccard-links")
+    groups = components(links.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
 
     members = sets.join(classes.select(*same, "rep"), same).join(groups.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("doc_id", "tkey", F.coalesce("component", "rep").alias("component_id")).distinct()
     found = judged.join(members, ["doc_id", "tkey"], "left").select("doc_id", "tkey", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     lost = arrays(texts.filter("doc_id is null"), SET_DDL, partial(sets_of, size=size)).select("doc_id", "tkey", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-    return found.unionByName(lost)
+    return found.unionByName(lost), sets, classes, links
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
