@@ -12,7 +12,7 @@ WHERE = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", SQL)
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{WHERE}/{table}.parquet'")
     got, want = QUERIES[name](spark, WHERE), con.sql(SQL[name])
     assert got.columns == want.columns
@@ -20,4 +20,4 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_number_has_a_query():
-    assert [n for n in range(1, 11) if any(q.startswith(f"op{n}_") for q in QUERIES)] == list(range(1, 11))
+    assert [n for n in range(1, 14) if any(q.startswith(f"op{n}_") for q in QUERIES)] == list(range(1, 14))

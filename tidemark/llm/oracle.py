@@ -71,4 +71,30 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
 FROM texts LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
-SQL = {"op2_automaton_dedup": AUTOMATON_DEDUP, "op5_suffix_dedup": SUFFIX_DEDUP, "op7_jaccard_join": JACCARD_JOIN, "op8_decontaminate": DECONTAMINATE}
+#: Each order of the five letters with every step: the filter's bit, and the bits of the filters before it.
+FILTER_AUDIT = f"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_SPACED}) AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM texts GROUP BY t),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * (texts.doc_id > first_id)::INT AS mask, coalesce(good, false)::INT AS good, coalesce(toxic, false)::INT AS toxic
+  FROM texts JOIN firsts USING (t) LEFT JOIN marks ON marks.doc_id = texts.doc_id),
+cells AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters AS a, letters AS b, letters AS c, letters AS d, letters AS e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+steps AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[:step - 1]), 0)::INT AS before FROM orders, (SELECT unnest(range(1, 6))::INT AS step)),
+audit AS (
+  SELECT part, filter_order, step, bit, sum(n) FILTER (mask & (before | bit) = 0) AS kept, sum(n) FILTER (mask & bit <> 0 AND mask & before = 0) AS removed,
+    sum(n) FILTER (mask & bit <> 0 AND mask & before <> 0) AS redundant, sum(n) FILTER (mask = bit) AS unique_fails,
+    sum(good) FILTER (mask & bit <> 0 AND mask & before = 0) AS good_lost, sum(toxic) FILTER (mask & bit <> 0 AND mask & before = 0) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  (coalesce(sum(removed) OVER (PARTITION BY part, bit), 0))::BIGINT AS shapley
+FROM audit"""
+
+SQL = {"op2_automaton_dedup": AUTOMATON_DEDUP, "op5_suffix_dedup": SUFFIX_DEDUP, "op7_jaccard_join": JACCARD_JOIN, "op8_decontaminate": DECONTAMINATE, "op13_filter_audit": FILTER_AUDIT}

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.oracle import SQL  # noqa: F401  (SQL twins, where SQL can say it)
-from tidemark.llm import automaton_dedup, chat_repair, decontaminate, jaccard_join, license_scan, prefix_forest, source_mix, suffix_dedup, token_files, weak_quality
+from tidemark.llm import (
+    automaton_dedup, chat_repair, decontaminate, filter_audit, jaccard_join, license_scan, prefix_forest, source_mix, suffix_dedup, token_files, weak_quality,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -87,3 +89,8 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), "found")
     return found.select("doc_id", "found.*")
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
