@@ -71,7 +71,10 @@ def shingles(text, size=5):
 
 def linked(docs, percent=75):
     """(doc_id, set size, smallest doc_id reachable)."""
-    sets = [(d, shingles(t)) for d, t in docs]
+    return linked_sets([(d, shingles(t)) for d, t in docs], percent)
+
+
+def linked_sets(sets, percent):
     root = {d: d for d, _ in sets}
 
     def find(x):

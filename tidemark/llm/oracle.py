@@ -38,20 +38,29 @@ SELECT doc_id, (len(texts.h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS
   sha256(unhex(coalesce(kept.h, ''))) AS kept_sha256
 FROM texts LEFT JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)"""
 
-JACCARD_JOIN = f"""
+
+def _linked(size: int, percent: int) -> str:
+    """Sets of shingles, and for every document the smallest one that it reaches by links."""
+    return f"""
 WITH RECURSIVE texts AS ({_words('documents', 'doc_id', _lower('text'), _SPACED)}),
 shingles AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM texts)),
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {size - 1}], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {size - 1}, least(len(w), 1)) + 1)) AS i FROM texts)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
 linked AS (
-  SELECT x, y FROM pairs JOIN sizes AS p ON p.doc_id = x JOIN sizes AS q ON q.doc_id = y WHERE 100 * common >= 75 * (p.n + q.n - common)),
+  SELECT x, y FROM pairs JOIN sizes AS p ON p.doc_id = x JOIN sizes AS q ON q.doc_id = y WHERE 100 * common >= {percent} * (p.n + q.n - common)),
 edges AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
 reach AS (SELECT x AS doc_id, x AS other FROM edges UNION SELECT doc_id, y FROM reach JOIN edges ON other = x),
-lowest AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
-SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id
-FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)"""
+lowest AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id),
+grouped AS (
+  SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id
+  FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id))
+"""
+
+
+JACCARD_JOIN = _linked(5, 75) + "SELECT * FROM grouped"
+SUPER_MINHASH = _linked(3, 85) + "SELECT *, doc_id = component_id AS kept FROM grouped"
 
 DECONTAMINATE = f"""
 WITH texts AS ({_words('documents', 'doc_id', _lower('text'), _ALNUM)}),
@@ -97,4 +106,28 @@ SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(rem
   (coalesce(sum(removed) OVER (PARTITION BY part, bit), 0))::BIGINT AS shapley
 FROM audit"""
 
-SQL = {"op2_automaton_dedup": AUTOMATON_DEDUP, "op5_suffix_dedup": SUFFIX_DEDUP, "op7_jaccard_join": JACCARD_JOIN, "op8_decontaminate": DECONTAMINATE, "op13_filter_audit": FILTER_AUDIT}
+
+def _clusters(rounds: int = 10, clusters: int = 8) -> str:
+    """One step of each round after the other; rows (k, d, c) are components of centroids."""
+    steps = [f"""c0 AS MATERIALIZED (
+  SELECT k, d, v AS c FROM (SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k FROM (SELECT DISTINCT vec_id FROM parts)) JOIN parts USING (vec_id) WHERE k < {clusters})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, k, away FROM (
+    SELECT vec_id, k, away, row_number() OVER (PARTITION BY vec_id ORDER BY away, k) AS place
+    FROM (SELECT vec_id, k, sum((v - c) * (v - c)) AS away FROM parts JOIN c{r} USING (d) GROUP BY vec_id, k)) WHERE place = 1)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT k, d, coalesce((s - ((s % n) + n) % n) // n, c) AS c FROM c{r} LEFT JOIN (SELECT k, d, sum(v) AS s, count(*) AS n FROM a{r} JOIN parts USING (vec_id) GROUP BY k, d) USING (k, d))""")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, embedding AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+parts AS MATERIALIZED (SELECT vec_id, unnest(range(64)) AS d, floor(unnest(e)::DOUBLE * 1024)::BIGINT AS v FROM kept),
+{", ".join(steps)},
+prints AS (SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY k)
+SELECT vec_id, k::INT AS cluster, away::BIGINT AS distance, (sum(away) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(away) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN prints USING (k)"""
+
+
+SQL = {"op2_automaton_dedup": AUTOMATON_DEDUP, "op5_suffix_dedup": SUFFIX_DEDUP, "op7_jaccard_join": JACCARD_JOIN, "op8_decontaminate": DECONTAMINATE, "op11_super_minhash": SUPER_MINHASH, "op12_hilbert_clusters": _clusters(), "op13_filter_audit": FILTER_AUDIT}

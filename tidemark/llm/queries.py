@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.oracle import SQL  # noqa: F401  (SQL twins, where SQL can say it)
 from tidemark.llm import (
-    automaton_dedup, chat_repair, decontaminate, filter_audit, jaccard_join, license_scan, prefix_forest, source_mix, suffix_dedup, token_files, weak_quality,
+    automaton_dedup, chat_repair, decontaminate, filter_audit, hilbert_clusters, jaccard_join, license_scan, prefix_forest, source_mix, suffix_dedup,
+    super_minhash, token_files, weak_quality,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +92,16 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "found.*")
 
 
+@query
+def op11_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return super_minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("tkey")
+
+
+@query
+def op12_hilbert_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_clusters.cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector")))
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
