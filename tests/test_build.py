@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import since_lookback
 from tidemark.params import Params
 from tidemark.plans import MARTS, WarehouseBuild
-from tidemark.quality import GateError
+from tidemark.quality import GateError, stored_failures
 from tidemark.registry import RAW_TABLES
 from tidemark.sources import require_days
 from tidemark.sources.landing import folder
@@ -161,7 +161,7 @@ def test_rules_views_and_report(spark, built, tmp_path):
         ("fact_hcp_visits", "not_null_hcp_key", 1), ("fact_hcp_visits", "not_null_rep_key", 1),
         ("fact_sales_orders", "not_null_distributor_key", 1), ("fact_sales_orders", "not_null_product_key", 1),
     ]
-    assert spark.read.parquet(f"{tmp_path}/fact_sales_orders/not_null_distributor_key").first()["order_id"] == "O9"
+    assert stored_failures(spark, str(tmp_path), "fact_sales_orders", "not_null_distributor_key").first()["order_id"] == "O9"
     views = built.publish("analytics_")
     assert len(views) == 10 and spark.sql("SELECT count(*) FROM analytics_fact_returns").first()[0] == 2
     report = built.report().collect()

@@ -5,8 +5,9 @@ from conftest import rows
 
 from tidemark.quality import (
     GateError, SUITE, accepted_values, at_risk_count, between, check_limit, duplicate_keys, expired_shipments, freshness,
-    not_null, orphans, row_failures, run_suite, summarize_rows,
+    not_null, orphans, row_failures, run_suite, stored_failures, summarize_rows,
 )
+from tidemark.quality.gate import failing_keys, tagged_rows
 from tidemark.quality.suite import TableRules
 
 
@@ -64,12 +65,24 @@ def test_suite_run_stores_failing_rows(spark, facts, tmp_path):
     tables = {"facts": facts, "dim": parents}
     failed = run_suite(tables.__getitem__, ["facts"], str(tmp_path), suite)
     assert sorted(failed) == [("facts", "not_null_fk", 1), ("facts", "parent_fk", 2), ("facts", "unique_id", 1)]
-    assert rows(spark.read.parquet(f"{tmp_path}/facts/unique_id")) == [(2, 2)]
-    assert spark.read.parquet(f"{tmp_path}/facts/not_null_fk").count() == 1
-    assert spark.read.parquet(f"{tmp_path}/facts/between_x").count() == 0
+    kept = lambda rule: stored_failures(spark, str(tmp_path), "facts", rule)
+    assert rows(kept("unique_id")) == [("id", "2", 2)] and rows(kept("parent_fk")) == [("fk", "z", 2)]
+    assert rows(kept("not_null_fk")) == [(2, None, None)]
+    assert kept("between_x").count() == 0
     tables["facts"] = facts.filter("fk is not null")  # mended: the old rows are gone
     run_suite(tables.__getitem__, ["facts"], str(tmp_path), suite)
-    assert spark.read.parquet(f"{tmp_path}/facts/not_null_fk").count() == 0
+    assert kept("not_null_fk").count() == 0 and kept("parent_fk").count() == 1
+
+
+def test_row_rules_are_tagged_and_keys_are_counted_in_one_scan_each(spark, facts):
+    parents = spark.createDataFrame([("a",)], "fk string")
+    rules = TableRules((not_null("fk"), between("x", 0, 10), not_null("id")), ("id", "fk"), (("fk", "dim"),))
+    tagged = tagged_rows(facts, rules)
+    assert rows(tagged.select("_part", "x"), "_part", "x") == [("between_x", 11.0), ("not_null_fk", None), ("not_null_id", 10.0), ("not_null_id", 11.0)]
+    assert tagged._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    keys = failing_keys(facts, rules, {"dim": parents}.__getitem__)
+    assert rows(keys, "_part", "value") == [("parent_fk", "fk", "b", 1), ("parent_fk", "fk", "z", 2), ("unique_fk", "fk", "z", 2), ("unique_id", "id", "2", 2)]
+    assert keys._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD[id") == 1
 
 
 def test_the_gate(spark):

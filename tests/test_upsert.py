@@ -24,11 +24,9 @@ def fact(spark, tmp_path):
     return table
 
 
-def files(table):
-    return {
-        os.path.join(root, f): os.stat(os.path.join(root, f)).st_mtime_ns
-        for root, _, names in os.walk(table.path) for f in names if f.endswith(".parquet")
-    }
+def months(table):
+    """The commit that each month lies in."""
+    return {name: part.commit for name, part in table.snapshots.manifest().parts.items()}
 
 
 def test_merge_rows_leaves_null_keys_alone(spark):
@@ -46,7 +44,7 @@ def test_lookback_takes_the_edge_day_and_not_the_one_before(spark, fact):
 
 
 def test_upsert_changes_inserts_and_leaves_other_months_untouched(spark, fact):
-    before = files(fact)
+    before = months(fact)
     batch = spark.createDataFrame([(4, d("2026-06-30"), "new"), (6, d("2026-07-01"), "new")], DDL)
     fact.upsert(batch)
     expected = [
@@ -54,8 +52,9 @@ def test_upsert_changes_inserts_and_leaves_other_months_untouched(spark, fact):
         (5, None, "undated"), (6, d("2026-07-01"), "new"),
     ]
     assert rows(fact.read(), "id") == expected
-    kept = {f: t for f, t in before.items() if "202604" in f or "202605" in f or "none" in f}
-    assert len(kept) == 3 and kept.items() <= files(fact).items()
+    kept = {m: c for m, c in before.items() if m != "m202606"}
+    assert kept.keys() == {"m202604", "m202605", "none"} and kept.items() <= months(fact).items()
+    assert months(fact)["m202606"] != before["m202606"]
     fact.upsert(batch)  # a second run changes nothing
     assert rows(fact.read(), "id") == expected
 
@@ -66,7 +65,7 @@ def test_a_key_that_moves_to_another_month_leaves_the_old_one(spark, fact):
         (1, d("2026-04-10"), "old"), (2, d("2026-06-02"), "moved"), (3, d("2026-06-23"), "old"), (4, d("2026-06-30"), "old"),
         (5, d("2026-06-03"), "dated"),
     ]
-    assert not any("202605" in f or "none" in f for f in files(fact))  # emptied months are gone
+    assert months(fact).keys() == {"m202604", "m202606"}  # emptied months are gone
 
 
 def test_an_empty_batch_and_a_replay_change_nothing(spark, fact):
@@ -75,7 +74,7 @@ def test_an_empty_batch_and_a_replay_change_nothing(spark, fact):
     assert rows(fact.read(), "id") == expected
     fact.upsert(spark.createDataFrame([(1, d("2026-04-11"), "new")], DDL))
     expected = rows(fact.read(), "id")
-    fact.replay_staged()
+    fact.upsert(spark.createDataFrame([(1, d("2026-04-11"), "new")], DDL))
     assert rows(fact.read(), "id") == expected
 
 
@@ -91,62 +90,26 @@ def test_full_refresh_drops_what_is_not_in_the_source(spark, fact):
     assert rows(fact.read()) == [(9, d("2026-01-01"), "x")]
 
 
-def test_newest_date_reads_one_month(spark, fact):
-    stored = fact._stored().filter("_month = 'm202606'")
-    assert "PartitionFilters: [isnotnull(_month" in stored._jdf.queryExecution().executedPlan().toString()
-
-
-class Died(Exception):
-    pass
-
-
-def dying(table, moves):
-    """The table's process dies after so many folder moves."""
-    done = table._move
-
-    def move(path, to):
-        if moves[0] == 0:
-            raise Died
-        moves[0] -= 1
-        done(path, to)
-
-    table._move = move
-    return table
-
-
-@pytest.mark.parametrize("moves", [0, 1, 2])
-def test_an_upsert_that_dies_while_switching_is_finished(spark, fact, moves):
-    again = IncrementalTable(spark, fact.path, ["id"], "day")
-    batch = spark.createDataFrame([(2, d("2026-06-02"), "moved"), (1, d("2026-04-11"), "new"), (6, d("2026-07-01"), "new")], DDL)
-    with pytest.raises(Died):
-        dying(fact, [moves]).upsert(batch)
-    again.recover()
-    assert rows(again.read(), "id") == [
-        (1, d("2026-04-11"), "new"), (2, d("2026-06-02"), "moved"), (3, d("2026-06-23"), "old"), (4, d("2026-06-30"), "old"),
-        (5, None, "undated"), (6, d("2026-07-01"), "new"),
-    ]
-    assert not any("202605" in f for f in files(again))
-    again.recover()
-    assert again.read().count() == 6
+def test_newest_date_reads_no_rows(spark, fact):
+    for name in os.listdir(f"{fact.path}/data"):
+        os.rename(f"{fact.path}/data/{name}", f"{fact.path}/{name}")  # the manifest is all there is
+    assert fact.newest_date() == d("2026-06-30")
+    fact.rebuild(spark.createDataFrame([(1, None, "undated")], DDL))
+    assert fact.newest_date() is None
 
 
-def test_an_upsert_that_dies_before_it_is_decided_changes_nothing(spark, fact):
-    expected = rows(fact.read(), "id")
-    again = IncrementalTable(spark, fact.path, ["id"], "day")
-    fact.recover = lambda: None
-    fact._write(fact._with_month(spark.createDataFrame([(1, d("2026-04-11"), "new")], DDL)), fact.staged)
-    again.recover()
-    assert rows(again.read(), "id") == expected
+def test_reads_since_a_day_name_no_earlier_month(fact):
+    plan = fact.read(d("2026-06-01"))
+    assert rows(plan.select("id"), "id") == [(3,), (4,), (5,)]
+    assert not any("m202604" in f or "m202605" in f for f in plan.inputFiles())
 
 
-def test_a_full_refresh_that_dies_is_finished_and_stays(spark, fact):
-    again = IncrementalTable(spark, fact.path, ["id"], "day")
-    fact.upsert(spark.createDataFrame([(1, d("2026-04-11"), "new")], DDL))
-    with pytest.raises(Died):
-        dying(fact, [0]).rebuild(spark.createDataFrame([(9, d("2026-01-01"), "x")], DDL))
-    assert again.newest_date() == d("2026-01-01")
-    again.recover()
-    assert rows(again.read()) == [(9, d("2026-01-01"), "x")]
+def test_the_key_probe_opens_only_months_that_may_hold_a_key(fact):
+    asked = []
+    read = fact.snapshots.read
+    fact.snapshots.read = lambda manifest=None, names=None, named=False: asked.append(set(names)) or read(manifest, names, named)
+    fact.upsert(fact.spark.createDataFrame([(4, d("2026-06-29"), "moved"), (3, d("2026-06-23"), "new")], DDL))
+    assert asked == [{"m202606"}, {"m202606"}]
 
 
 def test_a_table_may_be_rebuilt_from_itself(spark, fact):
@@ -156,7 +119,7 @@ def test_a_table_may_be_rebuilt_from_itself(spark, fact):
 
 def test_stored_keys_are_filtered_before_they_are_shuffled(spark, fact):
     batch = spark.createDataFrame([(4, d("2026-06-30"), "new")], DDL)
-    near = may_match(fact._stored(), batch, ["id"])
+    near = may_match(fact.read(), batch, ["id"])
     assert [r.id for r in near.collect()] == [4]
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "getbit" in plan and "SortMergeJoin" not in plan

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.neighbors import with_next, with_previous
 
@@ -41,12 +41,17 @@ def close_missing(
 ) -> DataFrame:
     """Close the open version of every key that the latest full extract no longer holds."""
     present = current_extract.select(key).distinct().withColumn("_present", F.lit(True))
-    gone = F.col("valid_to").isNull() & F.col("_present").isNull()
-    return (
-        history.join(present, key, "left")
-        .withColumn("valid_to", F.when(gone, _ntz(closed_at)).otherwise(F.col("valid_to")))
-        .drop("_present")
-    )
+    return _closed(history.join(present, key, "left"), F.col("_present").isNull(), closed_at).drop("_present")
+
+
+def close_keys(history: DataFrame, gone: DataFrame, key: str, closed_at: dt.datetime) -> DataFrame:
+    """Close the open versions of the keys in ``gone``."""
+    marked = gone.select(key).distinct().withColumn("_gone", F.lit(True))
+    return _closed(history.join(marked, key, "left"), F.col("_gone").isNotNull(), closed_at).drop("_gone")
+
+
+def _closed(history: DataFrame, gone: Column, closed_at: dt.datetime) -> DataFrame:
+    return history.withColumn("valid_to", F.when(F.col("valid_to").isNull() & gone, _ntz(closed_at)).otherwise(F.col("valid_to")))
 
 
 def apply_revisions(
@@ -86,13 +91,16 @@ def apply_revisions(
 
 def history_changes(
     history: DataFrame, batch: DataFrame, key: str, updated_at: str, run_ts: dt.datetime,
-    extract: DataFrame | None = None,
+    extract: DataFrame | None = None, gone: DataFrame | None = None,
 ) -> DataFrame:
-    """The versions that new revisions, and keys missing from ``extract``, add to or change in a history.
+    """The versions that new revisions, and deleted keys, add to or change in a history: keys missing from ``extract``, or those in ``gone``.
 
     Upserted by (key, valid_from) they bring the history up to date; all other versions stay untouched.
     """
     rows = apply_revisions(history, batch, key, updated_at, run_ts, touched_only=True)
+    if gone is not None:
+        still_open = history.filter(F.col("valid_to").isNull()).join(gone.select(key), key, "left_semi").join(batch.select(key).distinct(), key, "left_anti")
+        rows = close_keys(rows.unionByName(still_open.select(rows.columns)), gone, key, run_ts)
     if extract is not None:
         still_open = history.filter(F.col("valid_to").isNull()).join(batch.select(key).distinct(), key, "left_anti")
         rows = close_missing(rows.unionByName(still_open.select(rows.columns)), extract, key, run_ts)

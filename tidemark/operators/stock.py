@@ -21,8 +21,13 @@ def lot_expiry(
 ) -> DataFrame:
     """One row per lot, its expiry taken from the newest snapshot (ties: the later expiry)."""
     newest = F.max(F.struct(snapshot_day, expiry))
-    today = F.lit(as_of)
     lots = snapshots.groupBy(*keys).agg(newest.alias("_n")).select(*keys, F.col(f"_n.{expiry}").alias(expiry))
+    return expiry_flags(lots, expiry, as_of, near_days)
+
+
+def expiry_flags(lots: DataFrame, expiry: str, as_of: dt.date, near_days: int) -> DataFrame:
+    """Days left, and whether a lot is near its expiry or past it."""
+    today = F.lit(as_of)
     left = F.datediff(F.col(expiry), today)
     return lots.select(
         "*",

@@ -22,13 +22,16 @@ def _join_back(rows: DataFrame, per_day: DataFrame, keys: Sequence[str], day: st
 
 def activity_by_day(
     rows: DataFrame, keys: Sequence[str], day: str, days: int, *, count: str, sums: Mapping[str, str],
-    gap: str, order_in_day: Sequence[str],
+    gap: str, order_in_day: Sequence[str], earlier: tuple[DataFrame, str] | None = None,
 ) -> DataFrame:
     """Add the trailing row count, trailing sums and the days since the key's previous row.
 
     The frame is the last ``days`` days up to and including the row's own day, all rows of that
     day counted. ``gap`` is null on the first row of a key; rows after the first of a day,
     in ``order_in_day``, have gap 0.
+
+    Where ``rows`` are not all rows of their keys but whole months of them, ``earlier`` gives, by keys and month (its first day, in a column
+    of the same name as ``day``), the last day of each key before the month, in the column named: the gap of a month's first day is measured from that.
     """
     totals = rows.groupBy(*keys, day).agg(
         F.count("*").alias("_n"),
@@ -37,12 +40,21 @@ def activity_by_day(
     )
     timeline = Window.partitionBy(*keys).orderBy(F.unix_date(day))
     frame = timeline.rangeBetween(-days, 0)
+    previous = F.lag(day).over(timeline)
+    if earlier is not None:
+        before, column = earlier
+        known = before.select(*[F.col(k).alias(f"_at_{k}") for k in keys], F.col(day).alias("_at_month"), F.col(column).alias("_earlier"))
+        same = F.trunc(day, "month") == F.col("_at_month")
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_at_{k}"))
+        totals = totals.join(known, same, "left").drop("_at_month", *[f"_at_{k}" for k in keys])
+        previous = F.when(F.trunc(previous, "month") == F.trunc(day, "month"), previous).otherwise(F.col("_earlier"))
     per_day = totals.select(
         *[F.col(c).alias(f"_on_{c}") for c in (*keys, day)],
         "_first",
         F.sum("_n").over(frame).alias(count),
         *[F.sum(f"_s_{out}").over(frame).alias(out) for out in sums],
-        F.datediff(F.col(day), F.lag(day).over(timeline)).alias("_gap"),
+        F.datediff(F.col(day), previous).alias("_gap"),
     )
     opens_day = F.struct(*order_in_day).eqNullSafe(F.col("_first"))
     return (

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.sources.snapshots import PART, Snapshots
+
 
 def merge_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows replace target rows of the same key; other target rows stay. Null keys never match."""
@@ -41,120 +43,70 @@ def may_match(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataF
 
 
 class IncrementalTable:
-    """A Parquet table partitioned by month of ``date_column`` and kept up to date by key.
-
-    An upsert rewrites only the months it touches: those of the batch, plus those that now hold
-    a batch key under another date. The batch is written to ``<path>__batch`` first, so that it is
-    computed once. The new content of the months is written to ``<path>__staged``, then the list of touched
-    months to ``<path>__switch``; from then on the upsert is decided, and folders are moved into place.
-    A full refresh is written to ``<path>__next`` and then takes the table's place. Whatever was decided when a job
-    died is finished by :meth:`recover`, which every write starts with; what was not is left alone.
-    """
+    """A table kept up to date by key, in parts by month of ``date_column``.
 
-    MONTH = "_month"
+    An upsert writes anew only the months it touches: those of the batch, plus those that now hold a batch key under another
+    date. To find the latter, it reads key columns only, and only of months whose key ranges (kept in the manifest) meet those of the batch. The
+    new months lie beside the old ones until the manifest that names them is published, in one step; see :class:`Snapshots`.
+    Readers see the table before or after an upsert or full refresh, and a job that dies leaves it as it was.
+    """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], date_column: str):
         self.spark = spark
         self.path = path
         self.keys = list(keys)
         self.date_column = date_column
-        base = path.rstrip("/")
-        self.staged, self.batch, self.record, self.next = (f"{base}__{x}" for x in ("staged", "batch", "switch", "next"))
-
-    def _fs(self):
-        return self._at(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _at(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _done(self, path: str) -> bool:
-        return self._fs().exists(self._at(f"{path}/_SUCCESS"))
-
-    def _drop(self, path: str) -> None:
-        self._fs().delete(self._at(path), True)
-
-    def _move(self, path: str, to: str) -> None:
-        self._drop(to)
-        if not self._fs().rename(self._at(path), self._at(to)):
-            raise OSError(f"cannot move {path} to {to}")
+        self.snapshots = Snapshots(spark, path, list(dict.fromkeys([date_column, *keys])))
 
     def exists(self) -> bool:
-        return self._done(self.path) or self._done(self.next)
-
-    def _stored(self) -> DataFrame:
-        return self.spark.read.parquet(self.path if self._done(self.path) else self.next)
+        return self.snapshots.exists()
 
     def read(self, since: dt.date | None = None) -> DataFrame:
-        """All rows, or the months from that of ``since`` on (folders of earlier months are not read)."""
-        stored = self._stored()
-        if since is not None:
-            stored = stored.filter(F.col(self.MONTH) >= f"m{since:%Y%m}")
-        return stored.drop(self.MONTH)
+        """All rows, or the months from that of ``since`` on (folders of earlier months are not even listed)."""
+        manifest = self.snapshots.manifest()
+        if since is None or manifest is None:
+            return self.snapshots.read(manifest)
+        return self.snapshots.read(manifest, [m for m in manifest.parts if m >= f"m{since.year:04}{since.month:02}"])
 
     def _with_month(self, rows: DataFrame) -> DataFrame:
         # A letter in front keeps folder names text when they are read back.
         month = F.coalesce(F.date_format(self.date_column, "'m'yyyyMM"), F.lit("none"))
-        return rows.withColumn(self.MONTH, month)
+        return rows.withColumn(PART, month)
+
+    def _spread(self, rows: DataFrame) -> DataFrame:
+        """Few files for a small month, and a month that is too big for one task is split by adaptive execution."""
+        return rows.hint("rebalance", F.col(PART))
 
     def newest_date(self) -> dt.date | None:
-        """Largest date stored. The month is known from the folders, so one month is read."""
-        if not self.exists():
-            return None
-        self.recover()
-        stored = self._stored()
-        month = stored.filter(F.col(self.MONTH) != "none").agg(F.max(self.MONTH)).first()[0]
-        if month is None:
-            return None
-        return stored.filter(F.col(self.MONTH) == month).agg(F.max(self.date_column)).first()[0]
-
-    def _write(self, rows: DataFrame, path: str) -> None:
-        """Rebalanced by month: few files for a small month, and a month that is too big for one
-        task is split by adaptive execution."""
-        spread = rows.hint("rebalance", F.col(self.MONTH))
-        spread.write.mode("overwrite").partitionBy(self.MONTH).parquet(path)
-
-    def rebuild(self, rows: DataFrame) -> None:
+        """Largest date stored, from the manifest: no rows are read."""
+        manifest = self.snapshots.manifest()
+        return manifest and manifest.largest(self.date_column)
+
+    def rebuild(self, rows: DataFrame, notes: Mapping[str, int] | None = None) -> None:
         """Full refresh, and the first run. ``rows`` may be read from the table itself."""
-        self._drop(self.next)
-        self._write(self._with_month(rows), self.next)
-        self.recover()
-
-    def upsert(self, batch: DataFrame) -> None:
-        self.recover()
-        if not self.exists():
-            self.rebuild(batch)
-            return
-        dated = self._with_month(batch)
-        self._write(dated, self.batch)
-        batch = self.spark.read.schema(dated.schema).parquet(self.batch)
-        if batch.isEmpty():
+        self.snapshots.replace_parts(self._spread(self._with_month(rows)), notes)
+
+    def upsert(self, batch: DataFrame, notes: Mapping[str, int] | None = None) -> None:
+        """Rows of the batch replace those of the same key. ``notes``: what the table has taken in with it, see :class:`Manifest`."""
+        before = self.snapshots.manifest()
+        if before is None:
+            self.rebuild(batch, notes)
             return
-        stored = self._stored()
+        batch = self.snapshots.aside(self._with_month(batch))
         # Months are few (one value per calendar month), so these lists may come to the driver.
-        holding = may_match(stored.select(*self.keys, self.MONTH), batch, self.keys).join(batch.select(*self.keys), self.keys, "left_semi")
-        months = [r[0] for r in batch.select(self.MONTH).unionByName(holding.select(self.MONTH)).distinct().collect()]
-        touched = stored.filter(F.col(self.MONTH).isin(months))
-        self._write(merge_rows(touched, batch, self.keys), self.staged)
-        held = {r[0] for r in self.spark.read.schema(dated.schema).parquet(self.staged).select(self.MONTH).distinct().collect()}
-        self.spark.createDataFrame([(m, m in held) for m in months], "month string, held boolean").coalesce(1) \
-            .write.mode("overwrite").parquet(self.record)
-        self.recover()
-
-    def recover(self) -> None:
-        """Finish what was decided when a job died; harmless when nothing was."""
-        if self._done(self.next):
-            self._drop(self.record)  # an upsert of the table before
-            self._move(self.next, self.path)
-        elif self._done(self.record):
-            for month, held in self.spark.read.parquet(self.record).collect():
-                staged, own = (f"{p}/{self.MONTH}={month}" for p in (self.staged, self.path))
-                if not held:  # it lost its last row to another month
-                    self._drop(own)
-                elif self._fs().exists(self._at(staged)):  # else it was moved already
-                    self._move(staged, own)
-        self._drop(self.record)
-        self._drop(self.staged)
-        self._drop(self.batch)
-        self.spark.catalog.refreshByPath(self.path)
-
-    replay_staged = recover
+        ranges = batch.agg(*[f(k).alias(f"{f.__name__}_{k}") for k in self.keys for f in (F.min, F.max)]).first().asDict()
+        months = {r[0] for r in batch.select(PART).distinct().collect()}
+        if months:
+            reach = before.meeting({k: (ranges[f"min_{k}"], ranges[f"max_{k}"]) for k in self.keys})
+            stored = self.snapshots.read(before, reach, named=True).select(*self.keys, PART)
+            within = [F.col(k).between(ranges[f"min_{k}"], ranges[f"max_{k}"]) for k in self.keys if None not in (ranges[f"min_{k}"], ranges[f"max_{k}"])]
+            for condition in within:  # literals: they skip row groups of the scan
+                stored = stored.filter(condition)
+            holding = may_match(stored, batch, self.keys).join(batch.select(*self.keys), self.keys, "left_semi")
+            months |= {r[0] for r in holding.select(PART).distinct().collect()}
+            touched = self.snapshots.read(before, months, named=True)
+            self.snapshots.change_parts(self._spread(merge_rows(touched, batch, self.keys)), months, before, notes)
+        else:
+            self.snapshots.clean()
+            if notes is not None:
+                self.snapshots.note(notes)

@@ -27,6 +27,9 @@ class Params:
     visits_lookback_days: int = 7
     inventory_lookback_days: int = 3
     returns_lookback_days: int = 7
+    # False: visits older than the lookback wait for a full refresh.
+    # True: a changed visit, of any age, brings all rows up to date whose score or gap depends on it.
+    late_visits: bool = False
     # "timestamp": a DATE event counts as midnight of its day.
     # "day": a version holds from the first moment of the day it starts.
     asof_granularity: str = "timestamp"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators import asof_join, attach, attach_small
+from tidemark.operators import Lookup, asof_join, asof_join_all, attach, attach_small
 from tidemark.params import Params
 from tidemark.registry import SEEDS
 
@@ -43,12 +43,16 @@ def fact_sales_orders(
 
 def fact_hcp_visits(
     visits: DataFrame, dates: DataFrame, hcps: DataFrame, reps: DataFrame, products: DataFrame, params: Params,
+    staged: DataFrame | None = None,
 ) -> DataFrame:
+    """``staged``: staged visits that hold at least those of ``visits``, whose keys can be had for less."""
     rows = _day_key(visits, dates, "visit_date", "visit_date_key")
-    rows = _version(rows, hcps, "hcp_id", "hcp_id", "visit_date", "hcp_key", "hcp_key", params)
-    rows = _version(rows, reps, "rep_id", "rep_id", "visit_date", "rep_key", "rep_key", params)
-    rows = _version(
-        rows, products, "sample_product_id", "product_id", "visit_date", "sample_product_key", "product_key", params,
+    rows = asof_join_all(
+        rows, ["visit_id"], "visit_date", [
+            Lookup(hcps, "hcp_id", "hcp_id", {"hcp_key": "hcp_key"}),
+            Lookup(reps, "rep_id", "rep_id", {"rep_key": "rep_key"}),
+            Lookup(products, "sample_product_id", "product_id", {"sample_product_key": "product_key"}),
+        ], granularity=params.asof_granularity, first_open=params.asof_first_open, asking=staged,
     )
     return rows.select(
         "visit_id", "visit_date", "visit_date_key", "hcp_key", "hcp_id", "rep_key", "rep_id", "sample_product_key",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators import activity_by_day, days_on_hand, lot_expiry, trailing_average
+from tidemark.operators import activity_by_day, days_on_hand, expiry_flags, lot_expiry, trailing_average
 from tidemark.params import Params
 
 
@@ -67,7 +67,8 @@ def score(visits: Column, samples: Column, gap: Column, ceiling: int = FREQUENCY
     return F.least(F.lit(100), F.round(total, 1)).cast("decimal(5,1)")
 
 
-def engagement_score(visits: DataFrame, params: Params) -> DataFrame:
+def engagement_score(visits: DataFrame, params: Params, earlier: tuple[DataFrame, str] | None = None) -> DataFrame:
+    """The score of every visit; ``earlier`` as for :func:`activity_by_day`, where visits are whole months only."""
     active = activity_by_day(
         visits.select(
             "visit_id", "hcp_id", "rep_id", "visit_date", "visit_type", "duration_minutes", "samples_dropped_qty",
@@ -75,7 +76,7 @@ def engagement_score(visits: DataFrame, params: Params) -> DataFrame:
         ),
         ["hcp_id"], "visit_date", params.engagement_days,
         count="visits_trailing_window", sums={"samples_trailing_window": "samples_dropped_qty"},
-        gap="days_since_prior_visit", order_in_day=["created_at", "visit_id"],
+        gap="days_since_prior_visit", order_in_day=["created_at", "visit_id"], earlier=earlier,
     )
     points = score(F.col("visits_trailing_window"), F.col("samples_trailing_window"), F.col("days_since_prior_visit"))
     return active.withColumn("engagement_score", points).drop("created_at")
@@ -98,3 +99,8 @@ def batch_expiry(inventory: DataFrame, params: Params) -> DataFrame:
         inventory, ["product_id", "batch_id"], "snapshot_date", "lot_expiry_date", params.as_of_date,
         params.near_expiry_days,
     )
+
+
+def batch_expiry_of(lots: DataFrame, params: Params) -> DataFrame:
+    """As :func:`batch_expiry`, from one row per lot."""
+    return expiry_flags(lots.select("product_id", "batch_id", "lot_expiry_date"), "lot_expiry_date", params.as_of_date, params.near_expiry_days)

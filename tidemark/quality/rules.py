@@ -87,18 +87,23 @@ def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, parent_key: s
     return values.join(keys, F.col(foreign_key) == F.col("_parent"), "left_anti")
 
 
-def freshness(
-    df: DataFrame, source: str, loaded_at: str, run_ts: dt.datetime, warn_hours: int, error_hours: int,
-) -> DataFrame:
-    """One row per source: newest load, its age, and pass / warn / error (no rows at all: error)."""
+def freshness_of(newest: DataFrame, run_ts: dt.datetime, warn_hours: int, error_hours: int) -> DataFrame:
+    """For rows (source, max_loaded_at): the age of the newest load, and pass / warn / error (no load at all: error)."""
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
-    newest = df.agg(F.max(loaded_at).alias("max_loaded_at"))
     age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), now) / F.lit(3600.0)
     status = (
         F.when(F.col("max_loaded_at").isNull() | (age > error_hours), "error")
         .when(age > warn_hours, "warn").otherwise("pass")
     )
-    return newest.select(F.lit(source).alias("source"), "max_loaded_at", age.alias("age_hours"), status.alias("status"))
+    return newest.select("source", "max_loaded_at", age.alias("age_hours"), status.alias("status"))
+
+
+def freshness(
+    df: DataFrame, source: str, loaded_at: str, run_ts: dt.datetime, warn_hours: int, error_hours: int,
+) -> DataFrame:
+    """One row per source: newest load, its age, and pass / warn / error (no rows at all: error)."""
+    newest = df.agg(F.max(loaded_at).alias("max_loaded_at")).select(F.lit(source).alias("source"), "max_loaded_at")
+    return freshness_of(newest, run_ts, warn_hours, error_hours)
 
 
 def source_freshness(

@@ -18,6 +18,7 @@ class RawTable:
     ddl: str
     key: tuple[str, ...]
     event_date: str | None = None
+    full: bool = False  # every landing day holds all keys there are, so a key that is absent was deleted
 
     @property
     def schema(self) -> T.StructType:
@@ -39,20 +40,20 @@ _FEEDS = [
         "product_id string, ndc_code string, product_name string, therapeutic_category string, "
         "formulation string, list_price decimal(12,2), price_tier string, is_active boolean, "
         "source_updated_at timestamp_ntz",
-        ("product_id",),
+        ("product_id",), full=True,
     ),
     RawTable(
         "mdm", "hcp",
         "hcp_id string, npi_number string, first_name string, last_name string, specialty string, "
         "hcp_tier string, territory_id string, city string, state string, zip_code string, "
         "source_updated_at timestamp_ntz",
-        ("hcp_id",),
+        ("hcp_id",), full=True,
     ),
     RawTable(
         "mdm", "sales_rep",
         "rep_id string, first_name string, last_name string, hire_date date, territory_id string, "
         "manager_rep_id string, region string, source_updated_at timestamp_ntz",
-        ("rep_id",),
+        ("rep_id",), full=True,
     ),
     RawTable(
         "crm", "hcp_visit",

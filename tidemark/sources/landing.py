@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.registry import LOAD_COLUMNS, RawTable
+from tidemark.session import shared_dir
 
 NULL_TOKENS = ("", "NULL", "null")  # fixed values of the file format
 CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "quote": '"', "escape": '"', "enforceSchema": "true"}
-MAX_BROADCAST_SPLITS = 200_000
 
 
 def folder(base: str, table: RawTable) -> str:
@@ -44,59 +43,42 @@ def quarantine(rows: DataFrame, table: RawTable) -> tuple[DataFrame, DataFrame]:
     return typed(rows.filter(~bad), table), rows.filter(bad)
 
 
-def with_position(scan: DataFrame, small_blocks: bool = False) -> DataFrame:
-    """Add file name and row number in the file to a file scan, counted without shuffling rows.
+def located(scan: DataFrame) -> DataFrame:
+    """Adds the file and where its block starts to a file scan."""
+    return scan.select("*", F.col("_metadata.file_path").alias("_source_file"), F.col("_metadata.file_block_start").alias("_block"))
 
-    Rows of one file block sit next to each other in one task, so their distance to the block's
-    first row id gives their place in it. Counts of the blocks before it give the rest; that table
-    has one row per block.
-    """
-    placed = scan.select(
-        "*", F.col("_metadata.file_path").alias("_source_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
-    return number_rows(placed, small_blocks)
 
+def placed(rows: DataFrame) -> DataFrame:
+    """Adds a number that rises within a block: rows of one block sit next to each other in one task."""
+    return rows.withColumn("_row", F.monotonically_increasing_id())
 
-def number_rows(placed: DataFrame, small_blocks: bool = False) -> DataFrame:
-    """``placed`` carries ``_source_file`` and ``_block``; see :func:`with_position`.
 
-    ``small_blocks`` says that the block table was proven small (:func:`few_blocks`); it is then broadcast.
-    """
-    numbered = placed.withColumn("_id", F.monotonically_increasing_id())
-    blocks = numbered.groupBy("_source_file", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+def blocks_of(stored: DataFrame, *keep: Column) -> DataFrame:
+    """(_source_file, _block, _first, _n, _before) of rows that were stored with their places: one row for each file block, with its first ``_row``, its
+    rows and the rows of the blocks before it. Reads three columns of the stored rows, not the landing text."""
     before = Window.partitionBy("_source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(
-        F.col("_source_file").alias("_f"), F.col("_block").alias("_b"), "_first",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-    )
-    if small_blocks:
-        blocks = F.broadcast(blocks)
-    same = (F.col("_source_file") == F.col("_f")) & (F.col("_block") == F.col("_b"))
-    row_number = F.col("_id") - F.col("_first") + F.col("_before") + 1
-    return (
-        numbered.join(blocks, same).withColumn("_source_file_row_number", row_number)
-        .drop("_id", "_block", "_f", "_b", "_first", "_before")
-    )
+    blocks = stored.groupBy("_source_file", "_block").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"), *keep)
+    return blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
 
 
-def _listed(spark: SparkSession, path: str) -> DataFrame | None:
-    """The files under a landing folder, by listing only: file contents are not read."""
-    try:
-        return spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select(
-            "path", "length", F.col("dt").cast("string").alias("dt"),
-        )
-    except AnalysisException:  # no such folder, or nothing in it yet
-        return None
+def numbered(stored: DataFrame, blocks: DataFrame, *on: str) -> DataFrame:
+    """Stored rows with ``_source_file_row_number``: their place in the block, after the rows of the blocks before it."""
+    row_number = F.col("_row") - F.col("_first") + F.col("_before") + 1
+    known = blocks.select(*on, "_source_file", "_block", "_first", "_before")
+    return (
+        stored.join(known, [*on, "_source_file", "_block"]).withColumn("_source_file_row_number", row_number)
+        .drop("_block", "_row", "_first", "_before")
+    )
 
 
-def few_blocks(spark: SparkSession, path: str, block_bytes: int = 1 << 20) -> bool:
-    """Whether the file blocks of a folder are few enough to broadcast one row for each."""
-    files = _listed(spark, path)
-    if files is None:
-        return True
-    blocks = files.agg(F.sum(F.floor(F.col("length") / block_bytes) + 1)).first()[0] or 0
-    return blocks <= MAX_BROADCAST_SPLITS
+def scan_days(
+    spark: SparkSession, base: str, table: RawTable, start: str, end: str | None = None, multiline: bool = False,
+) -> DataFrame:
+    """Text rows of one day, or of the days ``start``..``end``. The day filter prunes partitions: other folders are not read."""
+    return (
+        spark.read.options(**CSV_OPTIONS).option("multiLine", multiline).schema(text_ddl(table)).csv(folder(base, table))
+        .filter(F.col("dt").between(start, end or start))
+    )
 
 
 def read_days(
@@ -104,37 +86,44 @@ def read_days(
 ) -> DataFrame:
     """Typed rows of one day, or of the days ``start``..``end``, with the load columns.
 
-    The day filter prunes partitions: other folders are not read.
+    The text is read once: typed rows are kept in the shared folder until the session ends, and numbered from there.
     """
-    path = folder(base, table)
-    scan = (
-        spark.read.options(**CSV_OPTIONS).option("multiLine", multiline).schema(text_ddl(table)).csv(path)
-        .filter(F.col("dt").between(start, end or start))
-    )
-    rows = typed(with_position(scan, few_blocks(spark, path)), table)
-    return rows.withColumn("_loaded_at", F.current_timestamp().cast("timestamp_ntz")).select(
-        *table.columns, *LOAD_COLUMNS, "dt"
-    )
-
-
-def landed_days(spark: SparkSession, base: str, tables: Iterable[RawTable]) -> DataFrame:
-    """(table, dt) pairs that have at least one file."""
-    found = spark.createDataFrame([], "table_name string, dt string")
+    rows = typed(placed(located(scan_days(spark, base, table, start, end, multiline))), table)
+    rows = rows.withColumn("_loaded_at", F.current_timestamp().cast("timestamp_ntz"))
+    path = shared_dir(spark, "days")
+    rows.write.parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return numbered(stored, blocks_of(stored)).select(*table.columns, *LOAD_COLUMNS, "dt")
+
+
+def _files(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file matches. A folder that cannot be read is an error, not an empty one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
+
+
+def landed_days(spark: SparkSession, base: str, tables: Iterable[RawTable], days: Sequence[str] | None = None) -> DataFrame:
+    """(table, dt) pairs that have at least one file. Of given ``days``, only their folders are listed; else all there are."""
+    tables = list(tables)
+    if days is not None:
+        found = [(t.full_name, d) for t in tables for d in days if _files(spark, f"{folder(base, t)}/dt={d}/*.csv")]
+        return spark.createDataFrame(found, "table_name string, dt string")
+    landed = spark.createDataFrame([], "table_name string, dt string")
     for table in tables:
-        files = _listed(spark, folder(base, table))
-        if files is not None:
-            found = found.unionByName(files.select(F.lit(table.full_name).alias("table_name"), "dt").distinct())
-    return found
+        if _files(spark, f"{folder(base, table)}/dt=*"):
+            files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder(base, table))
+            if "dt" in files.columns:  # else the folders hold no file
+                landed = landed.unionByName(files.select(F.lit(table.full_name).alias("table_name"), F.col("dt").cast("string")).distinct())
+    return landed
 
 
 def missing_days(
     spark: SparkSession, base: str, tables: Sequence[RawTable], days: Sequence[str], optional: Sequence[str] = (),
 ) -> DataFrame:
     """Expected (table, dt) pairs without a file. ``optional`` names tables that may have none."""
-    expected = spark.createDataFrame(
-        [(t.full_name, d) for t in tables if t.full_name not in optional for d in days], "table_name string, dt string",
-    )
-    return expected.join(landed_days(spark, base, tables), ["table_name", "dt"], "left_anti")
+    needed = [t for t in tables if t.full_name not in optional]
+    expected = spark.createDataFrame([(t.full_name, d) for t in needed for d in days], "table_name string, dt string")
+    return expected.join(landed_days(spark, base, needed, days), ["table_name", "dt"], "left_anti")
 
 
 def require_days(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -18,8 +19,8 @@ def read_seed(spark: SparkSession, name: str, path: str | None = None) -> DataFr
     seed = SEEDS[name]
     schema = T.StructType.fromDDL(seed.ddl)
     if path is None:
-        lines = (resources.files("tidemark") / "seeds" / f"{name}.csv").read_text().splitlines()[1:]
-        rows = [line.split(",") for line in lines]
+        with (resources.files("tidemark") / "seeds" / f"{name}.csv").open(newline="") as file:
+            rows = [[field or None for field in row] for row in csv.reader(file)][1:]
         as_text = spark.createDataFrame(rows, ",".join(f"{n} string" for n in schema.names))
         loaded = as_text.select(*[as_text[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
     else:

@@ -8,6 +8,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.snapshots import Snapshots
+
 
 def together(spark: SparkSession, jobs: Iterable[Callable[[], object]], at_once: int = 4) -> None:
     """Run independent jobs side by side, so that the short stages of one fill the gaps of another."""
@@ -18,7 +20,7 @@ def together(spark: SparkSession, jobs: Iterable[Callable[[], object]], at_once:
 
 
 class Warehouse:
-    """Parquet tables under one folder, addressed by name."""
+    """Tables under one folder, addressed by name; each changes all at once (:class:`Snapshots`)."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
@@ -27,30 +29,36 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
+    def snapshots(self, name: str) -> Snapshots:
+        return Snapshots(self.spark, self.path(name))
+
     def exists(self, name: str) -> bool:
-        done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/_SUCCESS")
-        return done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done)
+        return self.snapshots(name).exists()
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.snapshots(name).read()
 
     def write(self, name: str, rows: DataFrame) -> DataFrame:
-        """Full rebuild of a table. ``rows`` must not be read from the same table."""
-        rows.write.mode("overwrite").parquet(self.path(name))
-        return self.read(name)
+        """Full rebuild of a table. ``rows`` may be read from the same table: readers see the old rows until all new ones are there."""
+        table = self.snapshots(name)
+        return table.read(table.replace(rows))
 
-    def replace(self, name: str, rows: DataFrame) -> DataFrame:
-        """Rebuild of a table from itself: written aside, then copied over.
+    def publish(self, names: Iterable[str], prefix: str = "", permanent: bool = False) -> list[str]:
+        """One view per table, replaced if it exists: for the session, or in the catalog (``prefix`` may then start with a database).
 
-        The copy under ``<name>__next`` stays until the next run, so a switch that died can be redone.
+        A view shows the rows that were current when it was published; publish again after each run, before ``KEEP`` further ones.
         """
-        aside = self.write(f"{name}__next", rows)
-        return self.write(name, aside)
-
-    def publish(self, names: Iterable[str], prefix: str = "") -> list[str]:
-        """One view per table, replaced if it exists."""
         views = []
         for name in names:
-            self.read(name).createOrReplaceTempView(f"{prefix}{name}")
-            views.append(f"{prefix}{name}")
+            view, table = f"{prefix}{name}", self.snapshots(name)
+            manifest = table.manifest()
+            if not permanent:
+                table.read(manifest).createOrReplaceTempView(view)
+            elif (where := table.pattern(manifest)) is not None:
+                columns = ", ".join(f"`{c}`" for c in manifest.schema.names)
+                self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM parquet.`{where}`")
+            else:
+                columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in manifest.schema.fields)
+                self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} WHERE false")
+            views.append(view)
         return views

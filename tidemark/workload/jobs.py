@@ -5,7 +5,10 @@ They work in a fresh folder under the shared folder of the session.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -14,9 +17,10 @@ from tidemark.params import Params
 from tidemark.plans import WarehouseBuild
 from tidemark.registry import RAW_TABLES, RawTable
 from tidemark.session import shared_dir
-from tidemark.sources import Warehouse, landed_days, read_days
+from tidemark.sources import Warehouse, landed_days, read_days, together
 from tidemark.sources.landing import CSV_OPTIONS, folder, quarantine, text_ddl
-from tidemark.streaming import ingest_new_files, newest_load, read_raw
+from tidemark.quality.rules import freshness_of
+from tidemark.streaming import ingest_new_files, newest_load, newest_load_time, read_ledger, read_raw
 from tidemark.workload.catalog import query
 from tidemark.workload.models import Models
 from tidemark.workload.oracle import with_models
@@ -184,30 +188,16 @@ def landing_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 @query("full_refresh", "event_id:i user_id:i day:d value:f", """
 SELECT event_id, user_id, ts::DATE AS day, value FROM events WHERE event_id % 5 <> 0""")
 def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    """A full refresh drops what the source no longer has, and a replay after it brings nothing back."""
+    """A full refresh drops what the source no longer has, and an upsert after it brings nothing back."""
     events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "user_id", F.col("ts").cast("date").alias("day"), "value")
     store = IncrementalTable(spark, f"{shared_dir(spark, 'refresh')}/events", ["event_id"], "day")
     store.upsert(events.filter("event_id % 2 = 0"))
     store.upsert(events.withColumn("value", F.lit(-1.0)))
     store.rebuild(events.filter("event_id % 5 <> 0"))
-    store.recover()
+    store.upsert(events.limit(0))
     return store.read()
 
 
-@query("publish_views", "name:s n_rows:i n_keys:i", with_models("""
-SELECT 'dim_product' AS name, count(*) AS n_rows, count(DISTINCT product_key) AS n_keys FROM dim_product
-UNION ALL SELECT 'dim_distributor', count(*), count(DISTINCT distributor_key) FROM dim_distributor"""))
-def publish(spark: SparkSession, sf: str) -> DataFrame:
-    models = Models(spark, sf)
-    store = Warehouse(spark, shared_dir(spark, "marts"))
-    for name in ("dim_product", "dim_distributor"):
-        store.write(name, models(name))
-    products, distributors = store.publish(["dim_product", "dim_distributor"], prefix="analytics_")
-    return spark.sql(f"""
-        SELECT 'dim_product' AS name, count(*) AS n_rows, count(DISTINCT product_key) AS n_keys FROM {products}
-        UNION ALL SELECT 'dim_distributor', count(*), count(DISTINCT distributor_key) FROM {distributors}""")
-
-
 # What is summed up per mart: a key that must be unique, and one measure.
 _MEASURED = {
     "dim_product": ("product_key", "list_price"),
@@ -232,6 +222,28 @@ def _totals_sql() -> str:
     )
 
 
+def _totals(read) -> DataFrame:
+    totals = [
+        read(name).agg(
+            F.count("*").alias("n_rows"), F.count_distinct(F.expr(key)).alias("n_keys"),
+            F.sum(F.expr(measure)).cast("double").alias("measure"),
+        ).select(F.lit(name).alias("mart"), "n_rows", "n_keys", "measure")
+        for name, (key, measure) in _MEASURED.items()
+    ]
+    return reduce(DataFrame.unionByName, totals)
+
+
+@query("publish_views", "mart:s n_rows:i n_keys:i measure:f4", with_models(_totals_sql()))
+def publish(spark: SparkSession, sf: str) -> DataFrame:
+    """All marts, written and read back through their published views."""
+    models = Models(spark, sf)
+    store = Warehouse(spark, shared_dir(spark, "marts"))
+    frames = {name: models(name) for name in _MEASURED}
+    together(spark, [lambda n=n: store.write(n, frames[n]) for n in _MEASURED])
+    store.publish(list(_MEASURED), prefix="analytics_")
+    return _totals(lambda name: spark.table(f"analytics_{name}"))
+
+
 @query("warehouse_build", "mart:s n_rows:i n_keys:i measure:f4", with_models(_totals_sql()))
 def warehouse_build(spark: SparkSession, sf: str) -> DataFrame:
     """The whole warehouse twice: on what was loaded up to a day, then on everything, incrementally.
@@ -242,17 +254,7 @@ def warehouse_build(spark: SparkSession, sf: str) -> DataFrame:
     build = _two_runs(spark, sf, replace(
         P, sales_lookback_days=wide, visits_lookback_days=wide, inventory_lookback_days=wide, returns_lookback_days=wide,
     ))
-    totals = [
-        build.model(name).agg(
-            F.count("*").alias("n_rows"), F.count_distinct(F.expr(key)).alias("n_keys"),
-            F.sum(F.expr(measure)).cast("double").alias("measure"),
-        ).select(F.lit(name).alias("mart"), "n_rows", "n_keys", "measure")
-        for name, (key, measure) in _MEASURED.items()
-    ]
-    result = totals[0]
-    for part in totals[1:]:
-        result = result.unionByName(part)
-    return result
+    return _totals(build.model)
 
 
 def _cut(name: str) -> str:
@@ -315,3 +317,171 @@ def warehouse_lookback(spark: SparkSession, sf: str) -> DataFrame:
             F.lit(name).alias("fact"), F.expr(key).alias("key"), F.col(day).alias("day"), F.expr(a).cast("double").alias("a"), F.expr(b).cast("double").alias("b"))
         result = part if result is None else result.unionByName(part)
     return result
+
+
+class _Ended(Exception):
+    """The job ends here."""
+
+
+def _ends_after(step: str) -> Callable[[str], None]:
+    def at(name: str) -> None:
+        if name == step:
+            raise _Ended
+    return at
+
+
+_STEPS = {"upsert": ("aside", "rows", "manifest", "published", "cleaned"), "refresh": ("rows", "manifest", "published", "cleaned")}
+
+
+def _snapshot_sql() -> str:
+    old = "SELECT event_id, user_id, ts::DATE AS day, value FROM events WHERE event_id % 2 = 0"
+    batch = "SELECT event_id, user_id, ts::DATE + 40 AS day, -1.0 AS value FROM events WHERE event_id % 3 = 0"
+    new = {"upsert": f"{old} AND event_id % 3 <> 0 UNION ALL {batch}", "refresh": batch}
+    return "\nUNION ALL ".join(
+        f"SELECT '{write}' AS write, '{step}' AS step, * FROM ({new[write] if step in ('published', 'cleaned') else old})"
+        for write, steps in _STEPS.items() for step in steps)
+
+
+@query("snapshot_reads", "write:s step:s event_id:i user_id:i day:d value:f", _snapshot_sql())
+def snapshot_reads(spark: SparkSession, sf: str) -> DataFrame:
+    """An upsert that moves rows to other months, and a full refresh, ended after each of their steps: all rows that a reader then sees."""
+    base = shared_dir(spark, "snapshots")
+    events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "user_id", F.col("ts").cast("date").alias("day"), "value")
+    batch = events.filter("event_id % 3 = 0").withColumns({"day": F.date_add("day", 40), "value": F.lit(-1.0)})
+    parts = {}
+
+    def one(write: str, step: str) -> None:
+        path = f"{base}/{write}_{step}"
+        IncrementalTable(spark, path, ["event_id"], "day").rebuild(events.filter("event_id % 2 = 0"))
+        table = IncrementalTable(spark, path, ["event_id"], "day")
+        table.snapshots.step = _ends_after(step)
+        try:
+            (table.upsert if write == "upsert" else table.rebuild)(batch)
+        except _Ended:
+            pass
+        seen = IncrementalTable(spark, path, ["event_id"], "day").read()
+        parts[write, step] = seen.select(F.lit(write).alias("write"), F.lit(step).alias("step"), "*")
+
+    together(spark, [lambda w=w, s=s: one(w, s) for w, steps in _STEPS.items() for s in steps])
+    return reduce(DataFrame.unionByName, parts.values())
+
+
+PRODUCTS = RAW_TABLES["mdm.product"]
+# Three days of full extracts: what each holds, and the revision that it shows.
+_DELETES = """
+WITH p AS (
+  SELECT concat('PROD-', p_partkey) AS product_id, p_retailprice::DOUBLE AS price, p_partkey % 5 <> 0 AS second, p_partkey % 7 <> 0 AS third,
+    p_partkey % 3 = 0 AS raised, p_partkey % 4 = 0 AS raised_again,
+    TIMESTAMP '2024-01-01 07:00:00' AS u1, TIMESTAMP '2024-01-02 07:00:00' AS u2, TIMESTAMP '2024-01-03 07:00:00' AS u3,
+    TIMESTAMP '2024-01-02 12:00:00' AS run2, TIMESTAMP '2024-01-03 12:00:00' AS run3
+  FROM part)
+SELECT product_id, price AS list_price, u1 AS valid_from, CASE
+  WHEN second AND raised THEN u2 WHEN second AND NOT third THEN run3 WHEN second AND raised_again THEN u3 WHEN second THEN NULL
+  WHEN third AND raised AND NOT raised_again THEN u2 ELSE run2 END AS valid_to FROM p
+UNION ALL SELECT product_id, price + 10, u2, CASE WHEN NOT second THEN NULL WHEN NOT third THEN run3 WHEN raised_again THEN u3 END
+FROM p WHERE raised AND (second OR (third AND NOT raised_again))
+UNION ALL SELECT product_id, price + 20, u3, NULL FROM p WHERE third AND raised_again
+UNION ALL SELECT product_id, price, run3, NULL FROM p WHERE NOT second AND third AND NOT raised AND NOT raised_again"""
+
+
+@query("hard_deletes", "product_id:s list_price:f valid_from:t valid_to:t", _DELETES)
+def hard_deletes(spark: SparkSession, sf: str) -> DataFrame:
+    """Three daily full extracts as files: products that leave one are closed, and opened again when they come back."""
+    base = shared_dir(spark, "deletes")
+    landing, raw = f"{base}/landing", f"{base}/raw"
+    parts = spark.read.parquet(f"{sf}/part.parquet")
+    held = ["true", "p_partkey % 5 <> 0", "p_partkey % 7 <> 0"]
+    twice = "if(p_partkey % 3 = 0, 1, 0)"
+    revision = ["0", twice, f"if(p_partkey % 4 = 0, 2, {twice})"]
+    for k in range(3):
+        day = f"2024-01-0{k + 1}"
+        rows = parts.filter(held[k]).withColumn("r", F.expr(revision[k]))
+        feed = rows.select(
+            F.expr("concat(' PROD-', p_partkey)").alias("product_id"), F.lit("N").alias("ndc_code"), F.col("p_name").alias("product_name"),
+            F.lit("Oncology").alias("therapeutic_category"), F.lit("Tablet").alias("formulation"),
+            F.expr("cast(p_retailprice as decimal(12,2)) + 10 * r").cast("decimal(12,2)").alias("list_price"), F.lit("Tier").alias("price_tier"),
+            F.lit(True).alias("is_active"), F.expr("timestamp_ntz '2024-01-01 07:00:00' + make_dt_interval(r)").alias("source_updated_at"),
+            F.lit(day).cast("date").alias("day"))
+        land(feed, PRODUCTS, landing, "day")
+        seen = newest_load(spark, raw, PRODUCTS)
+        ingest_new_files(spark, landing, raw, PRODUCTS)
+        build = WarehouseBuild(
+            spark, lambda name, since: read_raw(spark, raw, RAW_TABLES[name], after_load=since, exact_numbers=False), f"{base}/dw",
+            replace(P, run_ts=dt.datetime(2024, 1, k + 1, 12)))
+        build.write_history("product_history", since=seen)
+    return build.model("product_history")
+
+
+@query("late_visits", "visit_id:s visit_date:d hcp_key:s rep_key:s sample_product_key:s duration_minutes:f visits_trailing_window:i "
+       "samples_trailing_window:f days_since_prior_visit:i engagement_score:f", with_models("""
+SELECT visit_id, visit_date, hcp_key, rep_key, sample_product_key, duration_minutes, visits_trailing_window, samples_trailing_window,
+  days_since_prior_visit, engagement_score FROM fact_hcp_visits"""))
+def late_visits(spark: SparkSession, sf: str) -> DataFrame:
+    """Visits that land late, of any day, bring every later score and gap that depends on them up to date: after three runs as in one."""
+    models, base = Models(spark, sf), shared_dir(spark, "late-visits")
+    landed = ["event_id % 7 < 4", "event_id % 7 = 5", "event_id % 7 in (4, 6)"]
+    build = None
+    for k in range(3):
+        def raw(name: str, since: int | None, k: int = k) -> DataFrame:
+            rows = models(name)
+            if name != "crm.hcp_visit":
+                return rows
+            of_run = F.expr(landed[k].replace("event_id", "cast(substr(visit_id, 7) as int)"))
+            return rows.filter(of_run)
+
+        build = WarehouseBuild(spark, raw, base, replace(P, late_visits=True))
+        build.write_staged("stg_hcp_visit", since=k or None)
+        if not k:
+            together(spark, [lambda n=n: build.write_history(n) for n in ("product_history", "hcp_history", "sales_rep_history")])
+            together(spark, [lambda n=n: build.write_dim(n) for n in ("dim_product", "dim_hcp", "dim_sales_rep", "dim_date")])
+        build.write_fact("fact_hcp_visits")
+    return build.model("fact_hcp_visits")
+
+
+@query("lot_state", "product_id:s batch_id:s lot_expiry_date:d days_to_expiry:i is_near_expiry:b is_expired:b", with_models("""
+SELECT product_id, batch_id, lot_expiry_date, days_to_expiry, is_near_expiry, is_expired FROM batch_expiry"""))
+def lot_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Lots as kept beside the staged stock, after four loads in an order that corrects old and new snapshots: as from all rows."""
+    models, base = Models(spark, sf), shared_dir(spark, "lots")
+    build = None
+    for k, part in enumerate(("n % 4 = 2", "n % 4 = 0", "n % 4 = 3", "n % 4 = 1 or n % 4 = 2")):
+        n = F.crc32(F.concat_ws("/", "_source_file", "_source_file_row_number").cast("binary"))
+
+        def raw(name: str, since: int | None, part: str = part) -> DataFrame:
+            return models(name).withColumn("n", n).filter(part).drop("n")
+
+        build = WarehouseBuild(spark, raw, base, P)
+        build.write_staged("stg_inventory_snapshot", since=k or None)
+    return build.model("batch_expiry")
+
+
+@query("ledger_files", "dt:s load:i n_rows:i", with_models("""
+SELECT strftime(_loaded_at, '%Y-%m-%d') AS dt, CASE WHEN visit_date < DATE '2024-01-20' THEN 0 ELSE 1 END AS load, count(*) AS n_rows
+FROM raw_hcp_visit GROUP BY ALL"""))
+def ledger_files(spark: SparkSession, sf: str) -> DataFrame:
+    """What the ledger knows of two loads: rows by landing day."""
+    return _two_loads(spark, sf)[1].groupBy("dt", "load").agg(F.sum("n_rows").alias("n_rows"))
+
+
+@query("ledger_freshness", "source:s n_rows:i status:s later:s", with_models("""
+SELECT 'crm.hcp_visit' AS source, count(*) AS n_rows, 'pass' AS status, 'error' AS later FROM raw_hcp_visit
+UNION ALL SELECT 'erp.return', 0, 'error', 'error' FROM (SELECT count(*) FROM raw_hcp_visit)"""))
+def ledger_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    """Freshness of a source just loaded and of one never loaded, now and in three days, from the ledger alone."""
+    raw, ledger = _two_loads(spark, sf)
+    sources = ["crm.hcp_visit", "erp.return"]
+    times = spark.createDataFrame([(s, newest_load_time(spark, raw, RAW_TABLES[s])) for s in sources], "source string, max_loaded_at timestamp_ntz")
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    status = [freshness_of(times, now + dt.timedelta(days=d), P.freshness_warn_hours, P.freshness_error_hours) for d in (0, 3)]
+    loaded = ledger.groupBy(F.col("table_name").alias("source")).agg(F.sum("n_rows").alias("n"))
+    return status[0].select("source", "status").join(status[1].select("source", F.col("status").alias("later")), "source") \
+        .join(loaded, "source", "left").withColumn("n_rows", F.coalesce("n", F.lit(0)))
+
+
+def _two_loads(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    base, feed = shared_dir(spark, "ledger"), FEEDS["crm.hcp_visit"](spark, sf)
+    landing, raw = f"{base}/landing", f"{base}/raw"
+    for days in ("visit_date < '2024-01-20'", "visit_date >= '2024-01-20'"):
+        land(feed.filter(days), VISITS, landing, "_loaded_at")
+        ingest_new_files(spark, landing, raw, VISITS)
+    return raw, read_ledger(spark, raw, VISITS)

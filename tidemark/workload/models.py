@@ -32,7 +32,7 @@ INPUTS = {
     "dim_warehouse": ["stg_warehouse"],
     "dim_date": [],
     "fact_sales_orders": ["gross_to_net", "dim_distributor", "dim_warehouse", "dim_date", "batch_expiry", "dim_product"],
-    "fact_hcp_visits": ["engagement_score", "dim_date", "dim_hcp", "dim_sales_rep", "dim_product"],
+    "fact_hcp_visits": ["engagement_score", "dim_date", "dim_hcp", "dim_sales_rep", "dim_product", "stg_hcp_visit"],
     "fact_inventory_snapshot": ["inventory_runway", "dim_date", "dim_warehouse", "batch_expiry", "dim_product"],
     "fact_returns": ["stg_return", "dim_date", "dim_distributor", "seed_return_reason_lookup", "dim_product"],
 }
@@ -48,7 +48,7 @@ BUILDERS = {
     "dim_distributor": lambda staged: dims.dim_distributor(staged, None, P),
     "dim_warehouse": lambda staged: dims.dim_warehouse(staged, None, P),
     "fact_sales_orders": lambda *inputs: facts.fact_sales_orders(*inputs, P),
-    "fact_hcp_visits": lambda *inputs: facts.fact_hcp_visits(*inputs, P),
+    "fact_hcp_visits": lambda *inputs: facts.fact_hcp_visits(*inputs[:5], P, inputs[5]),
     "fact_inventory_snapshot": lambda *inputs: facts.fact_inventory_snapshot(*inputs, P),
     "fact_returns": lambda *inputs: facts.fact_returns(*inputs, P),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,14 +16,15 @@ from tidemark.operators import (
 from tidemark.plans import dims
 from tidemark.plans.intermediate import score, waterfall
 from tidemark.quality import (
-    SUITE, accepted_values, between, duplicate_keys, expired_shipments, failing_rows, freshness, not_null, orphans,
-    row_failures, source_freshness, summarize_rows,
+    SUITE, accepted_values, between, duplicate_keys, expired_shipments, freshness, not_null, orphans, row_failures,
+    run_suite, source_freshness, stored_failures, summarize_rows,
 )
 from tidemark.quality.gate import summary
 from tidemark.session import shared_dir
 from tidemark.workload.catalog import query
 from tidemark.workload.models import SPECS, Models
 from tidemark.workload.oracle import RUN_TS, key, with_models
+from tidemark.workload.rules_sql import failing_sql
 from tidemark.workload.standins import FEEDS, QUERY_PARAMS as P, table
 
 
@@ -473,12 +475,23 @@ def dq_summary(spark: SparkSession, sf: str) -> DataFrame:
     return summary(Models(spark, sf), CHECKED, SUITE)
 
 
-@query("dq_failing_rows", "rule:s n_rows:i", with_models("""
-SELECT 'accepted_reason_code' AS rule, count(*) AS n_rows FROM stg_return WHERE reason_code = 'Other'"""))
+# What tells the rows of a table apart in a listing: its first column.
+SHOWN = {t: SPECS[t].split()[0].split(":")[0] for t in CHECKED}
+
+
+@query("dq_failing_rows", "table_name:s rule:s shown:s n_rows:i", with_models(failing_sql(CHECKED, SHOWN)))
 def dq_failing_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """The rows themselves, by rule; rules that pass have none."""
-    rows = failing_rows(Models(spark, sf), "stg_return")
-    return rows.filter("row is not null").groupBy("rule").agg(F.count("*").alias("n_rows")).filter("rule = 'accepted_reason_code'")
+    """The failing rows and keys of all rules of all models, as a run keeps them: how many by rule and value of the first column (or key)."""
+    models, store = Models(spark, sf), shared_dir(spark, "failures")
+    failed = run_suite(models, CHECKED, store)
+    parts = []
+    for table_name, rule, _ in failed:
+        rows = stored_failures(spark, store, table_name, rule)
+        key_rule = rule.startswith(("unique_", "parent_"))
+        shown, n = ("value", F.sum("n_rows")) if key_rule else (SHOWN[table_name], F.count("*"))
+        found = rows.groupBy(F.coalesce(F.col(shown).cast("string"), F.lit("-")).alias("shown")).agg(n.alias("n_rows"))
+        parts.append(found.select(F.lit(table_name).alias("table_name"), F.lit(rule).alias("rule"), "shown", "n_rows"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("source_freshness", "source:s max_loaded_at:t age_hours:f4 status:s", with_models("\nUNION ALL ".join(f"""
