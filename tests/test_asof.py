@@ -4,7 +4,9 @@ import random
 import pytest
 from conftest import rows
 
-from tidemark.operators import asof_join
+from pyspark.sql import functions as F
+
+from tidemark.operators import Lookup, asof_join, asof_join_all
 
 
 def at(d, h=0):
@@ -84,3 +86,38 @@ def test_overlapping_versions_give_one_answer(spark):
     for strategy in ("scan", "broadcast"):
         joined = asof_join(facts, dim, "k", "dk", "at", {"tag": "tag"}, strategy=strategy)
         assert rows(joined.select("id", "tag"), "id") == [(0, None), (2, "old"), (5, "new"), (7, "new"), (9, None)]
+
+
+def random_history(rng, keys):
+    history = []
+    for k in keys:
+        moments = sorted(rng.sample(range(400), rng.randrange(1, 12)))
+        for i, m in enumerate(moments):
+            end = moments[i + 1] if i + 1 < len(moments) and rng.random() < 0.8 else rng.choice([None, m + 5])
+            history.append((k, f"{k}.{i}", at(0, m), end if end is None else at(0, end)))
+    return history
+
+
+@pytest.mark.parametrize("options", [{}, {"granularity": "day"}, {"first_open": True}])
+def test_all_dimensions_in_one_pass_equal_one_after_the_other(spark, options):
+    rng = random.Random(len(options))
+    one = spark.createDataFrame(random_history(rng, "abc"), DIM)
+    two = spark.createDataFrame([(int(k), *rest) for k, *rest in random_history(rng, "123")], DIM.replace("dk string", "dk int"))
+    facts = spark.createDataFrame(
+        [(i, rng.choice(["a", "b", "c", "z", None]), rng.choice([1, 2, 3, 9, None]), rng.choice([None, *(at(0, h) for h in range(0, 420, 3))])) for i in range(300)]
+        + [(None, "a", 1, at(9))], "id int, k string, n int, t timestamp_ntz")
+    lookups = [Lookup(one, "k", "dk", {"first": "tag", "since": "valid_from"}), Lookup(two, "n", "dk", {"second": "tag"}), Lookup(one, "k", "dk", {"again": "tag"})]
+    want = facts
+    for x in lookups:
+        want = asof_join(want, x.dim, x.fact_key, x.dim_key, "t", x.columns, **options)
+    for asking in (None, facts.unionByName(facts.withColumn("id", F.col("id") + 1000))):
+        got = asof_join_all(facts, ["id"], "t", lookups, asking=asking, **options)
+        assert got.columns == want.columns and rows(got, "id") == rows(want, "id")
+
+
+def test_wide_facts_move_once_for_all_dimensions(spark, dim):
+    facts = spark.range(10).select("id", F.lit("a").alias("k"), F.lit("wide").alias("payload"), F.lit(at(2)).cast("timestamp_ntz").alias("t"))
+    joined = asof_join_all(facts, ["id"], "t", [Lookup(dim, "k", "dk", {f"tag{i}": "tag"}) for i in range(3)])
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("AS payload") == 1  # no other branch of the plan carries it
+    assert {tuple(r)[4:] for r in joined.collect()} == {("a1", "a1", "a1")}

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -15,7 +16,7 @@ from tidemark.quality import GateError, stored_failures
 from tidemark.registry import RAW_TABLES
 from tidemark.sources import require_days
 from tidemark.sources.landing import folder
-from tidemark.streaming import ingest_new_files, newest_load, read_raw
+from tidemark.streaming import ingest_new_files, newest_load, newest_load_time, read_raw
 
 DAYS = ["2026-06-01", "2026-06-02", "2026-06-03"]
 
@@ -152,7 +153,9 @@ def test_full_refresh_agrees_except_for_what_only_runs_know(built, spark):
 def test_the_lookback_prunes_months_and_reaches_the_scan(built):
     recent = since_lookback(built.model("gross_to_net", dt.date(2026, 5, 27)), "order_date", dt.date(2026, 6, 3), 7)
     plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(order_date,2026-05-27)" in plan and "_month" in plan.split("PartitionFilters")[1]
+    assert "GreaterThanOrEqual(order_date,2026-05-27)" in plan
+    later = built.model("gross_to_net", dt.date(2026, 7, 1))
+    assert recent.inputFiles() and later.inputFiles() == [] and later.count() == 0  # no month of the manifest is left
 
 
 def test_rules_views_and_report(spark, built, tmp_path):
@@ -185,8 +188,8 @@ def test_loads_are_taken_once_whatever_day_they_landed_for(spark, tmp_path):
         for table in RAW_TABLES.values():
             ingest_new_files(spark, landing, raw, table)
         build = WarehouseBuild(
-            spark, read, f"{tmp_path}/dw", Params(as_of_date=dt.date(2026, 6, 3), run_ts=dt.datetime(2026, 6, 3, 12)),
-            newest=lambda name: newest_load(spark, raw, RAW_TABLES[name]))
+            spark, read, f"{tmp_path}/dw", Params(as_of_date=dt.date(2026, 6, 3), run_ts=dt.datetime.now()),
+            newest=lambda name: newest_load(spark, raw, RAW_TABLES[name]), loaded=lambda name: newest_load_time(spark, raw, RAW_TABLES[name]))
         build.run()
         return build
 
@@ -195,6 +198,11 @@ def test_loads_are_taken_once_whatever_day_they_landed_for(spark, tmp_path):
     build = run(DAYS[1])  # lands late
     assert ("erp.sales_order", 0) in asked and ("erp.distributor", 0) in asked
     assert [r[0] for r in rows(build.model("stg_sales_order").select("order_id"), "order_id")] == ["O1", "O2", "O3", "O9"]
-    assert build.freshness().count() == 9
+    # The ledger knows the load times; products that left the newest extract are closed, although an older one has landed since.
+    assert {r["status"] for r in build.freshness().collect()} == {"pass"}
+    assert rows(build.model("product_history").filter("valid_to is null").select("product_id"), "product_id") == [("P1",)]
+    build.params = replace(build.params, run_ts=dt.datetime.now() + dt.timedelta(days=4))
+    with pytest.raises(GateError, match="not loaded for 48 hours: crm.hcp_visit, erp.distributor"):
+        build.check(["stg_return"])
     views = build.publish("late_", permanent=False)
     assert len(views) == 10

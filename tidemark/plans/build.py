@@ -277,7 +277,7 @@ class WarehouseBuild:
             )
         if name == "fact_inventory_snapshot":
             return facts.fact_inventory_snapshot(
-                source, read("dim_date"), read("dim_warehouse"), read("batch_expiry"), read("dim_product"), params
+                source, read("dim_date"), read("dim_warehouse"), read("batch_expiry"), read("dim_product"), params, staged
             )
         return facts.fact_returns(
             source, read("dim_date"), read("dim_distributor"), read("seed_return_reason_lookup"), read("dim_product"),
@@ -287,9 +287,11 @@ class WarehouseBuild:
     def write_fact(self, name: str, full_refresh: bool = False) -> None:
         table = self.table(name)
         _, date_column, source = FACTS[name]
+        # Keys and days of these facts are asked from the staged feed: the rows themselves come out of windows.
+        feed = {"fact_hcp_visits": "stg_hcp_visit", "fact_inventory_snapshot": "stg_inventory_snapshot"}.get(name)
         if full_refresh or not table.exists():
             notes = {"visits": self.table("stg_hcp_visit").snapshots.manifest().number} if name == "fact_hcp_visits" else None
-            table.rebuild(self.fact_rows(name, self.model(source), self.model("stg_hcp_visit") if notes else None), notes)
+            table.rebuild(self.fact_rows(name, self.model(source), feed and self.model(feed)), notes)
             return
         lookback = {
             "fact_sales_orders": self.params.sales_lookback_days,
@@ -303,7 +305,7 @@ class WarehouseBuild:
             self._write_changed_visits(table, since)
             return
         recent = since_lookback(self.model(source, since), date_column, newest, lookback)
-        staged = since_lookback(self.model("stg_hcp_visit", since), date_column, newest, lookback) if name == "fact_hcp_visits" else None
+        staged = feed and since_lookback(self.model(feed, since), date_column, newest, lookback)
         table.upsert(self.fact_rows(name, recent, staged))
 
     def _write_changed_visits(self, table: IncrementalTable, since: dt.date | None) -> None:

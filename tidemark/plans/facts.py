@@ -13,10 +13,11 @@ def _day_key(rows: DataFrame, dates: DataFrame, day: str, out: str) -> DataFrame
     return attach(rows, dates, {day: "date_day"}, {out: "date_key"})
 
 
-def _version(rows: DataFrame, dim: DataFrame, natural: str, dim_natural: str, at: str, out: str, dim_key: str, params: Params) -> DataFrame:
+def _product_key(rows: DataFrame, products: DataFrame, at: str, params: Params, asking: DataFrame) -> DataFrame:
+    """``asking``: rows with the product and day of ``rows``, from before anything was joined to them."""
     return asof_join(
-        rows, dim, natural, dim_natural, at, {out: dim_key},
-        granularity=params.asof_granularity, first_open=params.asof_first_open,
+        rows, products, "product_id", "product_id", at, {"product_key": "product_key"},
+        granularity=params.asof_granularity, first_open=params.asof_first_open, asking=asking,
     )
 
 
@@ -31,7 +32,7 @@ def fact_sales_orders(
         {"lot_expiry_date": "lot_expiry_date", "batch_is_expired_today": "is_expired"},
     )
     rows = _day_key(rows, dates, "order_date", "order_date_key")
-    rows = _version(rows, products, "product_id", "product_id", "order_date", "product_key", "product_key", params)
+    rows = _product_key(rows, products, "order_date", params, lines)
     return rows.select(
         "order_line_id", "order_id", "order_date", "ship_date", "distributor_key", "warehouse_key", "order_date_key",
         "product_key", "product_id", "batch_id", "lot_expiry_date", "batch_is_expired_today",
@@ -63,12 +64,14 @@ def fact_hcp_visits(
 
 def fact_inventory_snapshot(
     stock: DataFrame, dates: DataFrame, warehouses: DataFrame, expiry: DataFrame, products: DataFrame, params: Params,
+    staged: DataFrame | None = None,
 ) -> DataFrame:
+    """``staged``: staged snapshots that hold at least those of ``stock``."""
     rows = attach(stock, warehouses, {"warehouse_id": "warehouse_id"}, {"warehouse_key": "warehouse_key"})
     flags = ("days_to_expiry", "is_near_expiry", "is_expired")
     rows = attach(rows, expiry, {"product_id": "product_id", "batch_id": "batch_id"}, {f: f for f in flags})
     rows = _day_key(rows, dates, "snapshot_date", "snapshot_date_key")
-    rows = _version(rows, products, "product_id", "product_id", "snapshot_date", "product_key", "product_key", params)
+    rows = _product_key(rows, products, "snapshot_date", params, stock if staged is None else staged)
     return rows.select(
         "snapshot_date", "snapshot_date_key", "warehouse_key", "warehouse_id", "product_key", "product_id", "batch_id",
         "lot_expiry_date", "qty_on_hand", "avg_daily_consumption", "days_on_hand", *flags,
@@ -85,7 +88,7 @@ def fact_returns(
         {"reason_category": "reason_category", "is_controllable": "is_controllable"},
     )
     rows = _day_key(rows, dates, "return_date", "return_date_key")
-    rows = _version(rows, products, "product_id", "product_id", "return_date", "product_key", "product_key", params)
+    rows = _product_key(rows, products, "return_date", params, returned)
     return rows.select(
         "return_id", "original_order_id", "return_date", "return_date_key", "distributor_key", "distributor_id",
         "product_key", "product_id", "batch_id", "quantity", "reason_code", "reason_category", "is_controllable",

@@ -16,7 +16,7 @@ from tidemark.workload.standins import FEEDS, QUERY_PARAMS as P
 
 # Models that others read more than once or join to: written once, then read back.
 STORED = {
-    "stg_hcp_visit", "stg_sales_order", "stg_inventory_snapshot", "dim_product", "dim_hcp", "dim_sales_rep",
+    "stg_hcp_visit", "stg_sales_order", "stg_return", "stg_inventory_snapshot", "dim_product", "dim_hcp", "dim_sales_rep",
     "dim_distributor", "dim_warehouse",
 }
 
@@ -33,7 +33,7 @@ INPUTS = {
     "dim_date": [],
     "fact_sales_orders": ["gross_to_net", "dim_distributor", "dim_warehouse", "dim_date", "batch_expiry", "dim_product"],
     "fact_hcp_visits": ["engagement_score", "dim_date", "dim_hcp", "dim_sales_rep", "dim_product", "stg_hcp_visit"],
-    "fact_inventory_snapshot": ["inventory_runway", "dim_date", "dim_warehouse", "batch_expiry", "dim_product"],
+    "fact_inventory_snapshot": ["inventory_runway", "dim_date", "dim_warehouse", "batch_expiry", "dim_product", "stg_inventory_snapshot"],
     "fact_returns": ["stg_return", "dim_date", "dim_distributor", "seed_return_reason_lookup", "dim_product"],
 }
 
@@ -49,7 +49,7 @@ BUILDERS = {
     "dim_warehouse": lambda staged: dims.dim_warehouse(staged, None, P),
     "fact_sales_orders": lambda *inputs: facts.fact_sales_orders(*inputs, P),
     "fact_hcp_visits": lambda *inputs: facts.fact_hcp_visits(*inputs[:5], P, inputs[5]),
-    "fact_inventory_snapshot": lambda *inputs: facts.fact_inventory_snapshot(*inputs, P),
+    "fact_inventory_snapshot": lambda *inputs: facts.fact_inventory_snapshot(*inputs[:5], P, inputs[5]),
     "fact_returns": lambda *inputs: facts.fact_returns(*inputs, P),
 }
 
