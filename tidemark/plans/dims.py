@@ -93,7 +93,16 @@ def dim_warehouse(staged: DataFrame, target: DataFrame | None, params: Params) -
 
 def calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """One row per day from ``start`` up to, not including, ``end``."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start), F.date_sub(F.lit(end), 1), F.expr("interval 1 day"))).alias("_day")
-    )
-    return days.select(*[c.alias(n) for n, c in calendar_columns(F.col("_day")).items()])
+    bounds = spark.range(1).select(F.lit(start).alias("_start"), F.lit(end).alias("_end"))
+    return _days(bounds)
+
+
+def calendar_of(events: DataFrame, *days: str) -> DataFrame:
+    """One row per day from the first to the last day that the events have in any of the columns; none without events."""
+    first, last = F.min(F.least(*days)) if len(days) > 1 else F.min(days[0]), F.max(F.greatest(*days)) if len(days) > 1 else F.max(days[0])
+    return _days(events.agg(first.alias("_start"), F.date_add(last, 1).alias("_end")).filter("_start IS NOT NULL"))
+
+
+def _days(bounds: DataFrame) -> DataFrame:
+    every = bounds.select(F.explode(F.sequence("_start", F.date_sub("_end", 1), F.expr("interval 1 day"))).alias("_day"))
+    return every.select(*[c.alias(n) for n, c in calendar_columns(F.col("_day")).items()])

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.plans import dims, facts, intermediate, reports
 from tidemark.plans.build import HISTORIES, STAGING
-from tidemark.quality import at_risk_count
+from tidemark.quality import GateError, at_risk_count, check_limit
 from tidemark.session import shared_dir
 from tidemark.sources import Warehouse, read_seed, together
 from tidemark.workload.catalog import register
-from tidemark.workload.oracle import with_models
+from tidemark.workload.oracle import CALENDAR, with_models
 from tidemark.workload.standins import FEEDS, QUERY_PARAMS as P
 
 
@@ -182,11 +182,11 @@ for _name, _spec in SPECS.items():
 
 
 def _calendar_use(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The calendar with the orders of each day; days without orders stay, with 0."""
-    m = Models(spark, sf_dir)
-    per_day = m("stg_sales_order").groupBy("order_date").agg(F.count("*").alias("n"))
+    """The calendar from the first order or shipment to the last, with the orders of each day; days without orders stay, with 0."""
+    orders = Models(spark, sf_dir).stored("stg_sales_order")
+    per_day = orders.groupBy("order_date").agg(F.count("*").alias("n"))
     return (
-        m("dim_date").join(per_day, F.col("date_day") == F.col("order_date"), "left")
+        dims.calendar_of(orders, "order_date", "ship_date").join(per_day, F.col("date_day") == F.col("order_date"), "left")
         .withColumn("order_lines", F.coalesce("n", F.lit(0)))
     )
 
@@ -196,10 +196,10 @@ register(
     "date_day:d date_key:i year:i quarter:i month:i month_name:s day_of_month:i day_of_week:i day_name:s "
     "week_of_year:i is_weekend:b order_lines:i",
     _calendar_use,
-    with_models(
-        "SELECT c.*, coalesce(n, 0) AS order_lines FROM dim_date AS c "
-        "LEFT JOIN (SELECT order_date, count(*) AS n FROM stg_sales_order GROUP BY order_date) ON date_day = order_date"
-    ),
+    with_models(f"""
+SELECT c.*, coalesce(n, 0) AS order_lines FROM ({CALENDAR} FROM (
+  SELECT unnest(generate_series(min(least(order_date, ship_date)), max(greatest(order_date, ship_date)), INTERVAL 1 DAY)) AS d FROM stg_sales_order)) AS c
+LEFT JOIN (SELECT order_date, count(*) AS n FROM stg_sales_order GROUP BY order_date) ON date_day = order_date"""),
 )
 
 _AT_RISK = """
@@ -229,6 +229,23 @@ register(
 )
 
 
+def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The limit on lots at risk, for a limit that holds and one that stops the run."""
+    stock = Models(spark, sf_dir)("fact_inventory_snapshot")
+    found = at_risk_count(stock, P.at_risk_days_on_hand).first()[0]
+    rows = []
+    for limit in (found, found - 1):
+        try:
+            rows.append((check_limit(found, limit, "lots at risk"), found - limit, False))
+        except GateError:
+            rows.append((found, found - limit, True))
+    return spark.createDataFrame(rows, "lots long, over long, stopped boolean")
+
+
+register("at_risk_gate", "lots:i over:i stopped:b", _gate, with_models(
+    "SELECT count(*) AS lots, 0 AS over, false AS stopped" + _AT_RISK + " UNION ALL SELECT count(*), 1, true" + _AT_RISK))
+
+
 def _revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Net revenue per month, category group and price tier of the product version ordered."""
     m = Models(spark, sf_dir)

@@ -16,6 +16,11 @@ RUN_TS = f"TIMESTAMP '{QUERY_PARAMS.run_ts}'"
 NEWEST = "_loaded_at DESC, _source_file_row_number DESC"
 
 
+CALENDAR = """SELECT d::DATE AS date_day, strftime(d, '%Y%m%d')::INTEGER AS date_key, year(d) AS year, quarter(d) AS quarter,
+  month(d) AS month, strftime(d, '%b') AS month_name, day(d) AS day_of_month, dayofweek(d) AS day_of_week,
+  strftime(d, '%a') AS day_name, weekofyear(d) AS week_of_year, dayofweek(d) IN (0, 6) AS is_weekend"""
+
+
 def _list(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
@@ -68,9 +73,9 @@ def asof(fact: str, natural: str, dim: str, dim_natural: str, at: str) -> str:
 
 _DAY = "(l_shipdate::DATE)"
 _NEXT_DAY = f"({_DAY}::TIMESTAMP + to_days(1))"
-_PRODUCT = "'PROD-' || (l_partkey % 200)"
-_LOT = "'LOT-' || (l_partkey % 200) || '-' || (l_partkey % 3)"
-_WAREHOUSE = "'WH-' || (l_suppkey % 10)"
+_PRODUCT = "'PROD-' || (l_partkey // 50)"
+_LOT = "'LOT-' || (l_partkey // 50) || '-' || (l_partkey % 3)"
+_WAREHOUSE = "'WH-' || (1 + l_suppkey // 50)"
 _LINE_ROW = "l_partkey * 1000000 + l_suppkey AS _source_file_row_number"
 
 MODELS: dict[str, str] = {
@@ -107,10 +112,10 @@ SELECT 'REP-' || s_suppkey AS rep_id, 'Rep' AS first_name,
   source_updated_at + to_days(1) AS _loaded_at, s_suppkey AS _source_file_row_number
 FROM (SELECT *, unnest(range(s_suppkey % 2 + 1)) AS r FROM supplier)""",
     "raw_hcp_visit": """
-SELECT 'VISIT-' || event_id AS visit_id, 'REP-' || (user_id % 10) AS rep_id, 'HCP-' || user_id AS hcp_id,
+SELECT 'VISIT-' || event_id AS visit_id, 'REP-' || (user_id // 5) AS rep_id, 'HCP-' || user_id AS hcp_id,
   ts::DATE AS visit_date, event_type AS visit_type, (event_id % 60 + 5 * k)::DECIMAL(6,0) AS duration_minutes,
   CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 26 END::DECIMAL(8,0) AS samples_dropped_qty,
-  CASE WHEN event_id % 3 = 0 THEN ' ' ELSE 'PROD-' || (event_id % 200) END AS sample_product_id, ts AS created_at,
+  CASE WHEN event_id % 3 = 0 THEN ' ' ELSE 'PROD-' || (event_id // 5) END AS sample_product_id, ts AS created_at,
   ts::DATE::TIMESTAMP + to_days((1 + k)::INTEGER) AS _loaded_at, event_id AS _source_file_row_number
 FROM (SELECT *, unnest(range(CASE WHEN event_id % 10 = 0 THEN 2 ELSE 1 END)) AS k FROM events)""",
     "raw_distributor": f"""
@@ -142,7 +147,7 @@ SELECT 'RET-' || l_orderkey || '-' || l_linenumber AS return_id, 'ORD-' || l_ord
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'""",
     "raw_inventory_snapshot": f"""
 SELECT last_day(l_shipdate) AS snapshot_date, {_WAREHOUSE} AS warehouse_id, {_PRODUCT} AS product_id, {_LOT} AS batch_id,
-  DATE '1996-06-01' + ((l_partkey % 200 * 37 + l_partkey % 3 * 111) % 2500)::INTEGER AS lot_expiry_date,
+  DATE '1996-06-01' + ((l_partkey // 50 * 37 + l_partkey % 3 * 111) % 2500)::INTEGER AS lot_expiry_date,
   (l_quantity * 100)::DECIMAL(12,0) AS qty_on_hand, l_shipdate AS created_at, {_NEXT_DAY} AS _loaded_at,
   'lines-' || l_partkey || '-' || l_suppkey AS _source_file, l_orderkey * 10 + l_linenumber AS _source_file_row_number
 FROM lineitem""",
@@ -254,9 +259,7 @@ FROM stg_distributor AS s""",
 SELECT {key('warehouse_id')} AS warehouse_key, s.* EXCLUDE (_loaded_at), {RUN_TS} AS first_loaded_at
 FROM stg_warehouse AS s""",
     "dim_date": f"""
-SELECT d::DATE AS date_day, strftime(d, '%Y%m%d')::INTEGER AS date_key, year(d) AS year, quarter(d) AS quarter,
-  month(d) AS month, strftime(d, '%b') AS month_name, day(d) AS day_of_month, dayofweek(d) AS day_of_week,
-  strftime(d, '%a') AS day_name, weekofyear(d) AS week_of_year, dayofweek(d) IN (0, 6) AS is_weekend
+{CALENDAR}
 FROM range(DATE '{QUERY_PARAMS.spine_start}', DATE '{QUERY_PARAMS.spine_end}', INTERVAL 1 DAY) AS days(d)""",
     # -- facts
     "fact_sales_orders": f"""

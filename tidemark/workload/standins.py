@@ -113,13 +113,13 @@ def hcp_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _feed(
         rows, "crm.hcp_visit", "event_id", "cast(cast(ts as date) as timestamp_ntz) + make_dt_interval(1 + k)",
         visit_id="concat('VISIT-', event_id)",
-        rep_id="concat('REP-', user_id % 10)",
+        rep_id="concat('REP-', user_id div 5)",
         hcp_id="concat('HCP-', user_id)",
         visit_date="cast(ts as date)",
         visit_type="event_type",
         duration_minutes="event_id % 60 + 5 * k",
         samples_dropped_qty="if(event_id % 3 = 0, null, event_id % 26)",
-        sample_product_id="if(event_id % 3 = 0, ' ', concat('PROD-', event_id % 200))",
+        sample_product_id="if(event_id % 3 = 0, ' ', concat('PROD-', event_id div 5))",
         created_at="ts",
     )
 
@@ -151,10 +151,10 @@ def warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Stock moves per (warehouse, product); both are folded so that their trailing windows overlap.
-_PRODUCT = "concat('PROD-', l_partkey % 200)"
-_LOT = "concat('LOT-', l_partkey % 200, '-', l_partkey % 3)"
-_WAREHOUSE = "concat('WH-', l_suppkey % 10)"
+# Stock moves per (warehouse, product). Fifty keys make one, so that trailing windows overlap and keys still grow with the data.
+_PRODUCT = "concat('PROD-', l_partkey div 50)"
+_LOT = "concat('LOT-', l_partkey div 50, '-', l_partkey % 3)"
+_WAREHOUSE = "concat('WH-', 1 + l_suppkey div 50)"
 _NEXT_DAY = "cast(cast(l_shipdate as date) as timestamp_ntz) + make_dt_interval(1)"
 _LINE_ROW = "l_partkey * 1000000 + l_suppkey"
 
@@ -209,7 +209,7 @@ def inventory_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         warehouse_id=_WAREHOUSE,
         product_id=_PRODUCT,
         batch_id=_LOT,
-        lot_expiry_date="date_add(date '1996-06-01', cast((l_partkey % 200 * 37 + l_partkey % 3 * 111) % 2500 as int))",
+        lot_expiry_date="date_add(date '1996-06-01', cast((l_partkey div 50 * 37 + l_partkey % 3 * 111) % 2500 as int))",
         qty_on_hand="l_quantity * 100",
         created_at="l_shipdate",
     )
