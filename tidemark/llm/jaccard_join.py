@@ -10,14 +10,16 @@
 4. In a block, each set searches the larger ones: it needs T = ceil(6 n / 7) occurrences in its inverted lists. The longest lists are
    set aside, the short ones merged by counting, and only sets that reach T less the number of lists set aside are looked up in these by
    binary search. Large blocks are split into index shards that all sets of the block search.
-5. The links are written as pairs of classes (smallest doc_id of each) with their overlap. Their components give the groups, and with
-   the sizes of the classes they give each document's number of links. Who needs only groups may leave out what is connected already.
+5. Of the links, those that connect something new are written, as pairs of classes (smallest doc_id of each); all others are only counted, with
+   the number of documents of both classes, so the rows written grow with the sets, not with the links. Components of these pairs are
+   the groups. Who needs only groups may leave out the counting, and who wants all links may have them written.
 
 Shingles are told apart by 64-bit hashes of their words.
 
 Defined cases: a null or empty text, or one without words, has an empty set and links with nothing; fewer words than a shingle are
-one shingle; a row without doc_id links with nothing and gets no component; rows that share a doc_id are one node where their
-texts are equal; numbers of links are exact only if no doc_id has two different texts; an empty table gives an empty result; further columns are ignored, or kept by ``one_per_group``.
+one shingle; a row without doc_id links with nothing and gets no component; rows that share a doc_id but not the text are
+compared each by its own text and get the component of that, the same on any partitioning; numbers of links are exact only if no doc_id has two
+different texts; an empty table gives an empty result; further columns are ignored, or kept by ``one_per_group``.
 """
 
 from __future__ import annotations
@@ -81,20 +83,28 @@ def send_shingles(batches: Iterator[pa.RecordBatch], size: int, buckets: int) ->
         # One document is what all holders are if they have the same id.
         own = ids[docs]
         several = np.minimum.reduceat(own, edge[:-1]) < np.maximum.reduceat(own, edge[:-1]) if len(tokens) else np.zeros(0, bool)
-        shared = np.bincount(docs[np.repeat(several, count)], minlength=len(sizes)).astype(np.uint32)
-        first, key = edge[:-1], mix(tokens[edge[:-1]] ^ np.uint64(0x2545F4914F6CDD1D))
-        bucket, key = (key % np.uint64(buckets)).astype(np.int32), (key >> np.uint64(32)).astype(np.uint32)
-        lone = ~several
-        by = np.lexsort((docs[first], bucket))
-        by_lone, by_common = by[lone[by]], by[several[by]]
-        cells = np.unique(bucket)
-        runs = bounds(bucket[by_lone], docs[first][by_lone])
-        edges = lambda rows: np.append(np.searchsorted(bucket[rows], cells), len(rows))
-        inner = np.searchsorted(runs[:-1], edges(by_lone))
+        common = np.repeat(several, count)
+        shared = np.bincount(docs[common], minlength=len(sizes)).astype(np.uint32)
+
+        def dealt(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            keys = mix(chosen ^ np.uint64(0x2545F4914F6CDD1D))
+            return (keys % np.uint64(buckets)).astype(np.int32), (keys >> np.uint64(32)).astype(np.uint32)
+
+        # What several documents share goes once; what one id holds goes for each of its rows, which may differ in their texts.
+        bucket, key = dealt(tokens[edge[:-1]][several])
+        by = np.argsort(bucket, kind="stable")
+        bucket, key = bucket[by], key[by]
+        own_bucket, own_key = dealt(tokens[~common])
+        by = np.lexsort((docs[~common], own_bucket))
+        own_bucket, own_key, own_doc = own_bucket[by], own_key[by], docs[~common][by]
+        cells = np.unique(np.concatenate([bucket, own_bucket]))
+        runs = bounds(own_bucket, own_doc)
+        edges = lambda held: np.append(np.searchsorted(held, cells), len(held))
+        inner = np.searchsorted(runs[:-1], edges(own_bucket))
         none = pa.nulls(len(cells), pa.binary())
         yield pa.RecordBatch.from_arrays([
-            pa.array(cells), pa.array(np.full(len(cells), task)), pack(key[by_lone], edges(by_lone)), pack(key[by_common], edges(by_common)),
-            pack(docs[first][by_lone][runs[:-1]], inner), pack(np.diff(runs).astype(np.uint32), inner), none, none, none, none], schema=_SENT)
+            pa.array(cells), pa.array(np.full(len(cells), task)), pack(own_key, edges(own_bucket)), pack(key, edges(bucket)),
+            pack(own_doc[runs[:-1]], inner), pack(np.diff(runs).astype(np.uint32), inner), none, none, none, none], schema=_SENT)
         empty = pa.array([None], pa.binary())
         yield pa.RecordBatch.from_arrays([
             pa.array([task % buckets], pa.int32()), pa.array([task]), empty, empty, empty, empty,
@@ -257,25 +267,31 @@ class Index:
         return found[enough], count[enough]
 
 
-LINK_DDL = "rep_a long, rep_b long, overlap long"
+LINK_DDL = "rep_a long, rep_b long, overlap long, others long"
+FOREST, COUNTS, PAIRS = "forest", "counts", "pairs"
 
 
-def search_blocks(batches: Iterator[pa.RecordBatch], percent: int, every: bool) -> Iterator[pa.RecordBatch]:
-    """Links as rows (rep_a, rep_b, overlap): every one, once, or those that connect what links in each shard of a block.
-
-    Indexed sets come first in a shard.
+def search_blocks(batches: Iterator[pa.RecordBatch], percent: int, mode: str) -> Iterator[pa.RecordBatch]:
+    """What links in each shard of a block: rows (rep_a, rep_b, overlap) that connect it, a row less than there are sets at most (FOREST); these, and for
+    each set one row (rep_a, others) with the documents of the sets it links with, so that all links count and none is written (COUNTS); or
+    all links themselves, once each (PAIRS). Indexed sets come first in a shard.
     """
+    every = mode != FOREST
     state: tuple | None = None  # shard, ids, index, groups, numbers of ids
-    waiting: list[tuple[int, np.ndarray]] = []
+    waiting: list[tuple[int, np.ndarray, int]] = []
     links: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    counts: list[tuple[int, int]] = []
+    held = others = np.zeros(0, np.int64)  # of the indexed sets: documents, and documents they link with
     n = 0
 
     def build() -> None:
-        nonlocal state
-        ids = [i for i, _ in waiting]
-        state = (state[0], ids, Index([t for _, t in waiting]), Groups(len(ids)), {i: k for k, i in enumerate(ids)}, np.array(ids, np.int64))
+        nonlocal state, held, others
+        ids = [i for i, _, _ in waiting]
+        state = (state[0], ids, Index([t for _, t, _ in waiting]), Groups(len(ids)), {i: k for k, i in enumerate(ids)}, np.array(ids, np.int64))
+        held = np.array([w for _, _, w in waiting], np.int64)
+        others = np.zeros(len(ids), np.int64)
 
-    def ask(own: int, rep: int, tokens: np.ndarray) -> None:
+    def ask(own: int, rep: int, tokens: np.ndarray, documents: int) -> None:
         nonlocal n
         _, _, index, groups, _, reps = state
 
@@ -286,7 +302,11 @@ def search_blocks(batches: Iterator[pa.RecordBatch], percent: int, every: bool)
             return np.fromiter((groups.find(x) == root for x in found.tolist()), bool, len(found))
 
         found, overlap = index.overlaps(tokens, percent, skip)
-        if not every:
+        if mode == COUNTS and len(found):
+            counts.append((rep, int(held[found].sum())))
+            others[found] += documents
+            n += 1
+        if mode != PAIRS:
             new = np.zeros(len(found), bool)
             for k, x in enumerate(found.tolist()):
                 new[k] = groups.find(own) != groups.find(x)
@@ -299,19 +319,31 @@ def search_blocks(batches: Iterator[pa.RecordBatch], percent: int, every: bool)
     def send(least: int = 1) -> Iterator[pa.RecordBatch]:
         nonlocal n
         if n >= least:
-            a, b, overlap = (np.concatenate(x) for x in zip(*links))
+            names = ["rep_a", "rep_b", "overlap", "others"]
+            if links:
+                a, b, overlap = (np.concatenate(x) for x in zip(*links))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(overlap), pa.nulls(len(a), pa.int64())], names=names)
+            if counts:
+                reps, sums = (pa.array(x, pa.int64()) for x in zip(*counts))
+                none = pa.nulls(len(reps), pa.int64())
+                yield pa.RecordBatch.from_arrays([reps, none, none, sums], names=names)
             links.clear()
+            counts.clear()
             n = 0
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(overlap)], names=["rep_a", "rep_b", "overlap"])
 
     def close() -> Iterator[pa.RecordBatch]:
+        nonlocal n
         if state is None:
             return
         if state[1] is None:  # no further rows came: the sets search themselves
             build()
-            for k, (rep, tokens) in enumerate(waiting):
-                ask(k, rep, tokens)
+            for k, (rep, tokens, documents) in enumerate(waiting):
+                ask(k, rep, tokens, documents)
                 yield from send(LINKS)
+        if mode == COUNTS:
+            some = np.flatnonzero(others)
+            counts.extend(zip(state[5][some].tolist(), others[some].tolist()))
+            n += len(some)
         yield from send()
 
     for batch in batches:
@@ -319,13 +351,13 @@ def search_blocks(batches: Iterator[pa.RecordBatch], percent: int, every: bool)
         tokens = column(batch, "tokens")
         values = tokens.flatten().to_numpy().view(np.uint64)
         edge = np.concatenate([[0], np.cumsum(tokens.value_lengths().to_numpy())])
-        for k, (rep, asks) in enumerate(zip(column(batch, "rep").to_pylist(), column(batch, "asks").to_pylist())):
+        for k, (rep, asks, documents) in enumerate(zip(*(column(batch, c).to_pylist() for c in ("rep", "asks", "documents")))):
             if state is None or state[0] != shard[k]:
                 yield from close()
                 waiting, state = [], (shard[k], None, None, None, None, None)
             own = values[edge[k]:edge[k + 1]]
             if not asks:
-                waiting.append((rep, own))
+                waiting.append((rep, own.copy(), documents))  # a view would keep its whole batch
                 continue
             if state[1] is None:
                 build()
@@ -335,35 +367,46 @@ def search_blocks(batches: Iterator[pa.RecordBatch], percent: int, every: bool)
                 numbers[rep] = len(ids)
                 ids.append(rep)
                 groups.up.append(numbers[rep])
-            ask(numbers[rep], rep, own)
+            ask(numbers[rep], rep, own, documents)
             yield from send(LINKS)
     yield from close()
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES, every: bool = False) -> DataFrame:
-    """doc_id, tkey (hash of the text), n_shingles and component_id for documents (doc_id, text); every: by all links, not by a forest of them."""
-    return joined(docs, size, percent, block_shingles, every)[0]
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """doc_id, tkey (hash of the text), n_shingles and component_id for documents (doc_id, text), by a forest of links."""
+    return joined(docs, size, percent, block_shingles, FOREST)[0]
+
+
+def counted_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """As ``near_duplicates``, with n_links, the number of documents that link with each: all links are found and counted, none is written."""
+    found, members, links = joined(docs, size, percent, block_shingles, COUNTS)
+    counts = links.filter("others is not null").groupBy(F.col("rep_a").alias("rep")).agg(F.sum("others").alias("others"))
+    return _with_links(found, members, counts)
 
 
 def linked_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES) -> tuple[DataFrame, DataFrame]:
-    """As ``near_duplicates`` from all links, with n_links, the number of documents that link with each; and the links (rep_a, rep_b, overlap).
+    """As ``counted_documents``, and the links (rep_a, rep_b, overlap) themselves, whose number may be the square of that of similar texts.
 
     A link stands for all pairs of documents whose sets equal those of rep_a and rep_b; equal sets link as well.
     """
-    found, sets, classes, links = joined(docs, size, percent, block_shingles, True)
-    same = ["n", "print_a", "print_b"]
-    members = sets.join(classes.select(*same, "rep"), same).select("rep", "doc_id", "tkey").distinct()
-    sizes = members.groupBy("rep").agg(F.countDistinct("doc_id").alias("members"))
+    found, members, links = joined(docs, size, percent, block_shingles, PAIRS)
+    sizes = members.select("rep", "members").distinct()
     ends = links.select("rep_a", "rep_b").distinct()
     ends = ends.unionByName(ends.select(F.col("rep_b").alias("rep_a"), F.col("rep_a").alias("rep_b")))
     others = ends.join(sizes.withColumnRenamed("rep", "rep_b"), "rep_b").groupBy(F.col("rep_a").alias("rep")).agg(F.sum("members").alias("others"))
-    counts = members.join(sizes, "rep").join(others, "rep", "left") \
+    return _with_links(found, members, others), links.drop("others")
+
+
+def _with_links(found: DataFrame, members: DataFrame, others: DataFrame) -> DataFrame:
+    """Adds n_links, from the documents of each class and those that its class links with."""
+    counts = members.join(others, "rep", "left") \
         .groupBy("doc_id", "tkey").agg(F.max(F.col("members") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    return found.join(counts, ["doc_id", "tkey"], "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long"))), links
+    return found.join(counts, ["doc_id", "tkey"], "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
 
 
-def joined(docs: DataFrame, size: int, percent: int, block_shingles: int, every: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Documents with components, sets, classes of equal sets, links of classes."""
+def joined(docs: DataFrame, size: int, percent: int, block_shingles: int, mode: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with components; the members (rep, doc_id, tkey) of classes of equal sets, with the number of documents of the class; and what
+    ``search_blocks`` says of the classes."""
     buckets = parts(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tkey"))
     known = texts.filter("doc_id is not null")
@@ -378,33 +421,36 @@ def joined(docs: DataFrame, size: int, percent: int, block_shingles: int, every:
     met = known.join(near.hint("shuffle_hash"), ["doc_id", "tkey"], "left_semi")
     sets = written(arrays(met, SET_DDL, partial(sets_of, size=size)), "jaccard-sets")
     same = ["n", "print_a", "print_b"]
-    classes = written(sets.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.min_by("tokens", "doc_id").alias("tokens")), "jaccard-classes")
+    ids = sets.select(*same, "doc_id").distinct().groupBy(*same).agg(F.count("*").alias("documents"))
+    classes = sets.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.min_by("tokens", "doc_id").alias("tokens"))
+    classes = written(classes.join(ids, same), "jaccard-classes")
     blocks = components(written(chains(classes, percent), "jaccard-chains"))
 
-    placed = classes.select("rep", "n", "tokens").join(blocks.select(F.col("node").alias("rep"), F.col("component").alias("block")), "rep")
+    placed = classes.select("rep", "n", "documents", "tokens").join(blocks.select(F.col("node").alias("rep"), F.col("component").alias("block")), "rep")
     shards = blocks.join(classes.select(F.col("rep").alias("node"), "n"), "node").groupBy(F.col("component").alias("block")) \
         .agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("int").alias("shards"))
     placed = written(placed.join(shards, "block").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("shards")).cast("int")), "jaccard-blocks")
-    indexed = placed.select("block", F.col("own").alias("shard"), F.lit(0).alias("asks"), "n", "rep", "tokens")
-    asking = placed.filter("shards > 1").select("block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(1).alias("asks"), "n", "rep", "tokens")
+    indexed = placed.select("block", F.col("own").alias("shard"), F.lit(0).alias("asks"), "n", "rep", "documents", "tokens")
+    asking = placed.filter("shards > 1").select("block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(1).alias("asks"), "n", "rep", "documents", "tokens")
     work = indexed.unionByName(asking).repartition(buckets, "block", "shard").sortWithinPartitions("block", "shard", "asks", "n", "rep")
-    links = written(arrays(work, LINK_DDL, partial(search_blocks, percent=percent, every=every)), "jaccard-links")
-    groups = components(links.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
+    links = written(arrays(work, LINK_DDL, partial(search_blocks, percent=percent, mode=mode)), "jaccard-links")
+    groups = components(links.filter("rep_b is not null").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
 
-    members = sets.join(classes.select(*same, "rep"), same).join(groups.withColumnRenamed("node", "rep"), "rep", "left") \
+    members = sets.join(classes.select(*same, "rep", F.col("documents").alias("members")), same).select("rep", "members", "doc_id", "tkey").distinct()
+    grouped = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("doc_id", "tkey", F.coalesce("component", "rep").alias("component_id")).distinct()
-    found = judged.join(members, ["doc_id", "tkey"], "left").select("doc_id", "tkey", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    found = judged.join(grouped, ["doc_id", "tkey"], "left").select("doc_id", "tkey", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     lost = arrays(texts.filter("doc_id is null"), SET_DDL, partial(sets_of, size=size)).select("doc_id", "tkey", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-    return found.unionByName(lost), sets, classes, links
+    return found.unionByName(lost), members, links
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
-    """Of each group the document with the smallest id, once, with the columns it came with; rows without an id stay."""
-    key = spare(docs, "tkey")
+    """Of each group the document with the smallest id, once, with the columns it came with, whatever their names; rows without an id stay."""
+    key, gone_id, gone_key = (spare(docs, c) for c in ("tkey", "gone_id", "gone_key"))
     found = written(near_duplicates(docs.select("doc_id", "text")), "jaccard-groups").filter("doc_id is not null")
     keyed = docs.withColumn(key, F.xxhash64("text"))
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_key")).distinct()
-    kept = keyed.join(gone.hint("shuffle_hash"), (keyed["doc_id"] == F.col("_id")) & (keyed[key] == F.col("_key")), "left_anti")
+    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias(gone_id), F.col("tkey").alias(gone_key)).distinct()
+    kept = keyed.join(gone.hint("shuffle_hash"), (F.col("doc_id") == F.col(gone_id)) & (F.col(key) == F.col(gone_key)), "left_anti")
     if found.groupBy("doc_id").count().filter("count > 1").limit(1).count():
         named = kept.filter("doc_id is not null").dropDuplicates(["doc_id", key])
         kept = named.unionByName(kept.filter("doc_id is null"))

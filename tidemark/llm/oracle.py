@@ -59,7 +59,8 @@ grouped AS (
 """
 
 
-JACCARD_JOIN = _linked(5, 75) + "SELECT * FROM grouped"
+JACCARD_JOIN = _linked(5, 75) + """
+SELECT grouped.*, coalesce(n_links, 0)::BIGINT AS n_links FROM grouped LEFT JOIN (SELECT x AS doc_id, count(*) AS n_links FROM edges GROUP BY x) USING (doc_id)"""
 SUPER_MINHASH = _linked(3, 85) + "SELECT *, doc_id = component_id AS kept FROM grouped"
 
 DECONTAMINATE = f"""

@@ -66,7 +66,7 @@ def op6_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), every=True).select("doc_id", "n_shingles", "component_id")
+    return jaccard_join.counted_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("tkey")
 
 
 @query
