@@ -71,3 +71,10 @@ def test_ascent_is_synchronous():
                 break
         want = {int(r) for o, a, z in zip(forest.order, low[:, 0], high[:, 0]) for r in o[a:z]}
         assert set(rows.tolist()) == want
+
+
+def test_ids_beyond_the_integers_of_a_double_stay_apart(spark):
+    ids = [20, *((1 << 53) + k for k in range(1, 5)), (1 << 62) + 1, (1 << 62) + 2]
+    vectors = spark.createDataFrame([(i, [1.0, 2.0]) for i in ids + ids[:2]], "vec_id long, vector array<double>")
+    got = found(P.nearest_neighbours(vectors, vectors.filter("vec_id = 20")))
+    assert got == {20: [(i, 5.0) for i in sorted(ids[1:])]}

@@ -95,6 +95,13 @@ class Forest:
             yield np.flatnonzero(mark)
 
 
+def first_of_each(ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Places of the distinct (id, vector); ids are compared as the 64-bit integers they are."""
+    by = np.lexsort([*vectors.T, ids])
+    same = (ids[by][1:] == ids[by][:-1]) & (vectors[by][1:] == vectors[by][:-1]).all(1)
+    return by[np.concatenate([np.ones(min(1, len(by)), bool), ~same])]
+
+
 def search(batches: Iterator[pa.RecordBatch], nearest: int, trees: int, bits: int, share: float) -> Iterator[pa.RecordBatch]:
     """Rows by (dim, shard, block), the indexed vectors before the queries: the best of the shard for each query."""
     where, ids, rows, forest = None, [], [], None
@@ -119,7 +126,7 @@ def search(batches: Iterator[pa.RecordBatch], nearest: int, trees: int, bits: in
             if forest is None:
                 both = np.concatenate(ids)
                 vectors = np.concatenate(rows)
-                new = np.unique(np.concatenate([both[:, None].astype(np.float64), vectors], 1), axis=0, return_index=True)[1] if len(both) else []
+                new = first_of_each(both, vectors)
                 ids, rows = [both[new]], [vectors[new]]
                 forest = Forest(rows[0], trees, bits)
             enough = max(int(share * len(rows[0])), (nearest + 1) * trees)
