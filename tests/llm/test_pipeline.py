@@ -122,3 +122,11 @@ def test_mix_rows(spark, documents):
     assert (sums["size"] == sums["own"]).all() and ((sums["taken"] - sums["target"]).abs() <= 4).all()
     assert abs(sums["target"].sum() - 1.5 * sums["size"].sum()) < 1e-6
     assert source_mix.mix_documents(docs.limit(0)).count() == 0
+
+
+def test_the_mix_keeps_columns_of_any_name(spark):
+    names = ("target", "source_size", "mix_size", "mix_target", "mix_copies", "mix_copy", "size")
+    docs = spark.createDataFrame([(i, "w " * i, f"s{i % 2}") for i in range(1, 9)], "doc_id long, text string, source string").withColumns({c: F.lit(c) for c in names})
+    got = source_mix.repeated(docs)
+    assert got.columns == docs.columns and {tuple(r)[3:] for r in got.collect()} == {names}
+    assert got.count() >= 8

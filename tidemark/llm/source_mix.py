@@ -6,7 +6,7 @@ as evenly as the quotas allow. The flow says how many words each pattern gives;
 order of a seeded hash.
 
 Only totals of patterns and of (pattern, hash bucket) are ever brought together; the window that finds the last chosen
-documents covers one bucket of a pattern, a 4096th of it, so a source with a third of all rows is no hot group.
+documents covers one bucket of a pattern, a 4096th of it, so a source with a third of all rows is no hot group. No text goes through a window or a shuffle.
 
 Defined cases: a null text has size 0; a null source is a source of its own and comes last; an empty table gives an
 empty result; repeated rows are separate documents, of which any may be chosen; a document of size 0 takes 0 words;
@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.llm.frames import spare
 from tidemark.llm.scratch import written
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -101,7 +102,8 @@ def mix_sources(
     docs: DataFrame, members: Column, size: Column, weights: Sequence[float], share: float = 1.5, max_copies: int = 2,
     seed: int = 7, salt: Column | None = None,
 ) -> DataFrame:
-    """``docs`` with size, source_size and target (of a document's pattern: of all its sources), copies and taken.
+    """``docs`` with mix_size, mix_source_size and mix_target (of a document's pattern: of all its sources), mix_copies and mix_taken;
+    with underscores behind where ``docs`` has such a column already. Names that begin with ``_mix`` are for the operator's own use.
 
     members: array of source names; weights: given to the sources in code point order, null last, and repeated.
     The targets share ``share`` times all words; no document is taken more than ``max_copies`` times.
@@ -131,46 +133,79 @@ def mix_sources(
     quota = spark.createDataFrame(
         [(k, int(sum(source_size[s] for s in group)), float(sum(targets[s] for s in group)), w // n if n else 0, w % n if n else 0)
          for k, group, n, w in zip(keys, sets, sizes, words)],
-        "_mix_key string, source_size long, target double, _mix_whole long, _mix_rest long",
+        "_mix_key string, _mix_source_size long, _mix_target double, _mix_whole long, _mix_gap long",
     )
-    # Buckets below the edge are taken once more in full; the edge is where the rest of the quota ends.
-    order = Window.partitionBy("_mix_key").orderBy("_mix_bucket")
-    edge = (
-        buckets.withColumn("upto", F.sum("words").over(order)).join(F.broadcast(quota), "_mix_key").filter("upto > _mix_rest")
-        .groupBy("_mix_key").agg(F.min(F.struct("_mix_bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("edge"))
-        .select("_mix_key", F.col("edge._mix_bucket").alias("_mix_edge"), F.col("edge.before").alias("_mix_before"))
-    )
-    plan = written(
-        quota.join(edge, "_mix_key", "left").fillna({"_mix_edge": BUCKETS, "_mix_before": 0}), "mix-plan")
-    within = Window.partitionBy("_mix_key").orderBy("_mix_hash").rowsBetween(Window.unboundedPreceding, 0)
-    cut = light.join(F.broadcast(plan), "_mix_key").filter("_mix_bucket = _mix_edge") \
-        .withColumn("upto", F.col("_mix_before") + F.sum("_mix_size").over(within))
-    # The one document that best fills what is still open: the skipped ones are larger than that, or come later.
-    open_words = cut.filter("upto <= _mix_rest").groupBy("_mix_key").agg(F.max("upto").alias("upto"))
-    gap = plan.join(open_words, "_mix_key", "left").select(
-        "_mix_key", "_mix_edge", (F.col("_mix_rest") - F.coalesce("upto", "_mix_before")).alias("gap"))
-    last = cut.filter("upto > _mix_rest").select("_mix_key", "_mix_size", "_mix_hash").unionByName(
-        light.join(F.broadcast(plan.select("_mix_key", "_mix_edge")), "_mix_key").filter("_mix_bucket > _mix_edge")
-        .select("_mix_key", "_mix_size", "_mix_hash"))
-    filler = (
-        last.join(F.broadcast(gap), "_mix_key").filter("abs(gap - _mix_size) < gap")
-        .groupBy("_mix_key").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("_mix_size")).alias("off"), F.col("_mix_hash"))).alias("best"))
-        .select("_mix_key", F.col("best._mix_hash").alias("_mix_filler"))
-    )
-    plan = written(plan.join(filler, "_mix_key", "left"), "mix-plan")
-
-    joined = keyed.join(F.broadcast(plan), "_mix_key")
-    special = F.coalesce((F.col("_mix_bucket") == F.col("_mix_edge")) | (F.col("_mix_hash") == F.col("_mix_filler")), F.col("_mix_bucket") == F.col("_mix_edge"))
-    rest = joined.filter(~special).withColumn("_mix_more", F.col("_mix_bucket") < F.col("_mix_edge"))
-    near = joined.filter(special).withColumn("_mix_upto", F.sum(F.when(F.col("_mix_bucket") == F.col("_mix_edge"), F.col("_mix_size")).otherwise(0)).over(within))
-    again = Window.partitionBy("_mix_key", "_mix_hash").orderBy("_mix_size")
-    near = near.withColumn("_mix_more", (
-        (F.col("_mix_bucket") == F.col("_mix_edge")) & (F.col("_mix_before") + F.col("_mix_upto") <= F.col("_mix_rest"))
-    ) | F.coalesce((F.col("_mix_hash") == F.col("_mix_filler")) & (F.row_number().over(again) == 1), F.lit(False))).drop("_mix_upto")
-    copies = (F.col("_mix_whole") + F.col("_mix_more").cast("long")).cast("int")
-    return rest.unionByName(near).select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.col("_mix_size").alias("mix_size"), F.col("source_size").alias("mix_source_size"),
-        F.col("target").alias("mix_target"), copies.alias("mix_copies"), (copies * F.col("_mix_size")).alias("mix_taken"))
+    plan = written(choose(light, quota), "mix-plan")
+    copies = (F.col("_mix_whole") + F.coalesce(chosen(), F.lit(False)).cast("long")).cast("int")
+    return keyed.join(F.broadcast(plan), "_mix_key").select(
+        *[F.col(f"`{c}`") for c in docs.columns], F.col("_mix_size").alias(spare(docs, "mix_size")), F.col("_mix_source_size").alias(spare(docs, "mix_source_size")),
+        F.col("_mix_target").alias(spare(docs, "mix_target")), copies.alias(spare(docs, "mix_copies")), (copies * F.col("_mix_size")).alias(spare(docs, "mix_taken")))
+
+
+RULE = "array<struct<low: bigint, high: bigint, bucket: int, hash: bigint>>"
+
+
+def chosen() -> Column:
+    """Whether any rule of the pattern takes a document once more: one of its sizes, up to its place in the seeded order."""
+    return F.exists("_mix_rules", lambda r: F.col("_mix_size").between(r["low"], r["high"]) & (
+        (F.col("_mix_bucket") < r["bucket"]) | ((F.col("_mix_bucket") == r["bucket"]) & (F.col("_mix_hash") <= r["hash"]))))
+
+
+def fitting(rows: DataFrame) -> DataFrame:
+    """How far documents (with ``_mix_gap``, the words still open) fit in seeded order: last bucket and hash, and their words, by pattern.
+
+    Sums of buckets find the bucket where the words run out; only its documents are looked at one by one. Equal rows go together.
+    """
+    sums = rows.groupBy("_mix_key", "_mix_bucket").agg(F.sum("_mix_size").alias("words"), F.first("_mix_gap").alias("gap"))
+    sums = sums.withColumn("upto", F.sum("words").over(Window.partitionBy("_mix_key").orderBy("_mix_bucket")))
+    over = F.col("upto") > F.col("gap")
+    edge = sums.groupBy("_mix_key").agg(
+        F.min(F.when(over, F.col("_mix_bucket"))).alias("bucket"), F.coalesce(F.max(F.when(~over, F.col("upto"))), F.lit(0)).alias("before"))
+    edge = edge.withColumn("bucket", F.coalesce("bucket", F.lit(BUCKETS)))
+    order = Window.partitionBy("_mix_key").orderBy("_mix_hash").rangeBetween(Window.unboundedPreceding, 0)
+    inside = rows.join(F.broadcast(edge), "_mix_key").filter("_mix_bucket = bucket") \
+        .withColumn("upto", F.col("before") + F.sum("_mix_size").over(order)).filter("upto <= _mix_gap") \
+        .groupBy("_mix_key").agg(F.max("_mix_hash").alias("hash"), F.max("upto").alias("upto"))
+    return edge.join(F.broadcast(inside), "_mix_key", "left").select("_mix_key", "bucket", "hash", F.coalesce("upto", "before").alias("words"))
+
+
+def choose(light: DataFrame, quota: DataFrame) -> DataFrame:
+    """The quota with ``_mix_rules``, by which documents are taken once more until the gap of their pattern is closed.
+
+    First the documents in seeded order up to the one that does not fit. Then, as long as a pattern has an untaken document that fits, those of the size class
+    (between two powers of two) of the largest such, in seeded order: at most two rounds a class, however many documents. What is still open is smaller than any
+    untaken document; one is taken yet if that brings the pattern nearer.
+    """
+    most = 1 << 62
+
+    def after(plan: DataFrame, found: DataFrame) -> DataFrame:
+        """Adds a rule (low, high, bucket, hash) that takes ``words``."""
+        more = F.when(F.col("words") > 0, F.array(F.struct("low", "high", "bucket", "hash"))).otherwise(F.array().cast(RULE))
+        return plan.join(F.broadcast(found), "_mix_key", "left").select(
+            *[c for c in plan.columns if c not in ("_mix_rules", "_mix_gap", "_mix_ceiling")],
+            F.concat("_mix_rules", F.coalesce(more, F.array().cast(RULE))).alias("_mix_rules"),
+            (F.col("_mix_gap") - F.coalesce("words", F.lit(0))).alias("_mix_gap"),
+            F.when(F.col("words") == 0, F.col("low") - 1).otherwise(F.col("_mix_ceiling")).alias("_mix_ceiling"))
+
+    plan = quota.withColumn("_mix_rules", F.array().cast(RULE)).withColumn("_mix_ceiling", F.lit(most))
+    first = fitting(light.join(F.broadcast(plan.select("_mix_key", "_mix_gap")), "_mix_key"))
+    plan = written(after(plan, first.withColumns({"low": F.lit(0).cast("long"), "high": F.lit(most)})).withColumn("_mix_ceiling", F.lit(most)), "mix-plan")
+    while True:
+        fits = light.join(F.broadcast(plan.select("_mix_key", "_mix_rules", "_mix_gap", "_mix_ceiling")), "_mix_key") \
+            .filter("_mix_size > 0 AND _mix_size <= least(_mix_gap, _mix_ceiling)").filter(~F.coalesce(chosen(), F.lit(False)))
+        largest = fits.groupBy("_mix_key").agg(F.max("_mix_size").alias("high"))
+        bounds = written(largest.select("_mix_key", F.expr("shiftleft(1L, length(bin(high)) - 1)").alias("low"), "high"), "mix-round")
+        if bounds.isEmpty():
+            break
+        some = fits.join(F.broadcast(bounds), "_mix_key").filter("_mix_size >= low")
+        plan = written(after(plan, fitting(some).join(F.broadcast(bounds), "_mix_key")), "mix-plan")
+    last = light.join(F.broadcast(plan.select("_mix_key", "_mix_rules", "_mix_gap")), "_mix_key").filter(~F.coalesce(chosen(), F.lit(False))) \
+        .groupBy("_mix_key", "_mix_size", "_mix_bucket", "_mix_hash").agg(F.first("_mix_gap").alias("gap"), F.sum("_mix_size").alias("words")) \
+        .filter("abs(gap - words) < gap").groupBy("_mix_key").agg(
+            F.min(F.struct(F.abs(F.col("gap") - F.col("words")).alias("off"), F.col("_mix_size"), F.col("_mix_bucket"), F.col("_mix_hash"), F.col("words"))).alias("best")) \
+        .select("_mix_key", F.col("best._mix_size").alias("low"), F.col("best._mix_size").alias("high"), F.col("best._mix_bucket").alias("bucket"),
+                F.col("best._mix_hash").alias("hash"), F.col("best.words").alias("words"))
+    return after(plan, last)
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
@@ -179,7 +214,8 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with the columns it came with."""
+    """The mix itself: each document as often as it is taken, with the columns it came with, whatever their names."""
     mixed = mix_documents(docs)
-    return mixed.filter("mix_copies > 0").withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), F.col("mix_copies")))) \
+    copies, copy = spare(docs, "mix_copies"), spare(mixed, "mix_copy")
+    return mixed.filter(F.col(copies) > 0).withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(copies)))) \
         .select(*[F.col(f"`{c}`") for c in docs.columns])
