@@ -34,8 +34,10 @@ def test_given_table(spark, given):
     assert got == sorted(plain(given("documents", "doc_id", "text")))
 
 
-def test_odd_texts_one_by_one():
-    known = T.Encoder(PATH)
+@pytest.mark.parametrize("name, by_rule", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_odd_texts_one_by_one(name, by_rule):
+    known = T.Encoder(public_tokenizers.path(name))
+    assert known.by_rule == by_rule
     for text in ODD:
         data, offsets = text_bytes(pa.array([text, "ab", text]))
         ids, counts = known.encode(data, offsets)

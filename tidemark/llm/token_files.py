@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,13 +42,30 @@ _LETTER = byte_set((0x41, 0x5A), (0x61, 0x7A))
 _PUNCTUATION = byte_set((0x21, 0x26), (0x28, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))  # without the apostrophe
 
 
+# How the vocabulary that is cut here by rule normalizes and cuts texts. Other ones get whole texts.
+NORMALIZED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+CUT = [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def cut_by_rule(path: str) -> bool:
+    """Whether a tokenizer file normalizes and cuts as above."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    parts = [((told.get(k) or {}).get(inner)) for k, inner in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+    return parts == [NORMALIZED, CUT] and told["model"]["type"] == "BPE"
+
+
 class Encoder:
-    """Ids of whole texts by a tokenizer, with the ids of the pieces met so far at hand."""
+    """Ids of whole texts by a tokenizer, with the ids of the pieces met so far at hand if it cuts texts as this class does."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_rule = cut_by_rule(path)
         self.width = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.clear()
@@ -71,6 +89,8 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the number of ids of each text."""
+        if not self.by_rule:
+            return self.encode_texts(data, offsets)
         words = Words(data, offsets, SPACED, lower=True)
         letter, other = _LETTER[data], _PUNCTUATION[data]
         cut = np.flatnonzero((letter[:-1] & other[1:]) | (other[:-1] & letter[1:])) + 1
@@ -99,6 +119,12 @@ class Encoder:
         ids[np.arange(total) + np.repeat(text, length)] = self.ids[source]
         return self.whole(ids, counts + 1, data, offsets)
 
+    def encode_texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        found = self.tokenizer.encode_batch_fast([raw[a:z].decode() for a, z in zip(offsets[:-1].tolist(), offsets[1:].tolist())], add_special_tokens=False)
+        ids = [np.array([*x.ids, END], self.width) for x in found]
+        return np.concatenate([np.zeros(0, self.width), *ids]), np.fromiter(map(len, ids), np.int64, len(ids))
+
     def whole(self, ids: np.ndarray, counts: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw = data.tobytes()
         if not any(s in raw for s in self.specials):
