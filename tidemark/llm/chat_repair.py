@@ -10,7 +10,8 @@ conversation are put together in order (minimum in place of sum, sum in place of
 chunk is repaired by itself. The result has one row per turn with its rendered piece, so no conversation is ever one cell or one task:
 the pieces of a conversation in order of (chunk, part, place) are the formatted text.
 
-Defined cases: null or empty text is an empty turn; roles are compared without case and outer blanks; a null or unknown role has to be
+Defined cases: null or empty text is an empty turn; control tokens within a text are spelled with blanks inside the bars, so that no text can open or close
+a turn; roles are compared without case and outer blanks; a null or unknown role has to be
 relabelled, at ``UNKNOWN``; rows equal in all of conv_id, turn, role and text are one; several rows of one turn follow each other by
 role and text; rows without conv_id or turn have no place: they come back with action "unplaced" and nothing rendered; an empty table
 gives an empty result; further columns are ignored.
@@ -19,6 +20,7 @@ gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,6 +39,7 @@ STATES = (START, *ROLES)  # the role of the last turn so far
 NEXT = {START: ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user", "tool"), "tool": ("assistant",)}
 LAST = (START, "user", "assistant")
 MERGE, RELABEL, UNKNOWN, INSERT = 2, 3, 1, 4
+_CONTROL = re.compile(r"<\|(im_start|im_end)\|>")
 CHUNK = 4096
 OPEN, CLOSE, JOINT = "<|im_start|>", "<|im_end|>\n", "\n\n"
 
@@ -128,6 +131,11 @@ def cut_states(effects: list[np.ndarray]) -> tuple[list[int], int]:
     return states[::-1], last
 
 
+def harmless(text: str) -> str:
+    """The text with its control tokens spelled apart."""
+    return _CONTROL.sub(r"<| \1 |>", text)
+
+
 def render(state: str, step: Step, text: str) -> list[tuple[str, str, str]]:
     """Action, role and piece for the empty turns put before a turn, and the turn."""
     _, put, action, role = step
@@ -177,7 +185,7 @@ def rendered(key: tuple, rows: list[dict]) -> list[tuple]:
     entry, leave, final = rows[0]["entry"], rows[0]["leave"], rows[0]["final"]
     state, out = STATES[entry], []
     for row, step in zip(rows, cheapest([row["role_key"] for row in rows], entry, leave)):
-        *empty, own = render(state, step, row["text"] or "")
+        *empty, own = render(state, step, harmless(row["text"] or ""))
         out += [(None, None, *e) for e in empty] + [(row["turn"], row["role"], *own)]
         state = step[3]
     if final:
