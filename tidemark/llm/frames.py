@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,6 +19,34 @@ def spare(df: DataFrame, name: str) -> str:
     return name
 
 
+def release() -> None:
+    """Gives back what a finished task no longer uses: workers live on, and memory that the allocators keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+def _libc_or_none():
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        return libc if hasattr(libc, "malloc_trim") else None
+    except OSError:  # not a GNU system
+        return None
+
+
+_libc = _libc_or_none()
+
+
+def _released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return run
+
+
 def with_struct(df: DataFrame, out: str, ddl: str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Array]]) -> DataFrame:
     """``df`` with a struct column ``out`` of the DDL's fields; work gives one struct array for each batch, in order."""
     if spare(df, out) != out:
@@ -38,10 +67,10 @@ def with_struct(df: DataFrame, out: str, ddl: str, work: Callable[[Iterator[pa.R
             batch = held.pop(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, out])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(_released(run), schema)
 
 
 def arrays(df: DataFrame, ddl: str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """mapInArrow with the package at hand on the executors."""
     ship(df.sparkSession)
-    return df.mapInArrow(work, ddl)
+    return df.mapInArrow(_released(work), ddl)
