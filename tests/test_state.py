@@ -126,3 +126,36 @@ def test_months_are_summed_again_only_where_they_differ(spark, build):
     assert {n for n in after if after[n] != before.get(n)} == {"m202601"}
     want = build.visit_months().of(feed.read())
     assert sorted(rows(build.visit_months().read().select(want.columns)), key=str) == sorted(rows(want), key=str)
+
+
+def test_lots_are_brought_up_to_date_without_comparing_copies_of_stock(spark, tmp_path):
+    feed = IncrementalTable(spark, str(tmp_path / "stock"), ["snapshot_date", "warehouse_id", "product_id", "batch_id"], "snapshot_date")
+    state = LotState(spark, str(tmp_path / "lots"), feed)
+    rng = random.Random(9)
+    feed.rebuild(spark.createDataFrame(stock(rng, 60, 0, 150), STOCK))
+    state.update()
+    feed.upsert(spark.createDataFrame(stock(rng, 40, 0, 150), STOCK))
+    asked, read = [], feed.snapshots.read
+    feed.snapshots.read = lambda manifest=None, names=None, named=False: asked.append(manifest.number) or read(manifest, names, named)
+    state.update()
+    assert asked == [feed.snapshots.manifest().number]  # each month once, as it is now
+    feed.snapshots.read = read
+    want = newest_lots(feed.read())
+    assert sorted(rows(state.read().select(want.columns)), key=str) == sorted(rows(want), key=str)
+
+
+VISITS_IN = "visit_id string, hcp_id string, visit_date date"
+
+
+def test_keys_are_not_looked_up_in_months_that_are_written_anew(spark, tmp_path):
+    table = IncrementalTable(spark, str(tmp_path / "t"), ["visit_id"], "visit_date")
+    table.rebuild(spark.createDataFrame([("a", "h", day(0)), ("b", "h", day(1)), ("c", "h", day(40))], VISITS_IN))
+    asked, read = [], table.snapshots.read
+    table.snapshots.read = lambda manifest=None, names=None, named=False: asked.append(sorted(names)) or read(manifest, names, named)
+    table.upsert(spark.createDataFrame([("a", "i", day(2)), ("c", "i", day(41))], VISITS_IN))
+    assert asked == [["m202601", "m202602"]]
+    asked.clear()
+    table.upsert(spark.createDataFrame([("a", "j", day(70)), ("c", "j", day(3))], VISITS_IN))  # both move to another month
+    assert asked == [["m202602"], ["m202601", "m202602", "m202603"]]
+    table.snapshots.read = read
+    assert rows(table.read(), "visit_id") == [("a", "j", day(70)), ("b", "h", day(1)), ("c", "j", day(3))]

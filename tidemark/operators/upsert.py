@@ -46,7 +46,7 @@ class IncrementalTable:
     """A table kept up to date by key, in parts by month of ``date_column``.
 
     An upsert writes anew only the months it touches: those of the batch, plus those that now hold a batch key under another
-    date. To find the latter, it reads key columns only, and only of months whose key ranges (kept in the manifest) meet those of the batch. The
+    date. To find the latter, it reads key columns only, and only of other months, whose key ranges (kept in the manifest) meet those of the batch. The
     new months lie beside the old ones until the manifest that names them is published, in one step; see :class:`Snapshots`.
     Readers see the table before or after an upsert or full refresh, and a job that dies leaves it as it was.
     """
@@ -98,12 +98,14 @@ class IncrementalTable:
         months = {r[0] for r in batch.select(PART).distinct().collect()}
         if months:
             reach = before.meeting({k: (ranges[f"min_{k}"], ranges[f"max_{k}"]) for k in self.keys})
-            stored = self.snapshots.read(before, reach, named=True).select(*self.keys, PART)
-            within = [F.col(k).between(ranges[f"min_{k}"], ranges[f"max_{k}"]) for k in self.keys if None not in (ranges[f"min_{k}"], ranges[f"max_{k}"])]
-            for condition in within:  # literals: they skip row groups of the scan
-                stored = stored.filter(condition)
-            holding = may_match(stored, batch, self.keys).join(batch.select(*self.keys), self.keys, "left_semi")
-            months |= {r[0] for r in holding.select(PART).distinct().collect()}
+            elsewhere = [m for m in reach if m not in months]  # the batch's own months are written anew in any case
+            if elsewhere:
+                stored = self.snapshots.read(before, elsewhere, named=True).select(*self.keys, PART)
+                within = [F.col(k).between(ranges[f"min_{k}"], ranges[f"max_{k}"]) for k in self.keys if None not in (ranges[f"min_{k}"], ranges[f"max_{k}"])]
+                for condition in within:  # literals: they skip row groups of the scan
+                    stored = stored.filter(condition)
+                holding = may_match(stored, batch, self.keys).join(batch.select(*self.keys), self.keys, "left_semi")
+                months |= {r[0] for r in holding.select(PART).distinct().collect()}
             touched = self.snapshots.read(before, months, named=True)
             self.snapshots.change_parts(self._spread(merge_rows(touched, batch, self.keys)), months, before, notes)
         else:

@@ -47,26 +47,25 @@ class LotState:
         notes = {"stock": now.number}
         state = self.table.snapshots.manifest()
         since = state and state.notes.get("stock")
-        changed = feed.changes(since, self.COLUMNS) if since is not None else None
-        if changed is None:
+        months = feed.differing(since) if since is not None else None
+        if months is None:
             self.table.rebuild(self._keyed(newest_lots(feed.read(now).select(*self.COLUMNS))), notes)
             return
-        months = feed.differing(since)
         if not months:
             self.table.snapshots.note(notes)
             return
-        lots = self._keyed(changed.drop(PART)).select("lot_key").distinct()
-        # Of the changed lots: the newest rows of the months that differ, and what the state knows from other months.
-        fresh = self._keyed(newest_lots(feed.read(now, months).select(*self.COLUMNS))).join(lots, "lot_key", "left_semi")
-        held = self.table.snapshots.read(state, named=True).join(lots, "lot_key", "left_semi")
-        fresh = self.table.snapshots.aside(fresh)
+        # The newest rows of the months that differ, and what the state knows from other months: lots that are as they were fall out of both.
+        fresh = self.table.snapshots.aside(self._keyed(newest_lots(feed.read(now, months).select(*self.COLUMNS))))
+        held = self.table.snapshots.read(state, named=True)
         lost = held.filter(F.col(PART).isin(months)).join(fresh, "lot_key", "left_anti")
         if not lost.isEmpty():  # the newest rows of a lot are gone: only a rebuilt feed does that
             self.table.rebuild(self._keyed(newest_lots(feed.read(now).select(*self.COLUMNS))), notes)
             return
-        kept = held.filter(~F.col(PART).isin(months)).drop(PART)
+        kept = held.filter(~F.col(PART).isin(months)).drop(PART).join(fresh.select("lot_key"), "lot_key", "left_semi")
         newest = first_per_key(fresh.unionByName(kept), ["lot_key"], [F.col("snapshot_date").desc_nulls_last(), F.col("lot_expiry_date").desc_nulls_last()])
-        self.table.upsert(newest, notes)
+        known = held.select("lot_key", F.struct("snapshot_date", "lot_expiry_date").alias("_held"))
+        changed = newest.join(known, "lot_key", "left").filter(~F.struct("snapshot_date", "lot_expiry_date").eqNullSafe(F.col("_held"))).drop("_held")
+        self.table.upsert(changed, notes)
 
 
 class MonthsOfVisits:
