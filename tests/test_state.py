@@ -144,6 +144,22 @@ def test_lots_are_brought_up_to_date_without_comparing_copies_of_stock(spark, tm
     assert sorted(rows(state.read().select(want.columns)), key=str) == sorted(rows(want), key=str)
 
 
+def test_changed_keys_are_those_of_changed_rows(spark, tmp_path):
+    table = IncrementalTable(spark, str(tmp_path / "t"), ["id"], "d")
+    schema = "id int, k string, d date, a string, b string"
+    first = [(1, "x", day(0), "v", None), (2, "y", day(1), "v", "w"), (3, None, day(2), "v", "w"), (4, "z", day(3), None, None), (5, "u", day(40), "v", "w")]
+    table.rebuild(spark.createDataFrame(first, schema))
+    before = table.snapshots.manifest().number
+    # a value moves to the next column, a row is written anew as it was, a row with a null key changes, a row moves to another day, a new row
+    batch = [(1, "x", day(0), None, "v"), (2, "y", day(1), "v", "w"), (3, None, day(2), "v", "q"), (5, "u", day(41), "v", "w"), (6, "n", None, "v", "w")]
+    table.upsert(spark.createDataFrame(batch, schema))
+    columns = schema.replace(",", "").split()[::2]
+    want = {("x", day(0)), (None, day(2)), ("u", day(40)), ("u", day(41)), ("n", None)}
+    found = [tuple(r) for r in table.snapshots.changed_keys(before, ["k", "d"], columns).collect()]
+    assert len(found) == len(want) and set(found) == want
+    assert set(rows(table.snapshots.changes(before, columns).select("k", "d"))) == want
+
+
 VISITS_IN = "visit_id string, hcp_id string, visit_date date"
 
 
