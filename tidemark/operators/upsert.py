@@ -98,9 +98,9 @@ class IncrementalTable:
         months = {r[0] for r in batch.select(PART).distinct().collect()}
         if months:
             reach = before.meeting({k: (ranges[f"min_{k}"], ranges[f"max_{k}"]) for k in self.keys})
-            elsewhere = [m for m in reach if m not in months]  # the batch's own months are written anew in any case
-            if elsewhere:
-                stored = self.snapshots.read(before, elsewhere, named=True).select(*self.keys, PART)
+            stored = self.snapshots.read(before, reach, named=True).select(*self.keys, PART)
+            if set(reach) - months:  # the batch's own months are written anew in any case: their files are not opened
+                stored = stored.filter(~F.col(PART).isin(list(months)))
                 within = [F.col(k).between(ranges[f"min_{k}"], ranges[f"max_{k}"]) for k in self.keys if None not in (ranges[f"min_{k}"], ranges[f"max_{k}"])]
                 for condition in within:  # literals: they skip row groups of the scan
                     stored = stored.filter(condition)
