@@ -102,3 +102,28 @@ def test_passage_of_many_documents_is_no_hot_key(spark, documents, unit):
     want = brute.repeated_bytes(rows, 20) if unit == "byte" else brute.repeated_words(rows, 20)
     assert shape(got, unit == "byte") == sorted(want, key=str)
     assert sum(r[2] for r in shape(got)) >= 30 * 399
+
+
+@pytest.mark.parametrize("unit", ["byte", "word"])
+def test_windows_of_one_document_stay_where_they_are(spark, documents, unit):
+    """Near copies with an edit each: what holds the edit is in no other document and is not sent to be compared window by window."""
+    rng = random.Random(12)
+    joint = " " if unit == "word" else ""
+    passage = [rng.choice("abcdefghijklmnop") for _ in range(60)]
+    rows = []
+    for i in rng.sample(range(5000), 300):
+        at = rng.randrange(10, 50)
+        rows.append((i, joint.join(passage[:at] + [rng.choice("qrstuvwxyz") for _ in range(3)] + passage[at:])))
+    plain = {"byte": suffix_dedup.sort_windows, "word": automaton_dedup.stream_shard}[unit]
+    texts = [t for _, t in rows]
+
+    def solve(rule, regions, ids):
+        plain_window = [r.decode() for r in regions if len(r.split() if unit == "word" else r) == rule.length]
+        if sum(sum(r in t for t in texts) == 1 for r in plain_window) > 20:
+            raise ValueError("windows that one document holds were sent")
+        return plain(rule, regions, ids)
+
+    got = repeats.remove_repeats(documents(rows).repartition(8), repeats.Rule(unit, 20, 6, 4), solve)
+    want = brute.repeated_bytes(rows, 20) if unit == "byte" else brute.repeated_words(rows, 20)
+    assert shape(got, unit == "byte") == sorted(want, key=str)
+    assert sum(r[2] for r in shape(got)) > 0
