@@ -1,13 +1,15 @@
 """What readers see while a table is written, at every step of the write and after a job that died there."""
 
 import datetime as dt
+import time
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import IncrementalTable
-from tidemark.sources import Snapshots, Warehouse
+from tidemark.session import FREES_SHUFFLES, freeing_shuffles
+from tidemark.sources import Snapshots, Warehouse, together
 from tidemark.sources.snapshots import Manifest, Part
 
 DDL = "id int, day date, v string"
@@ -149,3 +151,27 @@ def test_the_manifest_keeps_types_and_ranges(spark):
     assert made.meeting({"id": (5, 25), "day": (dt.date(2028, 1, 1), dt.date(2029, 1, 1))}) == []
     assert made.meeting({"at": (dt.datetime(2020, 1, 1), dt.datetime(2021, 1, 1))}) == []  # a column without values holds no key
     assert made.meeting({"id": (None, None)}) == [] and made.meeting({"amount": (1.0, 2.0)}) == ["m1", "m2"]
+
+
+def test_shuffle_files_go_when_the_query_that_wrote_them_ends(spark, tmp_path):
+    store, disk = Warehouse(spark, str(tmp_path)), spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {f for i in range(found.size()) if (f := found.apply(i).getName()).startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(FREES_SHUFFLES, None)
+    frames = [spark.range(1000).selectExpr("id % 7 as k", "id").groupBy("k").agg(F.collect_list("id").alias("ids")) for _ in range(2)]
+    seen = []
+
+    def write(n):
+        with freeing_shuffles(spark):  # a build may be run by a job of another
+            store.write(f"t{n}", frames[n])
+        seen.append(spark.conf.get(FREES_SHUFFLES))
+
+    together(spark, [lambda n=n: write(n) for n in range(2)], at_once=1)
+    until = time.time() + 20
+    while (left := files() - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left and seen == ["true", "true"] and spark.conf.get(FREES_SHUFFLES, None) == setting
+    assert store.read("t1").count() == 7
