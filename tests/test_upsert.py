@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 
 from tidemark.operators import IncrementalTable, merge_rows, since_lookback
-from tidemark.operators.upsert import may_match
+from tidemark.operators.upsert import may_match, merged
 
 DDL = "id int, day date, v string"
 
@@ -123,3 +123,24 @@ def test_stored_keys_are_filtered_before_they_are_shuffled(spark, fact):
     assert [r.id for r in near.collect()] == [4]
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "getbit" in plan and "SortMergeJoin" not in plan
+
+
+def test_rows_of_the_target_stay_where_they_are_if_few_are_replaced_or_few_stay(spark):
+    target = spark.createDataFrame([(i % 50 or None, "k", f"old {i}") for i in range(200)], "id int, k string, v string")
+    kept = []
+
+    def keep(found):
+        kept.append(found.collect())
+        return spark.createDataFrame(kept[-1], found.schema)
+
+    def joins(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin")
+
+    for ids, most, wide in ((range(1, 4), 20, 0), (range(2, 50), 20, 0), (range(1, 50), 20, 0), (range(60, 70), 0, 0), (range(1, 26), 20, 1)):
+        batch = spark.createDataFrame([(i, "k", "new") for i in [None, *ids]], "id int, k string, v string")
+        got = merged(target, batch, ["id", "k"], 200, keep, most)
+        assert joins(got) == wide
+        assert sorted(map(str, got.collect())) == sorted(map(str, merge_rows(target, batch, ["id", "k"]).collect()))
+    whole = target.filter("id is not null")
+    got = merged(whole, target, ["id", "k"], 196, keep)
+    assert sorted(map(str, got.collect())) == sorted(map(str, target.collect())) and joins(got) == 0

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.operators.lookup import SENT_ROWS
 from tidemark.sources.snapshots import PART, Snapshots
 
 
@@ -42,6 +44,32 @@ def may_match(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataF
     )
 
 
+def merged(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], n_target: int, keep: Callable[[DataFrame], DataFrame], most: int = SENT_ROWS,
+) -> DataFrame:
+    """As :func:`merge_rows`, with the target's rows left where they are if few of them are replaced, or few stay: then only keys are moved.
+
+    ``n_target``: rows of the target. ``keep`` computes rows once. Up to ``most`` keys are broadcast; with more, target and batch are shuffled by key.
+    """
+    fresh = batch.select(*keys)
+    replaced = keep(target.select(*keys).join(fresh, list(keys), "left_semi"))
+    n = replaced.count()
+    if n == n_target:
+        return batch
+    if n == 0:
+        kept = target
+    elif n <= most:
+        kept = target.join(F.broadcast(replaced), list(keys), "left_anti")
+    elif n_target - n <= most:
+        staying = keep(target.select(*[F.col(k).alias(f"_on_{k}") for k in keys]).join(
+            fresh.select(*[F.col(k).alias(f"_on_{k}") for k in keys]), [f"_on_{k}" for k in keys], "left_anti"))
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_on_{k}")) for k in keys])
+        kept = target.join(F.broadcast(staying), same, "left_semi")
+    else:
+        return merge_rows(target, batch, keys)
+    return kept.select(batch.columns).unionByName(batch)
+
+
 class IncrementalTable:
     """A table kept up to date by key, in parts by month of ``date_column``.
 
@@ -107,7 +135,9 @@ class IncrementalTable:
                 holding = may_match(stored, batch, self.keys).join(batch.select(*self.keys), self.keys, "left_semi")
                 months |= {r[0] for r in holding.select(PART).distinct().collect()}
             touched = self.snapshots.read(before, months, named=True)
-            self.snapshots.change_parts(self._spread(merge_rows(touched, batch, self.keys)), months, before, notes)
+            n = sum(before.parts[m].rows for m in months if m in before.parts)
+            rows = merged(touched, batch, self.keys, n, lambda found: self.snapshots.aside(found, step=None)) if n else batch
+            self.snapshots.change_parts(self._spread(rows), months, before, notes)
         else:
             self.snapshots.clean()
             if notes is not None:
