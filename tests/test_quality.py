@@ -9,6 +9,7 @@ from tidemark.quality import (
 )
 from tidemark.quality.gate import failing_keys, tagged_rows
 from tidemark.quality.suite import TableRules
+from tidemark.workload.models import Models
 
 
 @pytest.fixture
@@ -103,3 +104,13 @@ def test_the_declared_rules_are_all_there():
     counts["unique"] = sum(len(t.unique) for t in SUITE.values())
     counts["parents"] = sum(len(t.parents) for t in SUITE.values())
     assert counts == {"not_null": 55, "between": 10, "accepted": 3, "not_after": 1, "unique": 26, "parents": 9}
+
+
+def test_a_query_for_many_models_prepares_them_side_by_side(spark):
+    models, calls = Models(spark, "nowhere", many=True), []
+    models.prepare = lambda *names: calls.append(set(names))
+    models.written = {name: name for name in models.stores}
+    models._build = lambda name: name
+    wanted = ["stg_return", "dim_hcp", "batch_expiry", "fact_sales_orders", "fact_inventory_snapshot"]
+    assert models.all(wanted) == {n: n for n in wanted}
+    assert calls[0] >= {"stg_return", "dim_hcp", "batch_expiry", "stg_sales_order", "inventory_runway", "dim_product", "dim_distributor", "dim_warehouse"}
