@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import lot_expiry, pick_first_expiring, trailing_average
+from tidemark.operators.stock import newest_expiry
 from tidemark.params import Params
 from tidemark.plans import intermediate
 
@@ -124,3 +125,30 @@ def test_pick_first_expiring(spark):
     )
     got = pick_first_expiring(lots, ["w"], "expiry", "lot", "qty", F.lit(50))
     assert rows(got.select("w", "lot", "picked_qty"), "w") == [("w", "l2", 30), ("x", "l1", 50)]
+
+
+def test_the_newest_expiry_of_a_lot_is_found_without_a_sort(spark):
+    days = [None, dt.date(1, 1, 1), dt.date(1969, 12, 31), dt.date(1970, 1, 1), dt.date(2026, 5, 1), dt.date(9999, 12, 31)]
+    lots = [(f"P{len(seen)}-{'-'.join(map(str, seen))}", days[i], days[j]) for seen in ((0,), (1, 2), (2, 3), (0, 4), (4, 5), (0, 5, 1)) for i in seen for j in range(6) if (i + j) % 2 or j < 3]
+    stock = spark.createDataFrame(lots, "lot string, seen date, expiry date")
+    got = newest_expiry(stock, ["lot"], "seen", "expiry")
+    pair = F.max(F.struct("seen", "expiry")).alias("n")
+    want = stock.groupBy("lot").agg(pair).select("lot", "n.seen", "n.expiry")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    timed = stock.withColumn("seen", F.col("seen").cast("timestamp_ntz"))
+    assert newest_expiry(timed, ["lot"], "seen", "expiry").schema["seen"].dataType.typeName() == "timestamp_ntz"
+
+
+def test_whole_quantities_are_added_as_numbers_of_64_bits(spark):
+    day = dt.date(2026, 5, 1)
+    flows = spark.createDataFrame([("A", day, Decimal(9_999_999_999)), ("A", day, Decimal(9_999_999_999)), ("A", dt.date(2026, 4, 30), Decimal(1)), ("B", day, None), (None, day, Decimal(-7))],
+                                  "k string, day date, q decimal(10,0)")
+    asked = flows.select("k", "day").distinct()
+    mean = trailing_average(asked, "day", flows, "day", "q", ["k"], 30, "mean")
+    exact = trailing_average(asked, "day", flows.withColumn("q", F.col("q").cast("decimal(20,0)")), "day", "q", ["k"], 30, "mean")
+    assert mean.schema == exact.schema
+    assert sorted(map(str, mean.collect())) == sorted(map(str, exact.collect()))
+    assert [r["mean"] for r in mean.filter("k = 'A' and day = '2026-05-01'").collect()] == [Decimal("9999999999.500000")]
+    sums = [p._jdf.queryExecution().optimizedPlan().toString().count("decimal(38,0)") for p in (mean, exact)]
+    assert sums[0] == 0 and sums[1] > 0

@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.operators import IncrementalTable
 from tidemark.operators.dedupe import first_per_key
+from tidemark.operators.stock import newest_expiry
 from tidemark.sources.snapshots import PART, Snapshots
 
 
 def newest_lots(stock: DataFrame) -> DataFrame:
     """Of each lot its newest snapshot day and the expiry of that day (ties: the later expiry)."""
-    lots = stock.groupBy("product_id", "batch_id").agg(F.max(F.struct("snapshot_date", "lot_expiry_date")).alias("_n"))
-    return lots.select("product_id", "batch_id", "_n.snapshot_date", "_n.lot_expiry_date")
+    return newest_expiry(stock, ["product_id", "batch_id"], "snapshot_date", "lot_expiry_date")
 
 
 class LotState:
